@@ -15,8 +15,7 @@ SALTS = 16
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of the optimised plan."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def lookup_join(

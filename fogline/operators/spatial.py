@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from fogline.functions.geo import inside, ring_edges, wkt_rings
 from fogline.operators.lookup import lookup_join, name_to_id
+from fogline.session import cut_lineage
 
 CELL_DEGREES = 0.005
 UNLOCATED = 404
@@ -64,8 +65,11 @@ def build_cells(polygons: DataFrame, wkt: str = "geometry", id_col: str = "id",
 
 
 def build_cover(polygons: DataFrame, wkt: str = "geometry", id_col: str = "id", cell: float = CELL_DEGREES) -> Cover:
-    """Cells plus their measured size, which decides whether the cover may be broadcast."""
-    cells = build_cells(polygons, wkt, id_col, cell)
+    """Cells plus their measured size, which decides whether the cover may be broadcast.
+
+    The polygons are parsed once: the measurement and every later join read the same copy.
+    """
+    cells = cut_lineage(build_cells(polygons, wkt, id_col, cell))
     n_edges = F.aggregate("__candidates", F.lit(0), lambda acc, c: acc + F.size(c["edges"]))
     size = cells.agg(F.count("*").alias("cells"), F.sum(n_edges).alias("edges")).first()
     return Cover(cells, cell, 64 * size["cells"] + 48 * (size["edges"] or 0))

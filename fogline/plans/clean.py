@@ -78,13 +78,13 @@ def clean_311(
     typed = raw.withColumns(
         {
             "311_incident_id": F.col("service_request_id").try_cast("bigint"),
-            "__lat": F.col("lat").cast("string").try_cast("double"),
-            "__long": F.col("long").cast("string").try_cast("double"),
+            "__own_lat": F.col("lat").cast("string").try_cast("double"),
+            "__own_long": F.col("long").cast("string").try_cast("double"),
         }
     )
     # De-duplicate before the joins: fewer rows travel and the result is the same.
     unique = keep_last(typed, ["311_incident_id"], ordinal).withColumns(
-        {"__glat": F.col("__lat"), "__glong": F.col("__long")}
+        {"__glat": F.col("__own_lat"), "__glong": F.col("__own_long")}
     )
     if geocodes is not None:
         wanted = (F.col("__glat").isNull() | F.col("__glong").isNull()) & (F.col("address") != NO_ADDRESS)
@@ -117,8 +117,8 @@ def clean_311(
         "service_subtype",
         "service_details",
         supervisor.alias("supervisor_district"),
-        F.col("__lat").alias("lat"),
-        F.col("__long").alias("long"),
+        F.col("__own_lat").alias("lat"),
+        F.col("__own_long").alias("long"),
         point_wkt(F.col("__glong"), F.col("__glat")).alias("geometry"),
         "source",
         "media_url",

@@ -274,9 +274,11 @@ def boundary_features(boundaries: DataFrame) -> DataFrame:
             "boundary_type",
             F.col("boundary_id").alias("id"),
             named.alias("name"),
-            rings_geojson(F.col("geometry"), wkt_rings(F.col("geometry"))).alias("geojson"),
+            "geometry",
+            wkt_rings(F.col("geometry")).alias("__rings"),
         )
-        .where(F.col("geojson").isNotNull())
+        .where(F.col("__rings").isNotNull())
+        .select("boundary_type", "id", "name", rings_geojson(F.col("geometry"), F.col("__rings")).alias("geojson"))
     )
 
 

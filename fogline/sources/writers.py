@@ -71,16 +71,19 @@ def write_ndjson_days(df: DataFrame, path: str, partition: str = "incident_date"
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).json(path)
 
 
-def write_mart(df: DataFrame, path: str, partition: str = "event_date_pacific", sort: Sequence[str] = (
-    "event_type", "neighborhood_id", "police_district_id"), files_per_partition: int = 8) -> None:
+def write_mart(
+    df: DataFrame,
+    path: str,
+    partition: str = "event_date_pacific",
+    sort: Sequence[str] = ("event_type", "neighborhood_id", "police_district_id"),
+) -> None:
     """Partitioned by day and sorted inside files, so boundary filters skip row groups.
 
-    Rows of one day spread over several writers by a hash of the row: a very large day is
-    never one task.
+    ``rebalance`` lets adaptive execution split a very large day over several writers and
+    pack small days together.
     """
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if c != partition]), F.lit(files_per_partition))
     (
-        df.repartition(F.col(partition), spread)
+        df.hint("rebalance", partition)
         .sortWithinPartitions(partition, *sort)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -167,7 +170,7 @@ def merge_into_partitions(spark: SparkSession, path: str, changed: DataFrame, pa
     (
         spark.read.schema(changed.schema)
         .parquet(staging)
-        .repartition(partition)
+        .hint("rebalance", partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
