@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fogline.operators.scan import time_segment
+from fogline.session import cut_lineage
 
 _ALL = Window.unboundedPreceding
 _FAR = Window.unboundedFollowing
@@ -133,9 +134,9 @@ def asof_nearest(
 
 
 
-# Interval cover: base-64 blocks of microseconds; nine levels reach past the year 2500.
-_BASE = 64
-_LEVELS = 9
+# Interval cover: base-8 blocks of microseconds; seventeen levels span more than 70 years.
+_BASE = 8
+_LEVELS = 17
 
 
 def _floor_div(c: Column, n: int) -> Column:
@@ -146,11 +147,11 @@ def _ceil_div(c: Column, n: int) -> Column:
     return _floor_div(c + F.lit(n - 1), n)
 
 
-def _covering_blocks(start_us: Column, end_us: Column) -> Column:
+def _covering_blocks(start_us: Column, end_us: Column, levels: int) -> Column:
     """Blocks (level, number) that tile the closed range [start, end] exactly.
 
-    A level contributes what the next coarser level cannot cover, so at most 2 * 63 blocks
-    per level and far fewer for short ranges.
+    A level contributes what the next coarser level cannot cover: at most seven blocks on
+    either side.
     """
     none = F.array().cast("array<struct<level:int,block:bigint>>")
 
@@ -161,10 +162,10 @@ def _covering_blocks(start_us: Column, end_us: Column) -> Column:
         return F.when(first < stop, blocks).otherwise(none)
 
     pieces = []
-    for level in range(_LEVELS):
+    for level in range(levels):
         size = _BASE**level
         first, stop = _ceil_div(start_us, size), _floor_div(end_us + 1, size)
-        if level + 1 == _LEVELS:
+        if level + 1 == levels:
             pieces.append(run(first, stop, level))
             continue
         inner_first = _ceil_div(start_us, size * _BASE) * _BASE
@@ -174,32 +175,46 @@ def _covering_blocks(start_us: Column, end_us: Column) -> Column:
     return F.concat(*pieces)
 
 
-def _latest_open_start(points: DataFrame, spans: DataFrame, ts: str) -> DataFrame:
+def _levels_for(spans: DataFrame) -> int:
+    """Levels the longest span needs: no block larger than the span is ever used."""
+    longest = spans.agg(F.max(F.col("__to_us") - F.col("__from_us") + 1)).first()[0] or 1
+    levels = 1
+    while levels < _LEVELS and _BASE**levels <= longest:
+        levels += 1
+    return levels
+
+
+def _latest_open_start(points: DataFrame, spans: DataFrame, ts: str, segment_seconds: int) -> DataFrame:
     """(ts, __open): the span with the latest start among those that hold the point.
 
-    Each span is tiled by blocks and each block keeps only its latest start; a point looks
-    up the one block that holds it on every level. No point meets a span directly.
+    Spans that no point falls into are dropped first: the next point after a span's start
+    must not lie beyond its end. The others are tiled by blocks and each block keeps only its
+    latest start; a point looks up the one block that holds it on every level. No point
+    meets a span directly.
     """
+    ahead = asof_candidates(spans, points, [], "__start", ts, [ts], segment_seconds)
+    meets = F.coalesce(F.unix_micros(f"__bwd.{ts}") == F.col("__from_us"), F.lit(False)) | F.coalesce(
+        F.unix_micros(f"__fwd.{ts}") <= F.col("__to_us"), F.lit(False)
+    )
+    used = ahead.where(meets).select("__span", "__start", "__from_us", "__to_us", "__listed")
+    depth = _levels_for(used)
     tiled = (
-        spans.withColumn("__tile", F.explode(_covering_blocks(F.col("__from_us"), F.col("__to_us"))))
-        .groupBy("__tile.level", "__tile.block")
-        .agg(F.max_by("__span", F.struct("__start_us", -F.col("__listed"))).alias("__span"))
+        used.withColumn("__tile", F.explode(_covering_blocks(F.col("__from_us"), F.col("__to_us"), depth)))
+        .groupBy("__tile.block", "__tile.level")
+        .agg(F.max(F.struct("__from_us", (-F.col("__listed")).alias("__rank"), "__span")).alias("__top"))
     )
     levels = F.array(
         *[
             F.struct(F.lit(n).alias("level"), _floor_div(F.unix_micros(ts), _BASE**n).alias("block"))
-            for n in range(_LEVELS)
+            for n in range(depth)
         ]
     )
-    probes = points.select(ts).dropna().distinct().select(ts, F.inline(levels))
     return (
-        probes.join(tiled, ["level", "block"])
+        points.select(ts, F.inline(levels))
+        .join(tiled, ["block", "level"])
         .groupBy(ts)
-        .agg(
-            F.max_by(
-                "__span", F.struct(F.unix_micros("__span.__start"), -F.col("__span.__listed"))
-            ).alias("__open")
-        )
+        .agg(F.max("__top").alias("__top"))
+        .select(ts, F.col("__top.__span").alias("__open"))
     )
 
 
@@ -230,17 +245,26 @@ def interval_nearest(
     span = F.struct(*packed.columns)
     spans = packed.select(
         span.alias("__span"),
+        "__start",
         "__listed",
-        F.unix_micros("__start").alias("__start_us"),
         F.unix_micros("__start").alias("__from_us"),
         (F.unix_micros("__end") + F.lit(after_seconds * 1_000_000)).alias("__to_us"),
     )
     around = asof_candidates(
         points, packed, [], ts, "__start", ["__listed"], segment_seconds, same_ts="first"
     )
-    found = around.join(_latest_open_start(points, spans, ts), ts, "left")
-
     us = F.unix_micros(ts)
+    # Usually the newest start is still open; only the other points need the search.
+    open_end = F.unix_micros("__bwd.__end") + F.lit(after_seconds * 1_000_000)
+    is_open = F.coalesce(open_end >= us, F.lit(False))
+    closed = cut_lineage(around.where(F.col("__bwd").isNotNull() & ~is_open).select(ts).distinct())
+    if closed.isEmpty():
+        found = around.withColumn("__open", F.when(is_open, F.col("__bwd")))
+    else:
+        searched = _latest_open_start(closed, spans, ts, segment_seconds)
+        found = around.join(searched, ts, "left").withColumn(
+            "__open", F.when(is_open, F.col("__bwd")).otherwise(F.col("__open"))
+        )
 
     def ranked(candidate: str, allowed: Column) -> Column:
         distance = F.abs(us - F.unix_micros(f"{candidate}.__start"))

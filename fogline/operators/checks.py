@@ -9,6 +9,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fogline.operators.keys import selective_first
+
 
 class QualityError(ValueError):
     """A gate refused the data."""
@@ -28,13 +30,13 @@ def require_rows(df: DataFrame, context: str) -> None:
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key groups with more than one row; NULL key values count as equal."""
     require_columns(df, keys, "key check")
-    return df.groupBy(*keys).agg(F.count("*").alias("key_count")).where(F.col("key_count") > 1)
+    return df.groupBy(*selective_first(keys)).agg(F.count("*").alias("key_count")).select(*keys, "key_count").where(F.col("key_count") > 1)
 
 
 def key_audit(df: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
     """Rows and duplicate key groups per value of ``by`` (one of the keys)."""
     require_columns(df, [*keys, by], "key audit")
-    per_key = df.groupBy(*dict.fromkeys([by, *keys])).agg(F.count("*").alias("key_count"))
+    per_key = df.groupBy(*selective_first(list(dict.fromkeys([by, *keys])))).agg(F.count("*").alias("key_count"))
     return per_key.groupBy(by).agg(
         F.sum("key_count").alias("row_count"),
         F.count_if(F.col("key_count") > 1).alias("duplicate_key_group_count"),

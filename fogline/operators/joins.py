@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fogline.functions.temporal import seconds_between
 from fogline.operators.checks import require_columns
-from fogline.operators.latest import CANONICAL_KEY
+from fogline.operators.keys import CANONICAL_KEY, selective_first
 
 VEHICLE_COLUMNS = (
     "vp_snapshot_ts",
@@ -41,7 +41,7 @@ def normalise_key_types(df: DataFrame) -> DataFrame:
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in selective_first(keys)])
 
 
 def join_vehicle_positions(trip_updates: DataFrame, positions: DataFrame) -> DataFrame:
@@ -89,7 +89,7 @@ def outcome_counts(
     a key repeated on both sides never expands into pairs. ``left_by``/``right_by`` split the
     counts further, e.g. by hour.
     """
-    keys = list(keys)
+    keys = selective_first(keys)
     lefts = left.groupBy(*keys, *left_by).agg(F.count("*").alias("__nl"))
     rights = right.groupBy(*keys, *right_by).agg(F.count("*").alias("__nr"))
     joined = lefts.join(rights, null_safe(lefts, rights, keys), "full_outer")

@@ -1,7 +1,7 @@
 """One row per key: newest, last or first.
 
-All of these are a ``max_by``/``min_by`` over a struct. Each map task keeps one candidate
-per key before the shuffle, so a key that holds a large share of the rows costs one row
+All of these are a ``max``/``min`` over a struct that starts with the sort columns. Each map
+task keeps one candidate per key before the shuffle, so a key that holds a large share of the rows costs one row
 per task, not one giant group.
 """
 
@@ -13,24 +13,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fogline.operators.checks import require_columns
-
-CANONICAL_KEY = (
-    "agency_id",
-    "trip_id",
-    "trip_start_date",
-    "trip_start_time",
-    "direction_id",
-    "stop_sequence",
-)
-
+from fogline.operators.keys import CANONICAL_KEY, selective_first
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], newest: bool) -> DataFrame:
     keys = list(keys)
     payload = [c for c in df.columns if c not in keys]
+    plain = [o for o in order if isinstance(o, str)]
     # Remaining columns close the order, so equal sort keys still give one defined winner.
-    rank = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order], *payload)
-    choose = F.max_by if newest else F.min_by
-    picked = df.groupBy(*keys).agg(choose(F.struct(*payload), rank).alias("__row"))
+    ranked = [F.col(o) if isinstance(o, str) else o.alias(f"__order{i}") for i, o in enumerate(order)]
+    rank = F.struct(*ranked, *[c for c in payload if c not in plain])
+    choose = F.max if newest else F.min
+    picked = df.groupBy(*selective_first(keys)).agg(choose(rank).alias("__row"))
     return picked.select(*[_restore(c, keys) for c in df.columns])
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fogline.operators.checks import QualityError, require_monotonic
+from fogline.operators.keys import selective_first
 
 
 def surrogate_key(keys: Sequence[str]) -> Column:
@@ -55,7 +56,7 @@ def upsert_latest(target: DataFrame, staging: DataFrame, keys: Sequence[str], ts
     """Upsert that never lets an older observation replace a newer one; NULL keys are equal.
 
     A staged row wins when the target has no time, or when its own time is not older. That
-    is the greatest (time, is staged) per key, so the merge is one grouped ``max_by`` that
+    is the greatest (time, is staged) per key, so the merge is one grouped ``max`` that
     shrinks on the map side instead of a join.
     """
     keys = list(keys)
@@ -66,9 +67,8 @@ def upsert_latest(target: DataFrame, staging: DataFrame, keys: Sequence[str], ts
     )
     both = target.withColumn("__staged", F.lit(0)).unionByName(aligned.withColumn("__staged", F.lit(1)))
     payload = [c for c in columns if c not in keys]
-    picked = both.groupBy(*keys).agg(
-        F.max_by(F.struct(*payload), F.struct(F.col(ts), F.col("__staged"))).alias("__row")
-    )
+    newest = F.max(F.struct(F.col(ts), F.col("__staged"), *[c for c in payload if c != ts]))
+    picked = both.groupBy(*selective_first(keys)).agg(newest.alias("__row"))
     return picked.select(*[F.col(c) if c in keys else F.col(f"__row.`{c}`").alias(c) for c in columns])
 
 

@@ -13,71 +13,61 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fogline.operators.keys import selective_first
 from fogline.session import cut_lineage
 
+_START = Window.unboundedPreceding
+
 
 def time_segment(ts: Column, width_seconds: int) -> Column:
     return F.floor(F.unix_micros(ts) / F.lit(width_seconds * 1_000_000)).cast("bigint")
 
 
-def lag_in_segments(
+def scan_in_segments(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     segment: Column,
-    value: str,
-    out: str,
+    previous: tuple[str, str] | None = None,
+    before: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """``out`` = the previous row's ``value`` within ``keys`` ordered by ``order``.
+    """Ordered scan within ``keys``; NULL key values form one group.
 
-    ``segment`` must not decrease along ``order``. NULL key values form one group.
+    ``previous=(value, out)`` adds the previous row's value, ``before=(weight, out)`` the sum
+    of the weights of all earlier rows. ``segment`` must not decrease along ``order``.
     """
-    keys, order = list(keys), list(order)
+    keys, order = selective_first(keys), list(order)
     rows = df.withColumn("__seg", segment)
-    tails = rows.groupBy(*keys, "__seg").agg(
-        F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("__tail")
-    )
+    by_segment = Window.partitionBy(*keys).orderBy("__seg")
+    summaries, carried, handed = [], [], []
+    if previous:
+        value = previous[0]
+        tail = F.max(F.struct(*[c for c in order if c != value], F.col(value).alias("__v")))
+        if value in order:
+            tail = F.max_by(F.struct(F.col(value).alias("__v")), F.struct(*order))
+        summaries.append(tail.alias("__tail"))
+        carried.append(F.lag("__tail").over(by_segment).alias("__tail"))
+        handed.append(F.col("__tail.__v").alias(value))
+    if before:
+        weight = before[0]
+        summaries.append(F.sum(weight).alias("__total"))
+        carried.append(F.sum("__total").over(by_segment.rowsBetween(_START, -1)).alias("__total"))
+        handed.append(F.col("__total").alias(weight))
     carries = (
-        tails.withColumn("__carry", F.lag("__tail").over(Window.partitionBy(*keys).orderBy("__seg")))
-        .where(F.col("__carry").isNotNull())
-        .select(*keys, "__seg", F.col("__carry.v").alias(value), F.lit(0).alias("__kind"))
+        rows.groupBy(*keys, "__seg")
+        .agg(*summaries)
+        .select(*keys, "__seg", F.lag("__seg").over(by_segment).alias("__has"), *carried)
+        .where(F.col("__has").isNotNull())
+        .select(*keys, "__seg", F.lit(0).alias("__kind"), *handed)
     )
-    stream = rows.withColumn("__kind", F.lit(1)).unionByName(carries, allowMissingColumns=True)
+    out = rows.withColumn("__kind", F.lit(1)).unionByName(carries, allowMissingColumns=True)
     within = Window.partitionBy(*keys, "__seg").orderBy("__kind", *order)
-    return (
-        stream.withColumn(out, F.lag(value).over(within)).where(F.col("__kind") == 1).drop("__seg", "__kind")
-    )
-
-
-def running_in_segments(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    segment: Column,
-    weight: str,
-    out: str,
-) -> DataFrame:
-    """``out`` = sum of ``weight`` over the earlier rows of the key (the row itself excluded)."""
-    keys, order = list(keys), list(order)
-    rows = df.withColumn("__seg", segment)
-    totals = rows.groupBy(*keys, "__seg").agg(F.sum(weight).alias("__total"))
-    earlier = Window.partitionBy(*keys).orderBy("__seg").rowsBetween(Window.unboundedPreceding, -1)
-    carries = (
-        totals.withColumn("__carry", F.sum("__total").over(earlier))
-        .where(F.col("__carry").isNotNull())
-        .select(*keys, "__seg", F.col("__carry").alias(weight), F.lit(0).alias("__kind"))
-    )
-    stream = rows.withColumn("__kind", F.lit(1)).unionByName(carries, allowMissingColumns=True)
-    within = (
-        Window.partitionBy(*keys, "__seg")
-        .orderBy("__kind", *order)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return (
-        stream.withColumn(out, F.coalesce(F.sum(weight).over(within), F.lit(0)))
-        .where(F.col("__kind") == 1)
-        .drop("__seg", "__kind")
-    )
+    if previous:
+        out = out.withColumn(previous[1], F.lag(previous[0]).over(within))
+    if before:
+        total = F.sum(before[0]).over(within.rowsBetween(_START, -1))
+        out = out.withColumn(before[1], F.coalesce(total, F.lit(0)))
+    return out.where(F.col("__kind") == 1).drop("__seg", "__kind")
 
 
 def range_segments(df: DataFrame, order: Sequence[str], parts: int | None = None) -> DataFrame:
@@ -100,10 +90,10 @@ def running_total(df: DataFrame, order: Sequence[str], weight: Column, out: str)
     before = totals.select(
         "__seg",
         F.coalesce(
-            F.sum("__total").over(Window.orderBy("__seg").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+            F.sum("__total").over(Window.orderBy("__seg").rowsBetween(_START, -1)), F.lit(0)
         ).alias("__before"),
     )
-    within = Window.partitionBy("__seg").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy("__seg").orderBy(*order).rowsBetween(_START, 0)
     return (
         pieces.join(F.broadcast(before), "__seg")
         .withColumn(out, F.sum("__w").over(within) + F.col("__before"))

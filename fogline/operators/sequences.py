@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fogline.functions.temporal import seconds_between
-from fogline.operators.latest import CANONICAL_KEY, first_per_key
-from fogline.operators.scan import lag_in_segments, running_in_segments, time_segment
+from fogline.operators.keys import CANONICAL_KEY, selective_first
+from fogline.operators.latest import first_per_key
+from fogline.operators.scan import scan_in_segments, time_segment
 
 STOP_SEGMENT = 256
 
@@ -27,13 +28,12 @@ def arrival_crossings(
         .distinct()
         .withColumn("horizon_sec", seconds_between(F.col("arrival_time_predicted"), F.col("snapshot_ts")))
     )
-    scanned = lag_in_segments(
+    scanned = scan_in_segments(
         seen,
         keys,
         ["snapshot_ts", "arrival_time_predicted", "route_id", "stop_id"],
         time_segment(F.col("snapshot_ts"), segment_seconds),
-        "horizon_sec",
-        "prev_horizon_sec",
+        previous=("horizon_sec", "prev_horizon_sec"),
     )
     return scanned.where((F.col("prev_horizon_sec") > 0) & (F.col("horizon_sec") <= 0))
 
@@ -54,8 +54,8 @@ def sequence_gaps(df: DataFrame, keys: Sequence[str], seq: str = "stop_sequence"
     """How completely the observed numbers of a key fill their own min..max range."""
     keys = list(keys)
     seen = df.dropna(subset=[keys[0], seq]).select(*keys, F.col(seq).cast("bigint").alias("__s")).distinct()
-    stepped = lag_in_segments(
-        seen, keys, ["__s"], F.floor(F.col("__s") / F.lit(STOP_SEGMENT)), "__s", "__prev"
+    stepped = scan_in_segments(
+        seen, keys, ["__s"], F.floor(F.col("__s") / F.lit(STOP_SEGMENT)), previous=("__s", "__prev")
     )
     expected = F.col("max_seq") - F.col("min_seq") + 1
     return (
@@ -93,12 +93,14 @@ def stop_patterns(df: DataFrame, group: Sequence[str] = ("route_id", "direction_
     its runs identify it, so a trip of any length stays distributed.
     """
     group, keys = list(group), [*group, trip]
-    counted = df.groupBy(*keys, "stop_sequence", "stop_id").agg(F.count("*").alias("__n"))
-    segment = F.floor(F.coalesce(F.col("stop_sequence"), F.lit(0)) / F.lit(STOP_SEGMENT))
-    order = ["stop_sequence", "stop_id"]
-    placed = running_in_segments(counted, keys, order, segment, "__n", "__start")
-    chained = lag_in_segments(
-        placed.withColumn("__stop", F.struct("stop_id")), keys, order, segment, "__stop", "__before"
+    counted = df.groupBy(*selective_first([*keys, "stop_sequence"]), "stop_id").agg(F.count("*").alias("__n"))
+    chained = scan_in_segments(
+        counted.withColumn("__stop", F.struct("stop_id")),
+        keys,
+        ["stop_sequence", "stop_id"],
+        F.floor(F.coalesce(F.col("stop_sequence"), F.lit(0)) / F.lit(STOP_SEGMENT)),
+        previous=("__stop", "__before"),
+        before=("__n", "__start"),
     )
     opens = F.col("__before").isNull() | ~F.col("__before").eqNullSafe(F.col("__stop"))
 
@@ -106,7 +108,7 @@ def stop_patterns(df: DataFrame, group: Sequence[str] = ("route_id", "direction_
         code = F.xxhash64(F.lit(seed), "__start", "stop_id").cast("decimal(38,0)")
         return F.sum(F.when(opens, code).otherwise(F.lit(0).cast("decimal(38,0)")))
 
-    trips = chained.groupBy(*keys).agg(
+    trips = chained.groupBy(*selective_first(keys)).agg(
         F.sum("__n").alias("__length"), fingerprint(1).alias("__a"), fingerprint(2).alias("__b")
     )
     return (

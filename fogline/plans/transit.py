@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from fogline.operators.checks import require_no_decode_errors, require_rows, require_unique
 from fogline.operators.joins import join_vehicle_positions
-from fogline.operators.latest import CANONICAL_KEY, latest_trip_updates, latest_vehicle_positions
+from fogline.operators.keys import CANONICAL_KEY
+from fogline.operators.latest import latest_trip_updates, latest_vehicle_positions
 from fogline.operators.merge import surrogate_key, upsert_latest
 from fogline.schemas import TRIP_STOP_CONTRACT, TRIP_STOP_PK, project_contract
 from fogline.sources.gtfs import (

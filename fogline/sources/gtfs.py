@@ -236,32 +236,40 @@ def _decode(files: DataFrame, schema: pa.Schema, rows_of) -> DataFrame:
     A file that cannot be read gives only its ``file`` record, with ``error`` filled in.
     """
 
+    def as_batch(records: list[dict]) -> pa.RecordBatch:
+        columns = [pa.array([r.get(f.name) for r in records], type=f.type) for f in schema]
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         message_class = feed_message_class()
+        pending: list[dict] = []
         for batch in batches:
             for source in batch.to_pylist():
-                content = source.pop("content")
                 head = {"kind": "file", **source, "rows_skipped": 0}
+                content = head.pop("content")
                 rows: list[dict] = []
                 try:
                     feed = message_class()
                     feed.ParseFromString(content)
                     if feed.HasField("header"):
                         head["header_epoch"] = _epoch(feed.header, "timestamp", strict=False)
+                    common = {**head, "kind": "row", "rows_skipped": None}
                     for entity in feed.entity:
                         for row in rows_of(entity):
                             if row is None:
                                 head["rows_skipped"] += 1
                             else:
-                                rows.append(row)
+                                rows.append({**common, **row})
                 except Exception as exc:  # any unreadable file is reported, never dropped
                     head["error"] = f"{type(exc).__name__}: {exc}"
                     rows = []
-                common = {**source, "kind": "row", "header_epoch": head.get("header_epoch")}
-                yield pa.RecordBatch.from_pylist([head], schema=schema)
-                for start in range(0, len(rows), BATCH_ROWS):
-                    part = [{**common, **row} for row in rows[start : start + BATCH_ROWS]]
-                    yield pa.RecordBatch.from_pylist(part, schema=schema)
+                pending.append(head)
+                pending.extend(rows)
+                while len(pending) >= BATCH_ROWS:
+                    yield as_batch(pending[:BATCH_ROWS])
+                    pending = pending[BATCH_ROWS:]
+        if pending:
+            yield as_batch(pending)
 
     needed = files.select("agency_id", "source_date", "blob_order", "blob_name", "content")
     return needed.mapInArrow(run, _ddl(schema))

@@ -8,7 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fogline.functions.temporal import seconds_between
 from fogline.operators.checks import require_no_decode_errors
-from fogline.operators.latest import CANONICAL_KEY, latest_trip_updates
+from fogline.operators.keys import CANONICAL_KEY
+from fogline.operators.latest import latest_trip_updates
 from fogline.operators.merge import upsert_latest
 from fogline.sources.gtfs import decode_trip_updates, decode_vehicle_positions, trip_update_observations, vehicle_position_observations
 from fogline.sources.writers import merge_into_partitions

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from fogline.functions import temporal as tm
 from fogline.functions import text as tx
 from fogline.operators import checks, profile, sequences
-from fogline.operators.latest import CANONICAL_KEY, latest_trip_updates
+from fogline.operators.keys import CANONICAL_KEY
+from fogline.operators.latest import latest_trip_updates
 from fogline.operators.scan import sample_every_k
 from fogline.plans import marts, transit
 from fogline.sources import files, gtfs

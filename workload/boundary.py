@@ -87,7 +87,7 @@ def boundary_kpis(t):
     return metrics.boundary_kpis(_chosen(t))
 
 
-@query("boundary_kpis_approx")
+@query("boundary_kpis_approx", KPI_SQL)
 def boundary_kpis_approx(t):
     return metrics.boundary_kpis_approx(_chosen(t))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fogline.operators import asof, checks, joins, latest, lookup
-from fogline.operators.latest import CANONICAL_KEY
+from fogline.operators.keys import CANONICAL_KEY
 from fogline.operators.sequences import inferred_arrivals
 from workload.registry import query
 from workload.sqlviews import KEY, same_key, ts_text

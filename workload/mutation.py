@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from fogline.functions.temporal import pacific_date
 from fogline.operators import checks, merge
-from fogline.operators.latest import CANONICAL_KEY, latest_trip_updates, latest_vehicle_positions
+from fogline.operators.keys import CANONICAL_KEY
+from fogline.operators.latest import latest_trip_updates, latest_vehicle_positions
 from fogline.plans import clean, transit
 from fogline.schemas import RAW_311, RAW_POLICE, RAW_RENTAL, TRIP_STOP_CONTRACT, project_contract
 from fogline.sources.files import parse_json_array
