@@ -39,16 +39,18 @@ def sanitise_identifier(c: Column, fallback: str) -> Column:
 
 
 def agency_mappings(c: Column) -> Column:
-    """'muni:SF,bart:BA' -> map; blanks around the parts and empty parts are ignored."""
-    parts = F.filter(F.transform(F.split(c, ","), F.trim), lambda p: p != "")
-    return F.map_from_entries(
-        F.transform(
-            parts,
-            lambda p: F.struct(
-                F.trim(F.substring_index(p, ":", 1)).alias("key"),
-                F.trim(F.regexp_replace(p, "^[^:]*:", "")).alias("value"),
-            ),
-        )
+    """'muni:SF,bart:BA' -> map; blanks are ignored, a part without both sides is an error."""
+    parts = F.filter(F.transform(F.split(c, ","), lambda p: F.trim(p)), lambda p: p != "")
+    pairs = F.transform(
+        parts,
+        lambda p: F.struct(
+            F.trim(F.substring_index(p, ":", 1)).alias("key"),
+            F.trim(F.regexp_replace(p, "^[^:]*:", "")).alias("value"),
+        ),
+    )
+    usable = (F.size(parts) > 0) & F.forall(parts, lambda p: p.rlike(r"^\s*[^:\s][^:]*:\s*\S"))
+    return F.when(usable, F.map_from_entries(pairs)).otherwise(
+        F.raise_error(F.concat(F.lit("invalid agency mapping: "), F.coalesce(c, F.lit("NULL"))))
     )
 
 

@@ -28,14 +28,10 @@ VEHICLE_COLUMNS = (
 
 def normalise_key_types(df: DataFrame) -> DataFrame:
     """Common types on both sides, so a key column inferred differently still matches."""
-    types = {
-        "agency_id": "string",
-        "trip_id": "string",
-        "trip_start_time": "string",
-        "direction_id": "bigint",
-        "stop_sequence": "bigint",
-    }
-    typed = {c: F.col(c).cast("string").try_cast(t) for c, t in types.items()}
+    typed = {c: F.col(c).cast("string") for c in ("agency_id", "trip_id", "trip_start_time")}
+    for c in ("direction_id", "stop_sequence"):
+        # Text and float inputs ('7', 7.0) are read as numbers first; anything else is NULL.
+        typed[c] = F.col(c).cast("string").try_cast("double").cast("bigint")
     typed["trip_start_date"] = F.date_format(F.col("trip_start_date").cast("string").try_cast("date"), "yyyy-MM-dd")
     return df.withColumns(typed)
 

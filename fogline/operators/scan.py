@@ -39,35 +39,30 @@ def scan_in_segments(
     keys, order = selective_first(keys), list(order)
     rows = df.withColumn("__seg", segment)
     by_segment = Window.partitionBy(*keys).orderBy("__seg")
-    summaries, carried, handed = [], [], []
+    summaries, carried = [], []
     if previous:
-        value = previous[0]
-        tail = F.max(F.struct(*[c for c in order if c != value], F.col(value).alias("__v")))
-        if value in order:
-            tail = F.max_by(F.struct(F.col(value).alias("__v")), F.struct(*order))
-        summaries.append(tail.alias("__tail"))
-        carried.append(F.lag("__tail").over(by_segment).alias("__tail"))
-        handed.append(F.col("__tail.__v").alias(value))
+        rows = rows.withColumn("__v", F.col(previous[0]))
+        summaries.append(F.max(F.struct(*order, "__v")).alias("__tail"))
+        carried.append(F.lag("__tail.__v").over(by_segment).alias("__v"))
     if before:
-        weight = before[0]
-        summaries.append(F.sum(weight).alias("__total"))
-        carried.append(F.sum("__total").over(by_segment.rowsBetween(_START, -1)).alias("__total"))
-        handed.append(F.col("__total").alias(weight))
+        rows = rows.withColumn("__w", F.col(before[0]))
+        summaries.append(F.sum("__w").alias("__total"))
+        carried.append(F.sum("__total").over(by_segment.rowsBetween(_START, -1)).alias("__w"))
     carries = (
         rows.groupBy(*keys, "__seg")
         .agg(*summaries)
-        .select(*keys, "__seg", F.lag("__seg").over(by_segment).alias("__has"), *carried)
-        .where(F.col("__has").isNotNull())
-        .select(*keys, "__seg", F.lit(0).alias("__kind"), *handed)
+        .select(*keys, "__seg", F.lit(0).alias("__kind"), F.lag("__seg").over(by_segment).alias("__from"), *carried)
+        .where(F.col("__from").isNotNull())
+        .drop("__from")
     )
     out = rows.withColumn("__kind", F.lit(1)).unionByName(carries, allowMissingColumns=True)
     within = Window.partitionBy(*keys, "__seg").orderBy("__kind", *order)
     if previous:
-        out = out.withColumn(previous[1], F.lag(previous[0]).over(within))
+        out = out.withColumn(previous[1], F.lag("__v").over(within))
     if before:
-        total = F.sum(before[0]).over(within.rowsBetween(_START, -1))
+        total = F.sum("__w").over(within.rowsBetween(_START, -1))
         out = out.withColumn(before[1], F.coalesce(total, F.lit(0)))
-    return out.where(F.col("__kind") == 1).drop("__seg", "__kind")
+    return out.where(F.col("__kind") == 1).drop("__seg", "__kind", "__v", "__w")
 
 
 def range_segments(df: DataFrame, order: Sequence[str], parts: int | None = None) -> DataFrame:
