@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fogline.operators.keys import selective_first
@@ -93,6 +93,13 @@ def split_missing_identity(df: DataFrame, required: Sequence[str]) -> tuple[Colu
     return complete, counts
 
 
+def observe_counts(df: DataFrame, name: str, **conditions: Column) -> tuple[DataFrame, Observation]:
+    """Count rows and conditions while the returned frame is written, without a second pass."""
+    observation = Observation(name)
+    counts = [F.count_if(condition).alias(label) for label, condition in conditions.items()]
+    return df.observe(observation, F.count(F.lit(1)).alias("rows"), *counts), observation
+
+
 @dataclass(frozen=True)
 class Rules:
     """Declarative checks on one table. Names listed in ``warn`` do not fail the run."""

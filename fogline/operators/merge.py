@@ -88,13 +88,14 @@ def close_missing(
     if not require_monotonic(snapshot, previous):
         return target
     present = active_ids.select(id_col).dropna().distinct().withColumn("__present", F.lit(True))
-    gone = F.col(removed).isNull() & F.col("__present").isNull()
     closed_at = F.to_timestamp(F.lit(previous.isoformat()))
-    return (
-        target.join(present, id_col, "left")
-        .withColumn(removed, F.when(gone, closed_at).otherwise(F.col(removed)))
-        .select(*target.columns)
+    # Closed rows, usually the large majority, stay out of the join.
+    checked = (
+        target.where(F.col(removed).isNull())
+        .join(present, id_col, "left")
+        .withColumn(removed, F.when(F.col("__present").isNull(), closed_at).otherwise(F.col(removed)))
     )
+    return target.where(F.col(removed).isNotNull()).unionByName(checked.select(*target.columns))
 
 
 def replace_days(target: DataFrame, incoming: DataFrame, day: Column, days: Sequence[dt.date]) -> DataFrame:

@@ -77,9 +77,14 @@ def range_segments(df: DataFrame, order: Sequence[str], parts: int | None = None
     return cut_lineage(ranged)
 
 
-def running_total(df: DataFrame, order: Sequence[str], weight: Column, out: str) -> DataFrame:
-    """Inclusive running sum of ``weight`` over the whole table in ``order``."""
-    pieces = range_segments(df, order).withColumn("__w", weight)
+def running_total(
+    df: DataFrame, order: Sequence[str], weight: Column, out: str, parts: int | None = None
+) -> DataFrame:
+    """Inclusive running sum of ``weight`` over the whole table in ``order``.
+
+    ``parts`` defaults to the session's shuffle partitions.
+    """
+    pieces = range_segments(df, order, parts).withColumn("__w", weight)
     totals = pieces.groupBy("__seg").agg(F.sum("__w").alias("__total"))
     # One row per range piece, so this single-task window stays as small as the partition count.
     before = totals.select(
@@ -96,16 +101,18 @@ def running_total(df: DataFrame, order: Sequence[str], weight: Column, out: str)
     )
 
 
-def ordinal(df: DataFrame, order: Sequence[str], out: str = "ordinal") -> DataFrame:
+def ordinal(df: DataFrame, order: Sequence[str], out: str = "ordinal", parts: int | None = None) -> DataFrame:
     """1-based position of every row in the total order given by ``order``."""
-    return running_total(df, order, F.lit(1), out)
+    return running_total(df, order, F.lit(1).cast("bigint"), out, parts)
 
 
-def sample_every_k(df: DataFrame, order: Sequence[str], every_k: int, first_n: int | None = None) -> DataFrame:
+def sample_every_k(
+    df: DataFrame, order: Sequence[str], every_k: int, first_n: int | None = None, parts: int | None = None
+) -> DataFrame:
     """Every k-th row in order, beginning with the first; optionally only the first n of those."""
     if every_k < 1:
         raise ValueError("every_k must be at least 1")
-    numbered = ordinal(df, order, "__pos")
+    numbered = ordinal(df, order, "__pos", parts)
     chosen = numbered.where(F.pmod(F.col("__pos") - 1, F.lit(every_k)) == 0)
     if first_n is not None:
         chosen = chosen.where(F.col("__pos") <= first_n * every_k)

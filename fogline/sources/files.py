@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from fogline.functions.temporal import lookback_dates, snapshot_ts_from_path
 from fogline.functions.text import last_path_part, strip_bom
+from fogline.operators.lookup import lookup_join
+from fogline.operators.scan import scan_in_segments
+
+BYTES_PER_FILE_ENTRY = 400
 
 
 def parse_json_array(df: DataFrame, text: str, schema: str, ordinal: str = "ordinal") -> DataFrame:
@@ -67,21 +71,29 @@ def read_binary_snapshots(spark: SparkSession, path: str, glob: str = "*.pb") ->
 def snapshot_manifest(files: DataFrame, path: str = "path") -> DataFrame:
     """Feed, agency, folder date, file-name time and position within the folder for every file.
 
-    Positions follow the file name inside one feed, agency and day: at one poll a minute a
-    folder holds 1,440 files.
+    Positions follow the file name inside one feed, agency and day. They are computed from
+    the paths alone, cut by the minute in the name; file contents are joined back to them and
+    never enter that sort.
     """
     parts = F.split(path, "/")
-    named = files.withColumns(
-        {
-            "blob_name": F.col(path),
-            "feed": F.try_element_at(parts, F.lit(-4)),
-            "agency_id": F.try_element_at(parts, F.lit(-3)),
-            "source_date": F.try_to_date(F.try_element_at(parts, F.lit(-2)), "yyyy-MM-dd"),
-            "filename_snapshot_ts": snapshot_ts_from_path(F.col(path)),
-        }
+    listed = files.select(
+        F.col(path).alias("blob_name"),
+        F.try_element_at(parts, F.lit(-4)).alias("feed"),
+        F.try_element_at(parts, F.lit(-3)).alias("agency_id"),
+        F.try_to_date(F.try_element_at(parts, F.lit(-2)), "yyyy-MM-dd").alias("source_date"),
+        snapshot_ts_from_path(F.col(path)).alias("filename_snapshot_ts"),
+        F.lit(1).cast("bigint").alias("__one"),
     )
-    folder = Window.partitionBy("feed", "agency_id", "source_date").orderBy("blob_name")
-    return named.withColumn("blob_order", F.row_number().over(folder) - 1)
+    # The first 16 characters of a name are its minute; text prefixes keep the name order.
+    minute = F.substring(last_path_part(F.col("blob_name")), 1, 16)
+    numbered = scan_in_segments(
+        listed, ["feed", "agency_id", "source_date"], ["blob_name"], minute, before=("__one", "blob_order")
+    ).drop("__one")
+    rest = [c for c in files.columns if c != path]
+    if not rest:
+        return numbered
+    renamed = files.withColumnRenamed(path, "blob_name")
+    return lookup_join(renamed, numbered, ["blob_name"], how="inner", dim_bytes=BYTES_PER_FILE_ENTRY * files.count())
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -256,3 +256,17 @@ def test_dq_report_severities(spark):
 def test_empty_like(spark):
     df = spark.createDataFrame([(1, "a")], "a int, b string")
     assert merge.empty_like(df).schema == df.schema and merge.empty_like(df).isEmpty()
+
+
+def test_counts_are_observed_during_a_write(spark, tmp_path):
+    df = spark.createDataFrame([(1,), (None,), (3,)], "a int")
+    watched, seen = checks.observe_counts(df, "stats", missing=F.col("a").isNull())
+    watched.write.parquet(str(tmp_path / "out"))
+    assert seen.get == {"rows": 3, "missing": 1}
+
+
+def test_missing_identity_split(spark):
+    df = spark.createDataFrame([("t", 1), (None, 1), ("t", None)], "trip_id string, stop_sequence int")
+    complete, counts = checks.split_missing_identity(df, ["trip_id", "stop_sequence"])
+    assert df.where(complete).count() == 1
+    assert tuple(counts.first()) == (3, 1, 2)
