@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,7 +46,7 @@ RENTAL_COLUMNS = (
 )
 
 
-def clean_police(raw: DataFrame, source_tz: str = PACIFIC) -> DataFrame:
+def clean_police(raw: DataFrame, source_tz: str = PACIFIC, keep: Sequence[str] = ()) -> DataFrame:
     """Renamed, typed police reports; floating times are local, bad numbers become NULL."""
 
     def value(source: str, target: str) -> Column:
@@ -58,7 +60,7 @@ def clean_police(raw: DataFrame, source_tz: str = PACIFIC) -> DataFrame:
     columns = [value(s, t).alias(t) for s, t in POLICE_FIELDS.items()]
     if "point" in raw.columns:
         columns.append(geojson_point_wkt(F.col("point")).alias("point"))
-    return raw.select(*columns)
+    return raw.select(*columns, *keep)
 
 
 def clean_311(

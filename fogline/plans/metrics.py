@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fogline.functions.geo import rings_geojson, wkt_rings
-from fogline.functions.temporal import pacific_range_to_utc, tod_us
+from fogline.functions.temporal import pacific_range_to_utc, tod_us, utc_to_pacific_date_text
 from fogline.schemas import BEDROOM_BUCKETS, BOUNDARY_COLUMNS
 
 BOUNDARY = ("boundary_type", "boundary_id")
@@ -323,3 +323,87 @@ def incident_parity(events: DataFrame, source: DataFrame, event_type: str, ts: s
         F.coalesce("mart_rows", zero).alias("mart_rows"),
         (F.coalesce("source_rows", zero) == F.coalesce("mart_rows", zero)).alias("equal"),
     )
+
+
+def _one_boundary(df: DataFrame, boundary_type: str, boundary_id: str) -> DataFrame:
+    """Rows of one boundary, counted under that boundary system only."""
+    own = BOUNDARY_COLUMNS[boundary_type]
+    others = {c: F.lit(None).cast("string") for c in BOUNDARY_COLUMNS.values() if c != own}
+    return df.where(F.col(own) == boundary_id).withColumns(others)
+
+
+def _asked(df: DataFrame, boundary_type: str, boundary_id: str) -> DataFrame:
+    return df.sparkSession.range(1).select(
+        F.lit(boundary_type).alias("boundary_type"), F.lit(boundary_id).alias("boundary_id")
+    )
+
+
+def boundary_totals(events: DataFrame, boundary_type: str, boundary_id: str) -> DataFrame:
+    """KPIs of one boundary: always one row, zero counts where it has no events."""
+    kpis = boundary_kpis(_one_boundary(events, boundary_type, boundary_id))
+    totals = ["incidents_311_total", "police_total", "transit_arrivals_total"]
+    return _asked(events, boundary_type, boundary_id).join(kpis, list(BOUNDARY), "left").na.fill(0, totals)
+
+
+def boundary_rentals(
+    rentals: DataFrame,
+    boundary_type: str,
+    boundary_id: str,
+    start_date: str,
+    end_date: str,
+    as_of: Column,
+    as_of_date: Column,
+) -> DataFrame:
+    """Rental comparison of one boundary: always all five buckets, in display order."""
+    found = rental_comparison(
+        _one_boundary(rentals, boundary_type, boundary_id), start_date, end_date, as_of, as_of_date
+    ).drop("bucket_order", "current_as_of")
+    buckets = F.posexplode(F.array(*[F.lit(b) for b in BEDROOM_BUCKETS])).alias("bucket_order", "bedroom_bucket")
+    spine = _asked(rentals, boundary_type, boundary_id).select("*", buckets)
+    return (
+        spine.join(found, [*BOUNDARY, "bedroom_bucket"], "left")
+        .na.fill(0, ["selected_listing_count", "current_listing_count"])
+        .withColumn("current_as_of", as_of_date)
+        .orderBy("bucket_order")
+    )
+
+
+def boundary_metrics(
+    events: DataFrame,
+    rentals: DataFrame,
+    boundary_type: str,
+    boundary_id: str,
+    start_date: str,
+    end_date: str,
+    start_time: str,
+    end_time: str,
+    as_of: Column,
+    as_of_date: Column,
+) -> dict[str, DataFrame]:
+    """Everything the dashboard shows for one boundary."""
+    chosen = select_events(events, start_date, end_date, start_time, end_time)
+    histogram = category_histogram(_one_boundary(chosen, boundary_type, boundary_id))
+
+    def ordered(kind: str) -> DataFrame:
+        mine = histogram.where(F.col("event_type") == kind).select("category", "category_count")
+        return mine.orderBy(F.desc("category_count"), "category")
+
+    return {
+        "totals": boundary_totals(chosen, boundary_type, boundary_id),
+        "hist_311": ordered("311"),
+        "hist_police": ordered("police"),
+        "rentals": boundary_rentals(
+            rentals, boundary_type, boundary_id, start_date, end_date, as_of, as_of_date
+        ),
+    }
+
+
+def default_date_range(events: DataFrame, today: dt.date) -> tuple[str, str]:
+    """Pacific dates of the usable time bounds, or the last seven days where there are none."""
+    bounds = time_bounds(events).select(
+        utc_to_pacific_date_text(F.col("start_ts")).alias("first"),
+        utc_to_pacific_date_text(F.col("end_ts")).alias("last"),
+    ).first()
+    if bounds["first"] is None or bounds["last"] is None:
+        return (today - dt.timedelta(days=7)).isoformat(), today.isoformat()
+    return bounds["first"], bounds["last"]

@@ -11,6 +11,7 @@ from fogline.operators.keys import CANONICAL_KEY
 from fogline.operators.latest import latest_trip_updates, latest_vehicle_positions
 from fogline.operators.merge import surrogate_key, upsert_latest
 from fogline.schemas import TRIP_STOP_CONTRACT, TRIP_STOP_PK, project_contract
+from fogline.session import cut_lineage
 from fogline.sources.gtfs import (
     decode_trip_updates,
     decode_vehicle_positions,
@@ -32,21 +33,37 @@ def transit_day(trip_updates: DataFrame, positions: DataFrame) -> DataFrame:
     )
 
 
-def run_transit_day(trip_update_files: DataFrame, position_files: DataFrame, target: DataFrame) -> DataFrame:
-    """Snapshot files (see ``snapshot_manifest``) -> new target table, every gate applied."""
+def stage_transit_day(trip_update_files: DataFrame, position_files: DataFrame) -> DataFrame:
+    """Snapshot files (see ``snapshot_manifest``) -> rows to merge, every gate applied.
+
+    The decoded records are kept while the gates look at them, so no file is read twice, and
+    the result is written once before anything merges it.
+    """
     decoded = {
         "TripUpdates": decode_trip_updates(trip_update_files).persist(),
         "VehiclePositions": decode_vehicle_positions(position_files).persist(),
     }
-    for name, records in decoded.items():
-        require_rows(records, f"{name} input")
-        require_no_decode_errors(records, name)
-    stage = transit_day(
-        trip_update_observations(decoded["TripUpdates"]),
-        vehicle_position_observations(decoded["VehiclePositions"]),
-    )
+    try:
+        for name, records in decoded.items():
+            require_rows(records, f"{name} input")
+            require_no_decode_errors(records, name)
+        stage = cut_lineage(
+            transit_day(
+                trip_update_observations(decoded["TripUpdates"]),
+                vehicle_position_observations(decoded["VehiclePositions"]),
+            )
+        )
+    finally:
+        for records in decoded.values():
+            records.unpersist()
     require_rows(stage, "joined day")
     require_unique(stage, CANONICAL_KEY, "joined day")
+    return stage
+
+
+def run_transit_day(trip_update_files: DataFrame, position_files: DataFrame, target: DataFrame) -> DataFrame:
+    """Snapshot files -> new contents of the target table."""
+    stage = stage_transit_day(trip_update_files, position_files)
     return upsert_latest(target, stage, CANONICAL_KEY, "latest_snapshot_ts")
 
 

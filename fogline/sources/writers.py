@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fogline.session import cut_lineage
 from fogline.sources.files import path_exists
 
 # Fixed values of the storage layout.
@@ -94,7 +95,7 @@ def write_mart(
 
 def replace_mart_days(spark: SparkSession, incoming: DataFrame, path: str, days: Sequence[dt.date], partition: str) -> None:
     """Delete-and-append of whole days: new rows overwrite their partitions, empty days are removed."""
-    rows = incoming.where(F.col(partition).isin(*[F.lit(d) for d in days]))
+    rows = cut_lineage(incoming.where(F.col(partition).isin(*[F.lit(d) for d in days])))
     delivered = {r[0] for r in rows.select(partition).distinct().collect()}
     write_mart(rows, path, partition, sort=())
     for day in set(days) - delivered:
@@ -155,6 +156,8 @@ def merge_into_partitions(spark: SparkSession, path: str, changed: DataFrame, pa
     The merged partitions are written beside the table first, because a path cannot be read
     and overwritten in one job; a rerun after a failure repeats the same result.
     """
+    changed = cut_lineage(changed)
+    # One value per partition touched: a batch covers a handful of days.
     touched = [r[0] for r in changed.select(partition).distinct().collect()]
     if not touched:
         return

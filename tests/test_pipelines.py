@@ -1,0 +1,148 @@
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from fogline.operators.checks import QualityError
+from fogline.plans import metrics, pipelines
+from fogline.schemas import PIPELINE_STATE, STOPS
+from fogline.sources.writers import VersionedTable
+from tests.test_metrics import U, event, events
+from tests.test_sources import add_trip, feed, land, put
+
+DIM_DDL = "id bigint, name string, geometry string"
+
+
+@pytest.fixture()
+def dim(spark):
+    return spark.createDataFrame([(7, "Mission", "POLYGON ((-1 -1, 1 -1, 1 1, -1 1, -1 -1))")], DIM_DDL)
+
+
+def test_police_window_is_rebuilt_and_idempotent(spark, tmp_path, dim):
+    base, table = tmp_path / "raw", str(tmp_path / "police")
+
+    def deliver(day, *ids):
+        records = [
+            {"incident_id": i, "incident_datetime": f"{day}T12:00:00.000", "point": {"type": "Point", "coordinates": [0.5, 0.5]} if i != "nowhere" else None}
+            for i in ids
+        ]
+        put(base / f"incident_date={day}" / "r.json", records)
+
+    deliver("2026-03-01", "a")
+    deliver("2026-03-02", "b", "b", "nowhere")
+    deliver("2026-03-03", "c")
+    run = lambda days: pipelines.refresh_police(spark, str(base), table, dim, dim, "2026-03-03", days, cell=0.5)
+    read = lambda: sorted((r["police_incident_id"], r["neighborhood_id"], str(r["incident_date"])) for r in spark.read.parquet(table).collect())
+    run(3)
+    first = read()
+    assert first == [("a", 7, "2026-03-01"), ("b", 7, "2026-03-02"), ("b", 7, "2026-03-02"), ("c", 7, "2026-03-03"), ("nowhere", None, "2026-03-02")]
+    run(3)
+    assert read() == first
+    deliver("2026-03-02", "d")
+    deliver("2026-03-03")
+    deliver("2026-03-01", "changed but outside the window")
+    run(2)
+    assert read() == [("a", 7, "2026-03-01"), ("d", 7, "2026-03-02")]
+
+
+def test_311_upsert(spark, tmp_path, dim):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    record = lambda i, status: {"service_request_id": i, "status_description": status, "lat": "0", "long": "0"}
+    pipelines.refresh_311(spark, put(tmp_path / "d1", [record("1", "Open"), record("2", "Open")]), table, dim, dim, cell=0.5)
+    pipelines.refresh_311(spark, put(tmp_path / "d2", [record("2", "Closed"), record("3", "Open")]), table, dim, dim, cell=0.5)
+    assert sorted((r["311_incident_id"], r["status_description"]) for r in table.read().collect()) == [(1, "Open"), (2, "Closed"), (3, "Open")]
+
+
+def rental(i, listed="2026-06-01T00:00:00.000Z", price=10):
+    return {"id": i, "formattedAddress": "a", "latitude": 37.75, "longitude": -122.4, "bedrooms": 1,
+            "history": {"2026-06-01": {"event": "Rental Listing", "price": price, "listedDate": listed, "removedDate": None}}}
+
+
+def test_rental_state_machine(spark, tmp_path, dim):
+    listings, state = (VersionedTable(spark, str(tmp_path / n)) for n in ("listings", "state"))
+    empty = pipelines.clean.clean_rentals(
+        pipelines.read_json_snapshot(spark, put(tmp_path / "none", []), pipelines.RAW_RENTAL), dim, dim
+    )
+    listings.replace(empty)
+    state.replace(spark.createDataFrame([("rentcast_active", dt.date(2026, 6, 30), 0, 0, None), ("other", None, 0, 0, None)], PIPELINE_STATE))
+    now = F.lit("2026-07-02 09:00:00").cast("timestamp")
+
+    def run(day, records, name="s"):
+        pipelines.refresh_rentals(spark, put(tmp_path / f"{name}{day}", records), listings, state, dim, dim, dt.date(2026, 7, day), now)
+
+    def table():
+        return {r["rentcast_id"]: r["removed_date"] for r in listings.read().collect()}
+
+    run(1, [rental("L1"), rental("L2")])
+    assert table() == {"L1": None, "L2": None}
+    run(1, [rental("L1")], "retry")  # same day: nothing is closed
+    assert table() == {"L1": None, "L2": None}
+    run(2, [rental("L1", price=12)])
+    assert table() == {"L1": None, "L2": dt.datetime(2026, 7, 1)}
+    row = state.read().where("pipeline_name = 'rentcast_active'").first()
+    assert (row["last_successful_snapshot_date"], row["loaded_active_count"]) == (dt.date(2026, 7, 2), 1)
+    before = listings.current()
+    for day, records in ((1, [rental("L1")]), (3, []), (3, [rental("L1"), rental("L1")])):
+        with pytest.raises(QualityError):
+            run(day, records, "bad")
+    assert listings.current() == before and state.read().count() == 2
+    run(3, [rental("L1"), rental("L2")])  # re-listed under the same episode: open again
+    assert table() == {"L1": None, "L2": None}
+
+
+def test_stops_keep_ids_until_reassigned(spark, tmp_path, dim):
+    table = VersionedTable(spark, str(tmp_path / "stops"))
+    table.replace(spark.createDataFrame([("1", "muni", "old", 0.0, 0.0, "POINT(0.0 0.0)", 7, 7), ("9", "bart", "b", 0.0, 0.0, "POINT(0.0 0.0)", 1, 1)], STOPS))
+    doc = {"stops": [{"id": "1", "Name": "new", "Location": {"Longitude": 50, "Latitude": 50}}, {"id": "2", "Location": {"Longitude": 0.5, "Latitude": 0.5}}]}
+    pipelines.refresh_stops(spark.createDataFrame([("muni", json.dumps(doc))], "agency_id string, document string"), table, dim, dim, ["muni"], cell=0.5)
+    got = {(r["agency_id"], r["stop_id"]): (r["stop_name"], r["neighborhood_id"]) for r in table.read().collect()}
+    assert got == {("muni", "1"): ("new", None), ("muni", "2"): (None, 7), ("bart", "9"): ("b", 1)}
+
+
+def test_transit_table_is_merged_by_service_date(spark, tmp_path):
+    raw, table = str(tmp_path / "raw"), str(tmp_path / "trip_stops")
+    for minute in range(2):
+        message = feed()
+        message.header.timestamp += 60 * minute
+        add_trip(message)
+        land(tmp_path, f"2026-06-23T00-0{minute}-00.000000Z.pb", message)
+    position = feed()
+    v = position.entity.add(id="1").vehicle
+    v.trip.trip_id, v.trip.start_date, v.current_stop_sequence, v.vehicle.id = "t1", "20260623", 7, "bus-1"
+    land(tmp_path, "2026-06-23T00-00-00.000000Z.pb", position, "VehiclePositions")
+    for _ in range(2):
+        pipelines.refresh_transit_day(spark, raw, table, "muni", "2026-06-23")
+    got = spark.read.parquet(table).collect()
+    assert len(got) == 1 and got[0]["vehicle_id"] == "bus-1" and str(got[0]["trip_start_date"]) == "2026-06-23"
+
+
+def test_dashboard_of_an_empty_boundary(spark):
+    rentals = spark.createDataFrame([], "neighborhood_id string, police_district_id string, bedroom_bucket string, price bigint, listed_date timestamp, removed_date timestamp")
+    facts = events(spark, [event("311", U(10, 12), nb="1", category="b"), event("311", U(10, 12), nb="1", category="a")])
+    args = ("2026-06-10", "2026-06-10", "00:00", "23:59", F.lit("2026-07-01").cast("timestamp"), F.lit("2026-07-01").cast("date"))
+    none = metrics.boundary_metrics(facts, rentals, "neighborhoods", "99", *args)
+    row = none["totals"].first()
+    assert (row["incidents_311_total"], row["transit_median_delay_sec"], row["transit_pct_delay_over_300_sec"]) == (0, None, None)
+    assert [r["bedroom_bucket"] for r in none["rentals"].collect()] == ["studio", "1bd", "2bd", "3bd", "4bd+"]
+    some = metrics.boundary_metrics(facts, rentals, "neighborhoods", "1", *args)
+    assert [r["category"] for r in some["hist_311"].collect()] == ["a", "b"] and some["hist_police"].count() == 0
+    assert some["totals"].count() == 1
+
+
+def test_default_date_range(spark):
+    today = dt.date(2026, 7, 10)
+    assert metrics.default_date_range(events(spark, [event("311", U(1))]), today) == ("2026-07-03", "2026-07-10")
+    full = [event(k, U(d, 12)) for k in ("311", "police", "transit") for d in (1, 20)]
+    assert metrics.default_date_range(events(spark, full), today) == ("2026-06-01", "2026-06-20")
+
+
+def test_marts_are_written(spark, tmp_path):
+    from tests.conftest import SF
+    from workload.standins import Tables
+
+    t = Tables(spark, SF)
+    pipelines.build_marts(t.incidents_311, t.police_incidents, t.trip_stops, t.stops, t.neighborhoods, t.police_districts, t.rental_listings, str(tmp_path))
+    assert spark.read.parquet(str(tmp_path / "gold_dashboard_events")).count() == t.gold_events.count()
+    assert spark.read.parquet(str(tmp_path / "gold_rental_listings")).count() == t.gold_rentals.count()
+    assert spark.read.parquet(str(tmp_path / "gold_boundaries")).count() == 135

@@ -372,3 +372,61 @@ def boundary_id_normalised(t):
     )
     counted = t.events.groupBy(raw.alias("raw_id")).agg(F.count("*").alias("n"))
     return counted.select("raw_id", tx.normalise_boundary_id(F.col("raw_id")).alias("boundary_id"), "n")
+
+
+@query(
+    "dashboard_totals",
+    f"""SELECT 'neighborhoods' AS boundary_type, '5' AS boundary_id, count(*) FILTER (event_type = '311') AS incidents_311_total,
+               count(*) FILTER (event_type = 'police') AS police_total,
+               count(*) FILTER (event_type = 'transit') AS transit_arrivals_total,
+               quantile_disc(arrival_delay_sec, 0.5) AS transit_median_delay_sec,
+               CASE WHEN count(arrival_delay_sec) > 0
+                    THEN count(*) FILTER (arrival_delay_sec > 300) / cast(count(arrival_delay_sec) AS double) * 100 END
+                 AS transit_pct_delay_over_300_sec
+        FROM chosen_events WHERE neighborhood_id = '5'""",
+)
+def dashboard_totals(t):
+    return metrics.boundary_totals(_chosen(t), "neighborhoods", "5")
+
+
+def _dashboard(t, boundary_id):
+    return metrics.boundary_metrics(
+        t.gold_events,
+        t.gold_rentals,
+        "neighborhoods",
+        boundary_id,
+        START,
+        END,
+        *TIMES,
+        F.lit("2024-06-01 00:00:00").cast("timestamp"),
+        F.lit("2024-06-01").cast("date"),
+    )
+
+
+@query(
+    "dashboard_histograms",
+    """SELECT event_type, category, count(*) AS category_count FROM chosen_events
+       WHERE neighborhood_id = '7' AND event_type IN ('311', 'police') GROUP BY 1, 2""",
+)
+def dashboard_histograms(t):
+    parts = _dashboard(t, "7")
+    return (
+        parts["hist_311"].withColumn("event_type", F.lit("311"))
+        .unionByName(parts["hist_police"].withColumn("event_type", F.lit("police")))
+    )
+
+
+@query(
+    "dashboard_rentals",
+    f"""SELECT 'neighborhoods' AS boundary_type, '7' AS boundary_id, b.bucket_order, b.bedroom_bucket,
+               avg(price) FILTER (listed_date < {END_UTC} AND (removed_date IS NULL OR removed_date > {START_UTC})) AS selected_average_price,
+               count(rentcast_id) FILTER (listed_date < {END_UTC} AND (removed_date IS NULL OR removed_date > {START_UTC})) AS selected_listing_count,
+               avg(price) FILTER (removed_date IS NULL AND listed_date <= timestamp '2024-06-01') AS current_average_price,
+               count(rentcast_id) FILTER (removed_date IS NULL AND listed_date <= timestamp '2024-06-01') AS current_listing_count,
+               '2024-06-01' AS current_as_of
+        FROM (SELECT unnest(['studio', '1bd', '2bd', '3bd', '4bd+']) AS bedroom_bucket, unnest(range(5)) AS bucket_order) b
+        LEFT JOIN gold_rental r ON r.bedroom_bucket = b.bedroom_bucket AND r.neighborhood_id = '7'
+        GROUP BY ALL""",
+)
+def dashboard_rentals(t):
+    return _dashboard(t, "7")["rentals"]

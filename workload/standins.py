@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fogline.operators.lookup import estimated_bytes
+
 
 class SparkDialect:
     def quote(self, name):
@@ -99,13 +101,14 @@ def neighborhoods(d):
            CASE WHEN n % 10 = 0 THEN 'St. Mary''s ' || cast(n AS string) ELSE 'Area ' || cast(n AS string) END AS name,
            CASE WHEN n = 125 THEN NULL
                 WHEN n = 13 THEN 'POLYGON ((broken'
-                WHEN n % 11 = 0 THEN 'MULTIPOLYGON ((' || {outer} || '), (' || {islet} || '))'
-                WHEN n % 7 = 0 THEN 'POLYGON (' || {outer} || ', ' || {hole} || ')'
-                ELSE 'POLYGON (' || {outer} || ')' END AS geometry
-    FROM (SELECT n, ((n - 1) % 14) * 11500 AS x, {d.idiv("n - 1", 14)} * 14500 AS y,
-                 CASE WHEN n % 9 = 0 THEN 3738 ELSE 2875 END AS q
-          FROM (SELECT cast(n_nationkey * 5 + j + 1 AS bigint) AS n
-                FROM (SELECT n_nationkey, {d.each(5)} AS j FROM {{nation}}) a) b) c"""
+                WHEN n % 11 = 0 THEN 'MULTIPOLYGON ((' || outline || '), (' || islet || '))'
+                WHEN n % 7 = 0 THEN 'POLYGON (' || outline || ', ' || hole || ')'
+                ELSE 'POLYGON (' || outline || ')' END AS geometry
+    FROM (SELECT n, {outer} AS outline, {hole} AS hole, {islet} AS islet
+          FROM (SELECT n, ((n - 1) % 14) * 11500 AS x, {d.idiv("n - 1", 14)} * 14500 AS y,
+                       CASE WHEN n % 9 = 0 THEN 3738 ELSE 2875 END AS q
+                FROM (SELECT cast(n_nationkey * 5 + j + 1 AS bigint) AS n
+                      FROM (SELECT n_nationkey, {d.each(5)} AS j FROM {{nation}}) a) b) c) r"""
 
 
 def police_districts(d):
@@ -270,6 +273,13 @@ STANDINS = {
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
+SPREAD_BY = {
+    "lineitem": ("l_orderkey", "l_partkey", "l_suppkey"),
+    "orders": ("o_orderkey",),
+    "events": ("event_id",),
+}
+SPREAD_FROM, SPREAD_TO = 2 * 1024**2, 512 * 1024**2
+
 
 @dataclass(frozen=True)
 class Tables:
@@ -280,13 +290,22 @@ class Tables:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
-            return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            return self._spread(name, self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
         if name in STANDINS:
             text = STANDINS[name](SparkDialect())
             used = {t: getattr(self, t) for t in BASE_TABLES if f"{{{t}}}" in text}
             return self.spark.sql(text, **used)
         raise AttributeError(f"no table or view named {name}")
 
+    def _spread(self, name: str, df: DataFrame) -> DataFrame:
+        """A table of a few megabytes is one row group, hence one task: deal it to all cores.
+
+        Larger tables split by themselves and are read as they are.
+        """
+        if name not in SPREAD_BY or not SPREAD_FROM < estimated_bytes(df) < SPREAD_TO:
+            return df
+        return df.repartition(self.spark.sparkContext.defaultParallelism, *SPREAD_BY[name])
+
     @cached_property
     def gold_events(self) -> DataFrame:
         from fogline.plans.marts import gold_dashboard_events
