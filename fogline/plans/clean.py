@@ -77,9 +77,11 @@ def clean_311(
     Source times are UTC as they stand. Addresses are looked up in ``geocodes`` only where
     coordinates are missing and the address is a real one.
     """
+    number = F.col("service_request_id").try_cast("bigint")
+    refusal = F.concat(F.lit("311 record without a numeric id: "), F.coalesce("service_request_id", F.lit("NULL")))
     typed = raw.withColumns(
         {
-            "311_incident_id": F.col("service_request_id").try_cast("bigint"),
+            "311_incident_id": F.coalesce(number, F.raise_error(refusal).cast("bigint")),
             "__own_lat": F.col("lat").cast("string").try_cast("double"),
             "__own_long": F.col("long").cast("string").try_cast("double"),
         }
@@ -128,10 +130,11 @@ def clean_311(
 
 
 def explode_history(raw: DataFrame) -> DataFrame:
-    """One row per history entry; its price and dates replace the listing's own."""
+    """One row per history entry, in document order; its price and dates replace the listing's own."""
     kept = [c for c in raw.columns if c not in ("price", "listedDate", "removedDate", "history")]
-    return raw.select(*kept, F.explode("history").alias("event_date", "__entry")).select(
+    return raw.select(*kept, F.posexplode("history").alias("event_position", "event_date", "__entry")).select(
         *kept,
+        "event_position",
         "event_date",
         F.col("__entry.event").alias("event"),
         F.col("__entry.price").alias("price"),
@@ -143,7 +146,7 @@ def explode_history(raw: DataFrame) -> DataFrame:
 def rental_episodes(raw: DataFrame, ordinal: str = "ordinal") -> DataFrame:
     """Listing episodes typed and de-duplicated per (rentcast_id, listed_date), last one kept.
 
-    Order inside one listing is the history date; across listings the source ordinal.
+    Order is the position of the listing, then of the entry within its history.
     """
     typed = explode_history(raw).select(
         F.col("id").alias("rentcast_id"),
@@ -158,7 +161,7 @@ def rental_episodes(raw: DataFrame, ordinal: str = "ordinal") -> DataFrame:
         F.col("formattedAddress").alias("formatted_address"),
         F.col("latitude").alias("lat"),
         F.col("longitude").alias("long"),
-        F.struct(F.col(ordinal), F.col("event_date")).alias("__position"),
+        F.struct(F.col(ordinal), F.col("event_position")).alias("__position"),
     )
     known = typed.dropna(subset=["rentcast_id", "listed_date"])
     return keep_last(known, ["rentcast_id", "listed_date"], "__position").drop("__position")
@@ -172,12 +175,16 @@ def clean_rentals(
     geocodes: DataFrame | None = None,
     cell: float = 0.005,
 ) -> DataFrame:
-    """Episodes inside the city box with boundary ids (404 where no polygon holds the point)."""
-    episodes = rental_episodes(raw, ordinal)
-    box = in_box(F.col("long"), F.col("lat"))
+    """Episodes inside the city box with boundary ids (404 where no polygon holds the point).
+
+    Listings are located and checked before their history is unfolded.
+    """
+    box = in_box(F.col("longitude"), F.col("latitude"))
+    listings = raw
     if geocodes is not None:
-        episodes = geocode_lookup(episodes, geocodes, "formatted_address", ~box, "long", "lat")
-    placed = assign_boundaries(episodes.where(box), neighborhoods, districts, cell=cell)
+        listings = geocode_lookup(listings, geocodes, "formattedAddress", ~box, "longitude", "latitude")
+    episodes = rental_episodes(listings.where(box), ordinal)
+    placed = assign_boundaries(episodes, neighborhoods, districts, cell=cell)
     return placed.withColumn("geometry", point_wkt(F.col("long"), F.col("lat"))).select(*RENTAL_COLUMNS)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fogline.functions.geo import rings_geojson, wkt_rings
 from fogline.functions.temporal import pacific_range_to_utc, tod_us, utc_to_pacific_date_text
+from fogline.functions.text import blank_to_null
 from fogline.schemas import BEDROOM_BUCKETS, BOUNDARY_COLUMNS
 
 BOUNDARY = ("boundary_type", "boundary_id")
@@ -268,7 +269,7 @@ def boundary_day_rollup(events: DataFrame) -> DataFrame:
 
 def boundary_features(boundaries: DataFrame) -> DataFrame:
     """GeoJSON text per boundary that has a usable geometry."""
-    named = F.coalesce("boundary_name", "boundary_id")
+    named = F.coalesce(blank_to_null(F.col("boundary_name")), F.col("boundary_id"))
     return (
         boundaries.select(
             "boundary_type",

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fogline.operators.checks import QualityError
-from fogline.plans import metrics, pipelines
+from fogline.plans import jobs, metrics
 from fogline.schemas import PIPELINE_STATE, STOPS
 from fogline.sources.writers import VersionedTable
 from tests.test_metrics import U, event, events
@@ -32,7 +32,7 @@ def test_police_window_is_rebuilt_and_idempotent(spark, tmp_path, dim):
     deliver("2026-03-01", "a")
     deliver("2026-03-02", "b", "b", "nowhere")
     deliver("2026-03-03", "c")
-    run = lambda days: pipelines.refresh_police(spark, str(base), table, dim, dim, "2026-03-03", days, cell=0.5)
+    run = lambda days: jobs.refresh_police(spark, str(base), table, dim, dim, "2026-03-03", days, cell=0.5)
     read = lambda: sorted((r["police_incident_id"], r["neighborhood_id"], str(r["incident_date"])) for r in spark.read.parquet(table).collect())
     run(3)
     first = read()
@@ -49,8 +49,8 @@ def test_police_window_is_rebuilt_and_idempotent(spark, tmp_path, dim):
 def test_311_upsert(spark, tmp_path, dim):
     table = VersionedTable(spark, str(tmp_path / "t"))
     record = lambda i, status: {"service_request_id": i, "status_description": status, "lat": "0", "long": "0"}
-    pipelines.refresh_311(spark, put(tmp_path / "d1", [record("1", "Open"), record("2", "Open")]), table, dim, dim, cell=0.5)
-    pipelines.refresh_311(spark, put(tmp_path / "d2", [record("2", "Closed"), record("3", "Open")]), table, dim, dim, cell=0.5)
+    jobs.refresh_311(spark, put(tmp_path / "d1", [record("1", "Open"), record("2", "Open")]), table, dim, dim, cell=0.5)
+    jobs.refresh_311(spark, put(tmp_path / "d2", [record("2", "Closed"), record("3", "Open")]), table, dim, dim, cell=0.5)
     assert sorted((r["311_incident_id"], r["status_description"]) for r in table.read().collect()) == [(1, "Open"), (2, "Closed"), (3, "Open")]
 
 
@@ -61,15 +61,15 @@ def rental(i, listed="2026-06-01T00:00:00.000Z", price=10):
 
 def test_rental_state_machine(spark, tmp_path, dim):
     listings, state = (VersionedTable(spark, str(tmp_path / n)) for n in ("listings", "state"))
-    empty = pipelines.clean.clean_rentals(
-        pipelines.read_json_snapshot(spark, put(tmp_path / "none", []), pipelines.RAW_RENTAL), dim, dim
+    empty = jobs.clean.clean_rentals(
+        jobs.read_json_snapshot(spark, put(tmp_path / "none", []), jobs.RAW_RENTAL), dim, dim
     )
     listings.replace(empty)
     state.replace(spark.createDataFrame([("rentcast_active", dt.date(2026, 6, 30), 0, 0, None), ("other", None, 0, 0, None)], PIPELINE_STATE))
     now = F.lit("2026-07-02 09:00:00").cast("timestamp")
 
     def run(day, records, name="s"):
-        pipelines.refresh_rentals(spark, put(tmp_path / f"{name}{day}", records), listings, state, dim, dim, dt.date(2026, 7, day), now)
+        jobs.refresh_rentals(spark, put(tmp_path / f"{name}{day}", records), listings, state, dim, dim, dt.date(2026, 7, day), now)
 
     def table():
         return {r["rentcast_id"]: r["removed_date"] for r in listings.read().collect()}
@@ -95,7 +95,7 @@ def test_stops_keep_ids_until_reassigned(spark, tmp_path, dim):
     table = VersionedTable(spark, str(tmp_path / "stops"))
     table.replace(spark.createDataFrame([("1", "muni", "old", 0.0, 0.0, "POINT(0.0 0.0)", 7, 7), ("9", "bart", "b", 0.0, 0.0, "POINT(0.0 0.0)", 1, 1)], STOPS))
     doc = {"stops": [{"id": "1", "Name": "new", "Location": {"Longitude": 50, "Latitude": 50}}, {"id": "2", "Location": {"Longitude": 0.5, "Latitude": 0.5}}]}
-    pipelines.refresh_stops(spark.createDataFrame([("muni", json.dumps(doc))], "agency_id string, document string"), table, dim, dim, ["muni"], cell=0.5)
+    jobs.refresh_stops(spark.createDataFrame([("muni", json.dumps(doc))], "agency_id string, document string"), table, dim, dim, ["muni"], cell=0.5)
     got = {(r["agency_id"], r["stop_id"]): (r["stop_name"], r["neighborhood_id"]) for r in table.read().collect()}
     assert got == {("muni", "1"): ("new", None), ("muni", "2"): (None, 7), ("bart", "9"): ("b", 1)}
 
@@ -112,7 +112,7 @@ def test_transit_table_is_merged_by_service_date(spark, tmp_path):
     v.trip.trip_id, v.trip.start_date, v.current_stop_sequence, v.vehicle.id = "t1", "20260623", 7, "bus-1"
     land(tmp_path, "2026-06-23T00-00-00.000000Z.pb", position, "VehiclePositions")
     for _ in range(2):
-        pipelines.refresh_transit_day(spark, raw, table, "muni", "2026-06-23")
+        jobs.refresh_transit_day(spark, raw, table, "muni", "2026-06-23")
     got = spark.read.parquet(table).collect()
     assert len(got) == 1 and got[0]["vehicle_id"] == "bus-1" and str(got[0]["trip_start_date"]) == "2026-06-23"
 
@@ -142,7 +142,7 @@ def test_marts_are_written(spark, tmp_path):
     from workload.standins import Tables
 
     t = Tables(spark, SF)
-    pipelines.build_marts(t.incidents_311, t.police_incidents, t.trip_stops, t.stops, t.neighborhoods, t.police_districts, t.rental_listings, str(tmp_path))
+    jobs.build_marts(t.incidents_311, t.police_incidents, t.trip_stops, t.stops, t.neighborhoods, t.police_districts, t.rental_listings, str(tmp_path))
     assert spark.read.parquet(str(tmp_path / "gold_dashboard_events")).count() == t.gold_events.count()
     assert spark.read.parquet(str(tmp_path / "gold_rental_listings")).count() == t.gold_rentals.count()
     assert spark.read.parquet(str(tmp_path / "gold_boundaries")).count() == 135

@@ -51,6 +51,21 @@ def test_311_pipeline_from_files(spark, tmp_path):
     assert list(clean.clean_311(raw, dim, dim).columns) == list(clean.INCIDENT_311_COLUMNS)
 
 
+def test_311_record_without_an_id_is_refused(spark, tmp_path):
+    dim = spark.createDataFrame([(7, "Mission", None)], "id bigint, name string, geometry string")
+    for records in ([{"service_request_id": "x1"}], [{"lat": "0.5"}]):
+        raw = files.read_json_snapshot(spark, put(tmp_path / f"f{len(str(records))}", records), RAW_311)
+        with pytest.raises(Exception, match="without a numeric id"):
+            clean.clean_311(raw, dim, dim).collect()
+
+
+def test_history_keeps_document_order(spark, tmp_path):
+    entry = lambda price: {"price": price, "listedDate": "2026-01-01T00:00:00.000Z"}
+    record = {"id": "L1", "history": {"2026-02-01": entry(1), "2026-01-01": entry(2)}}
+    raw = files.read_json_snapshot(spark, put(tmp_path / "s", [record]), RAW_RENTAL)
+    assert [r["price"] for r in clean.rental_episodes(raw).collect()] == [2]
+
+
 def test_police_days_read_only_the_window(spark, tmp_path):
     base = tmp_path / "raw"
     for day in ("2026-03-07", "2026-03-08", "2026-03-09"):

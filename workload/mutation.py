@@ -104,7 +104,7 @@ def day_replace(t):
 
 
 @query(
-    "pipeline_state_update",
+    "snapshot_state_update",
     """SELECT r_name AS pipeline_name,
               CASE WHEN r_name = 'ASIA' THEN '2026-07-02' ELSE '2026-07-01' END AS last_successful_snapshot_date,
               CASE WHEN r_name = 'ASIA' THEN (SELECT count(*) FROM orders) ELSE 0 END AS expected_active_count,
@@ -112,7 +112,7 @@ def day_replace(t):
               CASE WHEN r_name = 'ASIA' THEN '2026-07-02 09:00:00.000000' ELSE '2026-07-01 00:00:00.000000' END AS updated_at
        FROM region""",
 )
-def pipeline_state_update(t):
+def snapshot_state_update(t):
     state = t.region.select(
         F.col("r_name").alias("pipeline_name"),
         F.lit("2026-07-01").cast("date").alias("last_successful_snapshot_date"),
