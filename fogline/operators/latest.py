@@ -19,11 +19,15 @@ def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], new
     keys = list(keys)
     payload = [c for c in df.columns if c not in keys]
     plain = [o for o in order if isinstance(o, str)]
-    # Remaining columns close the order, so equal sort keys still give one defined winner.
     ranked = [F.col(o) if isinstance(o, str) else o.alias(f"__order{i}") for i, o in enumerate(order)]
-    rank = F.struct(*ranked, *[c for c in payload if c not in plain])
-    choose = F.max if newest else F.min
-    picked = df.groupBy(*selective_first(keys)).agg(choose(rank).alias("__row"))
+    # Remaining columns close the order, so equal sort keys still give one defined winner.
+    closing = [f.name for f in df.schema if f.name in payload and "map<" not in f.dataType.simpleString()]
+    rank = F.struct(*ranked, *[c for c in closing if c not in plain])
+    if len(closing) == len(payload):
+        winner = (F.max if newest else F.min)(rank)
+    else:  # maps have no order, so they travel beside the rank
+        winner = (F.max_by if newest else F.min_by)(F.struct(*payload), rank)
+    picked = df.groupBy(*selective_first(keys)).agg(winner.alias("__row"))
     return picked.select(*[_restore(c, keys) for c in df.columns])
 
 

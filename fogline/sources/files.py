@@ -5,12 +5,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fogline.functions.geo import geojson_rings
 from fogline.functions.temporal import lookback_dates, snapshot_ts_from_path
 from fogline.functions.text import last_path_part, strip_bom
 from fogline.operators.lookup import lookup_join
+from fogline.operators.scan import ordinal as number_rows
 from fogline.operators.scan import scan_in_segments
 
 BYTES_PER_FILE_ENTRY = 400
@@ -172,11 +174,8 @@ def polygons_from_features(
 ) -> DataFrame:
     """Feature rows (ordinal, properties, geometry) -> (id 1..n, name, geometry WKT).
 
-    ``names`` replaces the source names by position. A boundary dimension has about a
-    hundred rows, so its single ordered numbering is small by nature.
+    Ids follow ``ordinal``; ``names`` replaces the source names by position.
     """
-    from fogline.functions.geo import geojson_rings
-
     rings = geojson_rings(F.col("geometry"))
     ring_text = F.transform(
         rings,
@@ -196,7 +195,7 @@ def polygons_from_features(
             F.lit(")"),
         )
     )
-    numbered = features.withColumn("id", F.row_number().over(Window.orderBy(ordinal)).cast("bigint"))
+    numbered = number_rows(features, [ordinal], "id")
     label = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("id").cast("int")) if names else name
     return numbered.select("id", label.alias("name"), F.when(rings.isNotNull(), wkt).alias("geometry"))
 

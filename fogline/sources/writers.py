@@ -93,6 +93,11 @@ def write_mart(
     )
 
 
+def write_boundary_dimension(dim: DataFrame, path: str) -> None:
+    """Boundary dimension (id, name, geometry WKT) as one CSV with a header under ``path``/csv."""
+    dim.orderBy("id").coalesce(1).write.mode("overwrite").option("header", True).csv(f"{path.rstrip('/')}/csv")
+
+
 def replace_mart_days(spark: SparkSession, incoming: DataFrame, path: str, days: Sequence[dt.date], partition: str) -> None:
     """Delete-and-append of whole days: new rows overwrite their partitions, empty days are removed."""
     rows = cut_lineage(incoming.where(F.col(partition).isin(*[F.lit(d) for d in days])))

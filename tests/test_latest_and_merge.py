@@ -270,3 +270,8 @@ def test_missing_identity_split(spark):
     complete, counts = checks.split_missing_identity(df, ["trip_id", "stop_sequence"])
     assert df.where(complete).count() == 1
     assert tuple(counts.first()) == (3, 1, 2)
+
+
+def test_latest_carries_columns_that_have_no_order(spark):
+    df = spark.createDataFrame([(1, 1, {"a": 1}), (1, 2, {"b": 2})], "k int, o int, m map<string,int>")
+    assert latest.keep_last(df, ["k"], "o").first()["m"] == {"b": 2}

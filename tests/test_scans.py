@@ -186,3 +186,25 @@ def test_profile_counts(spark):
     assert profile.fd_violations(df, ["x"], "y").count() == 0
     wide = df.union(spark.createDataFrame([("a", 5)], df.schema))
     assert [tuple(r) for r in profile.fd_violations(wide, ["x"], "y").collect()] == [("a", 2)]
+
+
+def test_one_heavy_key_is_scanned_by_many_tasks(spark):
+    rows = spark.range(20_000).select(F.lit("hot").alias("k"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = scan.scan_in_segments(rows, ["k"], ["id"], F.floor(F.col("id") / 500), previous=("id", "p"), before=("id", "b"))
+        per_task = out.groupBy(F.spark_partition_id().alias("t")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(per_task) > 1 and max(r["count"] for r in per_task) < 15_000
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line and "__kind" in line]
+    assert windows and all("__seg" in w for w in windows)
+
+
+def test_newest_per_key_shrinks_before_the_shuffle(spark):
+    from fogline.operators.latest import latest_per_key
+
+    rows = spark.range(1000).select(F.lit("hot").alias("k"), "id", F.col("id").cast("string").alias("v"))
+    plan = latest_per_key(rows, ["k"], ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("functions=[max(") < plan.index("Exchange") < plan.index("partial_max(")

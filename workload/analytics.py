@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fogline.functions import temporal as tm
 from fogline.functions import text as tx
+from fogline.functions.geo import wkt_rings
 from fogline.operators import checks, profile, sequences
 from fogline.operators.keys import CANONICAL_KEY
 from fogline.operators.latest import latest_trip_updates
@@ -521,28 +522,34 @@ def stale_invalid(t):
     return stale_invalid_counts(t.vehicle_positions, window="1 hour")
 
 
-# ---- polygon dimension from GeoJSON features
+# ---- polygon dimension from GeoJSON features: one feature per customer
 
 
 @query(
     "geojson_polygons",
-    """SELECT row_number() OVER (ORDER BY id) AS id, name, ring_count, first_x FROM (
-         SELECT id, name, len(regexp_extract_all(geometry, '\\(([^()]+)\\)', 1)) AS ring_count,
-                cast(split_part(trim(split_part(regexp_extract_all(geometry, '\\(([^()]+)\\)', 1)[1], ',', 1)), ' ', 1) AS double) AS first_x
-         FROM neighborhoods WHERE geometry LIKE '%))') g""",
+    """SELECT row_number() OVER (ORDER BY c_custkey) AS id, c_name AS name,
+              cast(CASE WHEN c_custkey % 3 = 0 THEN 2 ELSE 1 END AS bigint) AS ring_count, -((122400000 + c_custkey) / 1e6) AS first_x,
+              CASE WHEN c_custkey % 3 = 0 THEN 'MULTIPOLYGON' ELSE 'POLYGON' END AS kind
+       FROM customer""",
 )
 def geojson_polygons(t):
-    from fogline.functions.geo import wkt_rings
-    from fogline.plans.metrics import boundary_features
-
-    features = boundary_features(t.gold_boundaries).where(F.col("boundary_type") == "neighborhoods")
-    shaped = features.select(
-        F.col("id").cast("bigint").alias("ordinal"),
-        F.create_map(F.lit("name"), F.col("name")).alias("properties"),
-        F.from_json("geojson", "type string, coordinates string").alias("geometry"),
+    key = F.col("c_custkey")
+    x, y = -((F.lit(122400000) + key) / F.lit(1e6)), (F.lit(37750000) + key) / F.lit(1e6)
+    ring = F.array(F.array(x, y), F.array(x + 0.5, y), F.array(x + 0.5, y + 0.5), F.array(x, y))
+    polygon = F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")))
+    multi = F.to_json(
+        F.struct(F.lit("MultiPolygon").alias("type"), F.array(F.array(ring), F.array(ring)).alias("coordinates"))
     )
-    dim = files.polygons_from_features(shaped, F.col("properties")["name"])
-    rings = wkt_rings(F.col("geometry"))
-    return dim.select("id", "name", rings.alias("r")).select(
-        "id", "name", F.size("r").cast("bigint").alias("ring_count"), F.element_at(F.element_at("r", 1), 1)["x"].alias("first_x")
+    features = t.customer.select(
+        key.alias("ordinal"),
+        F.create_map(F.lit("name"), F.col("c_name")).alias("properties"),
+        F.from_json(F.when(key % 3 == 0, multi).otherwise(polygon), "type string, coordinates string").alias("geometry"),
+    )
+    dim = files.polygons_from_features(features, F.col("properties")["name"])
+    return dim.select("id", "name", "geometry", wkt_rings(F.col("geometry")).alias("r")).select(
+        "id",
+        "name",
+        F.size("r").cast("bigint").alias("ring_count"),
+        F.element_at(F.element_at("r", 1), 1)["x"].alias("first_x"),
+        F.regexp_extract("geometry", "^[A-Z]+", 0).alias("kind"),
     )

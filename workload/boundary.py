@@ -51,12 +51,27 @@ def gold_events_legacy_stop_join(t):
     return events.groupBy("event_type", "neighborhood_id").agg(F.count("*").alias("n"))
 
 
+USE_SQL = """
+    SELECT boundary_type, boundary_id, count(*) AS n_events
+    FROM (SELECT 'neighborhoods' AS boundary_type, neighborhood_id AS boundary_id FROM gold_events
+          UNION ALL SELECT 'police_districts', police_district_id FROM gold_events) u
+    WHERE boundary_id IS NOT NULL GROUP BY 1, 2"""
+
+
+def _use(t):
+    """Events per boundary."""
+    return metrics.by_boundary(t.gold_events.select(*BOUNDARY_COLUMNS.values())).groupBy(*metrics.BOUNDARY).agg(
+        F.count("*").alias("n_events")
+    )
+
+
 @query(
     "gold_boundaries",
-    "SELECT boundary_type, boundary_id, boundary_name, geometry, is_unlocated FROM gold_bounds",
+    f"""SELECT b.boundary_type, b.boundary_id, b.boundary_name, b.geometry, b.is_unlocated, coalesce(u.n_events, 0) AS n_events
+        FROM gold_bounds b LEFT JOIN ({USE_SQL}) u USING (boundary_type, boundary_id)""",
 )
 def gold_boundaries(t):
-    return t.gold_boundaries
+    return t.gold_boundaries.join(_use(t), list(metrics.BOUNDARY), "left").na.fill(0, ["n_events"])
 
 
 @query(
@@ -218,9 +233,14 @@ FEATURES_SQL = """
           FROM gold_bounds WHERE geometry LIKE '%))') g"""
 
 
-@query("boundary_features", FEATURES_SQL)
+@query(
+    "boundary_features",
+    f"""SELECT f.boundary_type, f.id, f.name, f.geojson, coalesce(u.n_events, 0) AS n_events
+        FROM ({FEATURES_SQL}) f LEFT JOIN ({USE_SQL}) u ON f.boundary_type = u.boundary_type AND f.id = u.boundary_id""",
+)
 def boundary_features(t):
-    return metrics.boundary_features(t.gold_boundaries)
+    used = _use(t).withColumnRenamed("boundary_id", "id")
+    return metrics.boundary_features(t.gold_boundaries).join(used, ["boundary_type", "id"], "left").na.fill(0, ["n_events"])
 
 
 @query(
@@ -230,11 +250,14 @@ def boundary_features(t):
                  '{{"type":"Feature","id":"' || id || '","properties":{{"id":"' || id || '","name":"' || name
                  || '"}},"geometry":' || geojson || '}}', ',' ORDER BY name, id) || ']}}' AS geojson,
                count(*) AS n_names
-        FROM ({FEATURES_SQL}) f GROUP BY boundary_type""",
+        FROM ({FEATURES_SQL}) f WHERE (boundary_type, id) IN (SELECT boundary_type, boundary_id FROM ({USE_SQL}) u)
+        GROUP BY boundary_type""",
 )
 def feature_collection(t):
-    features = metrics.feature_collection(metrics.boundary_features(t.gold_boundaries))
-    return features.select("boundary_type", "geojson", F.size("id_to_name").cast("bigint").alias("n_names"))
+    used = _use(t).withColumnRenamed("boundary_id", "id")
+    drawn = metrics.boundary_features(t.gold_boundaries).join(used, ["boundary_type", "id"], "left_semi")
+    layers = metrics.feature_collection(drawn)
+    return layers.select("boundary_type", "geojson", F.size("id_to_name").cast("bigint").alias("n_names"))
 
 
 @query(

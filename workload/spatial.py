@@ -96,13 +96,18 @@ def point_text(t):
 
 @query(
     "map_label_points",
-    """SELECT id, round(sum((x1 + x2) * (x1 * y2 - x2 * y1)) / (3 * sum(x1 * y2 - x2 * y1)), 4) AS lon,
-              round(sum((y1 + y2) * (x1 * y2 - x2 * y1)) / (3 * sum(x1 * y2 - x2 * y1)), 4) AS lat
-       FROM nb_edges GROUP BY id""",
+    """SELECT c.id, c.lon, c.lat, coalesce(n.n_points, 0) AS n_points
+       FROM (SELECT id, round(sum((x1 + x2) * (x1 * y2 - x2 * y1)) / (3 * sum(x1 * y2 - x2 * y1)), 4) AS lon,
+                    round(sum((y1 + y2) * (x1 * y2 - x2 * y1)) / (3 * sum(x1 * y2 - x2 * y1)), 4) AS lat
+             FROM nb_edges GROUP BY id) c
+       LEFT JOIN (SELECT nb AS id, count(*) AS n_points FROM in_nb GROUP BY 1) n USING (id)""",
 )
 def map_label_points(t):
-    return (
+    labels = (
         spatial.polygon_edges(t.neighborhoods)
         .select("id", geo.centroid(F.col("edges")).alias("c"))
         .select("id", F.round("c.lon", 4).alias("lon"), F.round("c.lat", 4).alias("lat"))
     )
+    located = spatial.assign_polygon(t.points, spatial.build_cover(t.neighborhoods), "long", "lat", "id")
+    counts = located.where(F.col("id").isNotNull()).groupBy("id").agg(F.count("*").alias("n_points"))
+    return labels.join(counts, "id", "left").na.fill(0, ["n_points"])
