@@ -12,6 +12,7 @@ from fogline.functions.temporal import seconds_between
 from fogline.operators.checks import require_columns
 from fogline.operators.keys import CANONICAL_KEY, selective_first
 
+# What a vehicle position adds to a trip update.
 VEHICLE_COLUMNS = (
     "vp_snapshot_ts",
     "position_timestamp",

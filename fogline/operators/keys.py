@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+# The six columns that identify a transit row.
 CANONICAL_KEY = (
     "agency_id",
     "trip_id",

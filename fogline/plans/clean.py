@@ -14,9 +14,10 @@ from fogline.operators.latest import keep_last
 from fogline.operators.lookup import geocode_lookup
 from fogline.operators.spatial import UNLOCATED, assign_boundaries
 
+# Fixed value: what the 311 source writes where a request has no address.
 NO_ADDRESS = "Not associated with a specific address"
 
-# Source field -> police table column (fixed names).
+# Source field -> police table column.
 POLICE_FIELDS = {
     "incident_id": "police_incident_id",
     "incident_datetime": "incident_datetime",
@@ -32,6 +33,7 @@ POLICE_FIELDS = {
     "longitude": "long",
 }
 
+# Columns of the clean tables in their order.
 INCIDENT_311_COLUMNS = (
     "311_incident_id", "neighborhood_id", "police_district_id", "requested_datetime",
     "updated_datetime", "closed_datetime", "status_description", "status_notes",

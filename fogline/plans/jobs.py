@@ -21,6 +21,7 @@ from fogline.sources.files import read_binary_snapshots, read_day_partitions, re
 from fogline.sources.stops import extract_stops
 from fogline.sources.writers import VersionedTable, merge_into_partitions, replace_mart_days, write_mart
 
+# Fixed value: name of the state row.
 RENTAL_PIPELINE = "rentcast_active"
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Field names and types of the landed records and tables.
 RAW_311 = (
     "service_request_id string, requested_datetime string, updated_datetime string, closed_date string, "
     "status_description string, status_notes string, agency_responsible string, service_name string, "
@@ -38,7 +39,7 @@ PIPELINE_STATE = (
     "loaded_active_count bigint, updated_at timestamp"
 )
 
-# Target column -> (type, source column) of the joined transit table (fixed names and types).
+# Target column -> (type, source column) of the joined transit table.
 TRIP_STOP_CONTRACT: dict[str, tuple[str, str]] = {
     "agency_id": ("string", "agency_id"),
     "trip_id": ("string", "trip_id"),
@@ -88,6 +89,7 @@ TRIP_STOPS = f"{TRIP_STOP_PK} string not null, " + ", ".join(
     f"{target} {kind}" for target, (kind, _) in TRIP_STOP_CONTRACT.items()
 )
 
+# Fixed values of the marts.
 EVENT_TYPES = ("311", "police", "transit")
 BOUNDARY_COLUMNS = {"neighborhoods": "neighborhood_id", "police_districts": "police_district_id"}
 BEDROOM_BUCKETS = ("studio", "1bd", "2bd", "3bd", "4bd+")
