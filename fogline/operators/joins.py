@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fogline.functions.temporal import seconds_between
@@ -78,28 +78,39 @@ def join_stats(trip_updates: DataFrame, positions: DataFrame, joined: DataFrame,
 
 
 def outcome_counts(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], left_by: Sequence[str] = (), right_by: Sequence[str] = ()
+    left: DataFrame, right: DataFrame, keys: Sequence[str], by: Sequence[str] = (), side: str = "left"
 ) -> DataFrame:
     """Row counts of a full outer join by outcome, without building the join.
 
-    Both sides shrink to counts per key first; ``both`` is the product of the two counts, so
-    a key repeated on both sides never expands into pairs. ``left_by``/``right_by`` split the
-    counts further, e.g. by hour.
+    Rows of both sides are counted per key in one grouped pass, NULL keys being equal. The
+    rows a key would give are the product of its two counts, so a key repeated on both sides
+    never expands into pairs. ``by`` splits the counts by columns of ``side``, e.g. an hour.
     """
-    keys = selective_first(keys)
-    lefts = left.groupBy(*keys, *left_by).agg(F.count("*").alias("__nl"))
-    rights = right.groupBy(*keys, *right_by).agg(F.count("*").alias("__nr"))
-    joined = lefts.join(rights, null_safe(lefts, rights, keys), "full_outer")
+    keys, by = selective_first(keys), list(by)
+    main, other = (left, right) if side == "left" else (right, left)
+    other_name = "right" if side == "left" else "left"
+    tagged = main.select(*keys, *by, F.lit(1).alias("__m"), F.lit(0).alias("__o")).unionByName(
+        other.select(*keys, F.lit(0).alias("__m"), F.lit(1).alias("__o")), allowMissingColumns=True
+    )
+    counted = tagged.groupBy(*keys, *by).agg(F.sum("__m").alias("__m"), F.sum("__o").alias("__o"))
+    all_main, all_other = F.col("__m"), F.col("__o")
+    if by:
+        whole_key = Window.partitionBy(*keys)
+        counted = counted.withColumns(
+            {"__all_m": F.sum("__m").over(whole_key), "__all_o": F.sum("__o").over(whole_key)}
+        )
+        all_main, all_other = F.col("__all_m"), F.col("__all_o")
+    has_main = F.col("__m") > 0
     outcome = (
-        F.when(F.col("__nl").isNull(), F.lit("right_only"))
-        .when(F.col("__nr").isNull(), F.lit("left_only"))
-        .otherwise(F.lit("both"))
+        F.when(has_main & (all_other > 0), F.lit("both"))
+        .when(has_main, F.lit(f"{side}_only"))
+        .otherwise(F.lit(f"{other_name}_only"))
     )
-    pairs = F.coalesce("__nl", F.lit(1)) * F.coalesce("__nr", F.lit(1))
+    n_rows = F.when(has_main, F.col("__m") * F.greatest(all_other, F.lit(1))).otherwise(F.col("__o"))
     return (
-        joined.select(*left_by, *right_by, outcome.alias("outcome"), pairs.alias("__n"))
-        .groupBy(*left_by, *right_by, "outcome")
-        .agg(F.sum("__n").alias("n_rows"))
+        counted.where(has_main | (all_main == 0))
+        .groupBy(*by, outcome.alias("outcome"))
+        .agg(F.sum(n_rows).alias("n_rows"))
     )
 
 
@@ -111,11 +122,9 @@ def outcome_rates(counts: DataFrame) -> DataFrame:
 
 def hourly_outcomes(left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str, side: str = "left") -> DataFrame:
     """Hour of ``ts`` x outcome with zeros filled in; rows without that time are left out."""
-    hour = F.date_trunc("hour", F.col(ts)).alias("hour")
-    keyed_left = left.select(*keys, *([hour] if side == "left" else []))
-    keyed_right = right.select(*keys, *([hour] if side == "right" else []))
-    by = {"left_by": ["hour"]} if side == "left" else {"right_by": ["hour"]}
-    counts = outcome_counts(keyed_left, keyed_right, keys, **by).where(F.col("hour").isNotNull())
+    timed = (left if side == "left" else right).select(*keys, F.date_trunc("hour", F.col(ts)).alias("hour"))
+    pair = (timed, right) if side == "left" else (left, timed)
+    counts = outcome_counts(*pair, keys, by=["hour"], side=side).where(F.col("hour").isNotNull())
     only = f"{side}_only"
     # The other side's unmatched rows have no time on this side, so two outcomes remain.
     return counts.groupBy("hour").pivot("outcome", ["both", only]).agg(F.sum("n_rows")).na.fill(0, ["both", only])
@@ -123,16 +132,16 @@ def hourly_outcomes(left: DataFrame, right: DataFrame, keys: Sequence[str], ts:
 
 def key_coverage(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: distinct keys on each side and on one side only."""
-    lefts = left.select(*keys).distinct()
-    rights = right.select(*keys).distinct()
-    both = lefts.withColumn("__l", F.lit(1)).alias("l")
-    other = rights.withColumn("__r", F.lit(1)).alias("r")
-    joined = both.join(other, null_safe(both, other, keys), "full_outer")
-    return joined.agg(
-        F.count("__l").alias("left_keys"),
-        F.count("__r").alias("right_keys"),
-        F.count_if(F.col("__r").isNull()).alias("left_only_keys"),
-        F.count_if(F.col("__l").isNull()).alias("right_only_keys"),
+    keys = selective_first(keys)
+    sides = left.select(*keys, F.lit(True).alias("__l"), F.lit(False).alias("__r")).unionByName(
+        right.select(*keys, F.lit(False).alias("__l"), F.lit(True).alias("__r"))
+    )
+    seen = sides.groupBy(*keys).agg(F.max("__l").alias("__l"), F.max("__r").alias("__r"))
+    return seen.agg(
+        F.count_if("__l").alias("left_keys"),
+        F.count_if("__r").alias("right_keys"),
+        F.count_if(~F.col("__r")).alias("left_only_keys"),
+        F.count_if(~F.col("__l")).alias("right_only_keys"),
     )
 
 
@@ -141,13 +150,22 @@ def key_match_rate(keys_df: DataFrame, positions: DataFrame, keys: Sequence[str]
 
     Works on counts per key, so repeated positions weigh as in the expanded join.
     """
-    lefts = keys_df.select(*keys).distinct()
-    rights = positions.groupBy(*keys).agg(F.count("*").alias("__n"), F.count(match).alias("__with"))
-    joined = lefts.join(rights, null_safe(lefts, rights, keys), "left").select(
-        lefts[probe].alias("__probe"),
-        F.coalesce("__n", F.lit(1)).alias("__n"),
-        F.coalesce("__with", F.lit(0)).alias("__with"),
+    keys = selective_first(keys)
+    rows = keys_df.select(*keys, F.lit(True).alias("__asked"), F.lit(0).alias("__n"), F.lit(0).alias("__with"))
+    found = positions.select(
+        *keys,
+        F.lit(False).alias("__asked"),
+        F.lit(1).alias("__n"),
+        F.col(match).isNotNull().cast("int").alias("__with"),
+    )
+    counted = (
+        rows.unionByName(found)
+        .groupBy(*keys)
+        .agg(F.max("__asked").alias("__asked"), F.sum("__n").alias("__n"), F.sum("__with").alias("__with"))
+        .where("__asked")
     )
+    # A key without any position still gives one row.
+    joined = counted.select(F.col(probe).alias("__probe"), F.greatest("__n", F.lit(1)).alias("__n"), "__with")
     missing = F.col("__n") - F.col("__with")
     return joined.agg(
         F.sum("__n").alias("joined_rows"),

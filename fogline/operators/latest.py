@@ -14,6 +14,17 @@ from pyspark.sql import functions as F
 
 from fogline.operators.checks import require_columns
 from fogline.operators.keys import CANONICAL_KEY, selective_first
+# What the day table keeps of a prediction beside its key.
+TRIP_UPDATE_COLUMNS = (
+    "route_id",
+    "stop_id",
+    "snapshot_ts",
+    "arrival_time_predicted",
+    "departure_time_predicted",
+    "arrival_delay_sec",
+    "departure_delay_sec",
+)
+
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], newest: bool) -> DataFrame:
     keys = list(keys)
@@ -53,16 +64,7 @@ def latest_trip_updates(observations: DataFrame) -> DataFrame:
     """Newest prediction per canonical key, with the output columns of the day table."""
     order = ["snapshot_ts", "blob_order", "blob_name"]
     require_columns(observations, [*CANONICAL_KEY, *order], "TripUpdates observations")
-    final = [
-        "route_id",
-        "stop_id",
-        "snapshot_ts",
-        "arrival_time_predicted",
-        "departure_time_predicted",
-        "arrival_delay_sec",
-        "departure_delay_sec",
-    ]
-    needed = observations.select(*CANONICAL_KEY, *dict.fromkeys([*order, *final]))
+    needed = observations.select(*CANONICAL_KEY, *dict.fromkeys([*order, *TRIP_UPDATE_COLUMNS]))
     newest = latest_per_key(needed, CANONICAL_KEY, order)
     return newest.drop("blob_order", "blob_name").withColumnRenamed("snapshot_ts", "latest_snapshot_ts")
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fogline.operators.checks import require_no_decode_errors, require_rows, require_unique
-from fogline.operators.joins import join_vehicle_positions
-from fogline.operators.keys import CANONICAL_KEY
-from fogline.operators.latest import latest_trip_updates, latest_vehicle_positions
+from fogline.functions.temporal import seconds_between
+from fogline.operators.checks import require_columns, require_no_decode_errors, require_rows, require_unique
+from fogline.operators.joins import VEHICLE_COLUMNS, normalise_key_types
+from fogline.operators.keys import CANONICAL_KEY, selective_first
+from fogline.operators.latest import TRIP_UPDATE_COLUMNS
 from fogline.operators.merge import surrogate_key, upsert_latest
 from fogline.schemas import TRIP_STOP_CONTRACT, TRIP_STOP_PK, project_contract
 from fogline.session import cut_lineage
@@ -26,11 +27,45 @@ def trip_stop_rows(joined: DataFrame) -> DataFrame:
     return typed.select(surrogate_key(CANONICAL_KEY).alias(TRIP_STOP_PK), *TRIP_STOP_CONTRACT)
 
 
+def newest_joined(trip_updates: DataFrame, positions: DataFrame) -> DataFrame:
+    """Newest prediction per key with the newest position of the same key, NULL keys equal.
+
+    Both feeds are reduced by the same key, so one grouped pass over their union does what
+    two reductions and a left join would: every observation is shuffled at most once, and
+    only after its task has kept one candidate per key and feed.
+    """
+    order = {"tu": ["snapshot_ts", "blob_order", "blob_name"], "vp": ["vp_snapshot_ts", "blob_order", "blob_name"]}
+    require_columns(trip_updates, [*CANONICAL_KEY, *order["tu"]], "TripUpdates observations")
+    require_columns(positions, [*CANONICAL_KEY, *order["vp"]], "VehiclePositions observations")
+    extra = [c for c in VEHICLE_COLUMNS if c in positions.columns]
+
+    def candidate(df: DataFrame, feed: str, columns: list[str]) -> DataFrame:
+        rank = list(dict.fromkeys([*order[feed], *columns]))
+        return normalise_key_types(df).select(*CANONICAL_KEY, F.struct(*rank).alias(feed))
+
+    known = positions.dropna(subset=["trip_id", "stop_sequence", "vp_snapshot_ts"])
+    # The same columns close the order as in ``latest_per_key``: all that are not keys.
+    tu = candidate(trip_updates, "tu", list(TRIP_UPDATE_COLUMNS))
+    vp = candidate(known, "vp", [c for c in positions.columns if c not in CANONICAL_KEY])
+    newest = (
+        tu.unionByName(vp, allowMissingColumns=True)
+        .groupBy(*selective_first(CANONICAL_KEY))
+        .agg(F.max("tu").alias("tu"), F.max("vp").alias("vp"))
+        .where(F.col("tu").isNotNull())
+    )
+    joined = newest.select(
+        *CANONICAL_KEY,
+        *[F.col(f"tu.{c}").alias("latest_snapshot_ts" if c == "snapshot_ts" else c) for c in TRIP_UPDATE_COLUMNS],
+        *[F.col(f"vp.{c}").alias(c) for c in extra],
+    )
+    return joined.withColumn(
+        "tu_vp_snapshot_delta_sec", seconds_between(F.col("latest_snapshot_ts"), F.col("vp_snapshot_ts"))
+    )
+
+
 def transit_day(trip_updates: DataFrame, positions: DataFrame) -> DataFrame:
     """Observations of a day -> rows to merge."""
-    return trip_stop_rows(
-        join_vehicle_positions(latest_trip_updates(trip_updates), latest_vehicle_positions(positions))
-    )
+    return trip_stop_rows(newest_joined(trip_updates, positions))
 
 
 def stage_transit_day(trip_update_files: DataFrame, position_files: DataFrame) -> DataFrame:

@@ -130,9 +130,18 @@ def test_outcome_counts_equal_a_real_full_join(spark):
     marked_l, marked_r = left.withColumn("l", F.lit(1)), right.withColumn("r", F.lit(1))
     full = marked_l.join(marked_r, joins.null_safe(marked_l, marked_r, ["k", "s"]), "full_outer")
     outcome = F.when(F.col("l").isNull(), "right_only").when(F.col("r").isNull(), "left_only").otherwise("both")
-    want = {(r["o"], r["h"]): r["count"] for r in full.groupBy(outcome.alias("o"), "h").count().collect()}
-    got = {(r["outcome"], r["h"]): r["n_rows"] for r in joins.outcome_counts(left, right, ["k", "s"], left_by=["h"]).collect()}
-    assert got == want
+    for by, side in (("h", "left"), ("g", "right")):
+        want = {(r["o"], r[by]): r["count"] for r in full.groupBy(outcome.alias("o"), by).count().collect()}
+        got = joins.outcome_counts(left, right, ["k", "s"], by=[by], side=side).collect()
+        assert {(r["outcome"], r[by]): r["n_rows"] for r in got} == want
+    want = {r["o"]: r["count"] for r in full.groupBy(outcome.alias("o")).count().collect()}
+    for side in ("left", "right"):
+        got = joins.outcome_counts(left, right, ["k", "s"], side=side).collect()
+        assert {r["outcome"]: r["n_rows"] for r in got} == want
+    keys = joins.key_coverage(left, right, ["k", "s"]).first()
+    pairs = lambda df: {tuple(r) for r in df.select("k", "s").collect()}
+    l, r = pairs(left), pairs(right)
+    assert tuple(keys) == (len(l), len(r), len(l - r), len(r - l))
 
 
 TIMES = [None, T(1), T(2)]
@@ -275,3 +284,21 @@ def test_missing_identity_split(spark):
 def test_latest_carries_columns_that_have_no_order(spark):
     df = spark.createDataFrame([(1, 1, {"a": 1}), (1, 2, {"b": 2})], "k int, o int, m map<string,int>")
     assert latest.keep_last(df, ["k"], "o").first()["m"] == {"b": 2}
+
+
+def test_fused_transit_day_equals_newest_then_join(spark):
+    from fogline.plans import transit
+    from tests.conftest import SF
+    from workload.standins import Tables
+
+    t = Tables(spark, SF)
+    updates, positions = t.trip_updates, t.vehicle_positions
+    apart = joins.join_vehicle_positions(
+        latest.latest_trip_updates(updates), latest.latest_vehicle_positions(positions)
+    )
+    together = transit.newest_joined(updates, positions)
+    assert sorted(together.columns) == sorted(apart.columns)
+    columns = sorted(apart.columns)
+    assert rows(together.select(columns)) == rows(apart.select(columns))
+    plan = together._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
