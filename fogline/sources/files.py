@@ -19,9 +19,17 @@ BYTES_PER_FILE_ENTRY = 400
 
 
 def parse_json_array(df: DataFrame, text: str, schema: str, ordinal: str = "ordinal") -> DataFrame:
-    """Text column holding a JSON array of records -> one row per record with its position."""
+    """Text column holding a JSON array of records -> one row per record with its position.
+
+    A document that is not readable JSON is an error, never an empty snapshot.
+    """
     kept = [c for c in df.columns if c != text]
-    parsed = F.from_json(strip_bom(F.col(text)), f"array<struct<{_struct_fields(schema)}>>")
+    document = strip_bom(F.col(text))
+    unreadable = F.raise_error(F.concat(F.lit("unreadable JSON document: "), F.substring(document, 1, 60)))
+    parsed = F.coalesce(
+        F.from_json(document, f"array<struct<{_struct_fields(schema)}>>"),
+        F.when(document.isNotNull(), unreadable),
+    )
     return df.select(*kept, F.posexplode(parsed).alias(ordinal, "__record")).select(
         *kept, ordinal, "__record.*"
     )
@@ -49,15 +57,30 @@ def read_json_snapshot(spark: SparkSession, path: str, schema: str, ordinal: str
     return parse_json_array(texts, "__text", schema, ordinal)
 
 
+def read_json_lines(spark: SparkSession, path: str, schema: str, ordinal: str = "ordinal") -> DataFrame:
+    """Newline-delimited records, for landings too large to be one document.
+
+    Files are split; ``ordinal`` grows along each file, which is what keep-last needs.
+    """
+    return (
+        spark.read.schema(schema)
+        .option("mode", "FAILFAST")
+        .json(path)
+        .select("*", F.monotonically_increasing_id().alias(ordinal), F.col("_metadata.file_path").alias("source_file"))
+    )
+
+
 def read_day_partitions(
     spark: SparkSession, base: str, schema: str, end_date: str, days: int = 10, partition: str = "incident_date"
 ) -> DataFrame:
     """All days of a look-back window in one scan of ``base/<partition>=YYYY-MM-DD/``.
 
-    The filter is on the partition column, so other days are never listed or read.
+    The filter is on the partition column, so files of other days are not read. A record that
+    does not fit the schema stops the job.
     """
     first, last = lookback_dates(end_date, days)
-    frame = spark.read.schema(f"{schema}, {partition} date").option("multiLine", True).json(base)
+    reader = spark.read.schema(f"{schema}, {partition} date").option("multiLine", True).option("mode", "FAILFAST")
+    frame = reader.json(base)
     return frame.where(F.col(partition).between(F.lit(first), F.lit(last)))
 
 

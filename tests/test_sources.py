@@ -33,6 +33,18 @@ def test_json_array_keeps_record_order_and_file(spark, tmp_path):
     assert got[0]["source_file"].endswith("_311_api_call")
 
 
+def test_unreadable_documents_are_errors(spark, tmp_path):
+    with pytest.raises(Exception, match="unreadable JSON document"):
+        files.read_json_snapshot(spark, put(tmp_path / "bad", '[{"service_request_id": '), RAW_311).collect()
+    assert files.read_json_snapshot(spark, put(tmp_path / "none", []), RAW_311).count() == 0
+
+
+def test_json_lines_keep_file_order(spark, tmp_path):
+    lines = "\n".join(json.dumps({"service_request_id": str(i), "lat": i}) for i in range(50))
+    got = files.read_json_lines(spark, put(tmp_path / "d" / "a.json", lines), RAW_311).orderBy("ordinal").collect()
+    assert [r["service_request_id"] for r in got] == [str(i) for i in range(50)] and got[0]["lat"] == "0"
+
+
 def test_311_pipeline_from_files(spark, tmp_path):
     dim = spark.createDataFrame([(7, "Mission", "POLYGON ((-1 -1, 1 -1, 1 1, -1 1, -1 -1))")], "id bigint, name string, geometry string")
     records = [
@@ -352,6 +364,13 @@ def test_mart_days(spark, tmp_path):
     assert {r["v"] for r in spark.read.parquet(path).collect()} == {1, 20}
 
 
+def test_boundary_dimension_as_csv(spark, tmp_path):
+    dim = spark.createDataFrame([(2, "b, c", "POLYGON ((0 0, 1 0, 1 1, 0 0))"), (1, "a", None)], "id bigint, name string, geometry string")
+    writers.write_boundary_dimension(dim, str(tmp_path))
+    back = spark.read.option("header", True).schema("id bigint, name string, geometry string").csv(str(tmp_path / "csv"))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, dim.collect()))
+
+
 def test_versioned_table_can_read_what_it_replaces(spark, tmp_path):
     table = writers.VersionedTable(spark, str(tmp_path / "t"))
     with pytest.raises(FileNotFoundError):

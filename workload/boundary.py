@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from fogline.functions import text as tx
 from fogline.functions.temporal import pacific_range_to_utc
-from fogline.operators.lookup import name_to_id
 from fogline.operators.profile import capped
 from fogline.plans import marts, metrics
 from fogline.schemas import BOUNDARY_COLUMNS
 from workload.registry import query
-from workload.sqlviews import END_UTC, START_UTC, pacific, ts_text
+from workload.sqlviews import END_UTC, START_UTC, ts_text
 
 START, END = "2024-01-05", "2024-01-20"
 TIMES = ("06:00", "22:00")
