@@ -18,6 +18,19 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def checked_bytes(df: DataFrame) -> int:
+    """Size to decide a broadcast by.
+
+    The estimate follows file sizes, which holds unless the plan multiplies rows; such a
+    frame is counted when the estimate alone would let it through.
+    """
+    estimate = estimated_bytes(df)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if estimate > BROADCAST_LIMIT or not any(node in plan for node in ("Generate ", "Join ", "Expand ")):
+        return estimate
+    return max(estimate, df.count() * df._jdf.schema().defaultSize())
+
+
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -35,7 +48,7 @@ def lookup_join(
     alike; the dimension is repeated once per salt.
     """
     on = list(on)
-    if (estimated_bytes(dim) if dim_bytes is None else dim_bytes) <= limit:
+    if (checked_bytes(dim) if dim_bytes is None else dim_bytes) <= limit:
         return fact.join(F.broadcast(dim), on, how)
     salted_fact = fact.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     salted_dim = dim.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -28,8 +28,8 @@ def upsert_by_key(
 
     Staging must be unique on the keys. NULL keys never match. By default every column the
     staging table has beyond the keys is updated; columns it lacks keep the old value, or
-    NULL on insert. Both joins are many-to-one from the target, which adaptive execution
-    can split when one key is heavy.
+    NULL on insert. Joins from the target are many-to-one, which adaptive execution can split
+    when one key is heavy.
     """
     keys = list(keys)
     changes = [c for c in (update or staging.columns) if c not in keys and c in target.columns]
@@ -43,7 +43,10 @@ def upsert_by_key(
         ]
     )
     types = dict(target.dtypes)
-    fresh = staging.join(target.select(*keys).distinct(), keys, "left_anti").select(
+    # Keys already present, found from the target side: a small staging table is broadcast
+    # in both joins and the target is never shuffled.
+    present = target.select(*keys).join(staging.select(*keys), keys, "left_semi").distinct()
+    fresh = staging.join(present, keys, "left_anti").select(
         *[
             (F.col(c) if c in staging.columns else F.lit(None)).cast(types[c]).alias(c)
             for c in target.columns

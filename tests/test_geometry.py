@@ -151,3 +151,14 @@ def test_unmatched_labels_and_geocodes(spark, dim):
     codes = spark.createDataFrame([("x", 7.0, 8.0), ("y", 9.0, 9.0), ("z", None, 3.0)], "address string, lon double, lat double")
     got = lookup.geocode_lookup(places, codes, "address", F.col("long").isNull(), "long", "lat")
     assert {tuple(r) for r in got.collect()} == {("x", 7.0, 8.0), ("y", 1.0, 2.0), ("z", None, None)}
+
+
+def test_row_multiplying_dimensions_are_counted_before_a_broadcast(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    spark.range(100).selectExpr("id AS k").write.parquet(path)
+    plain = spark.read.parquet(path)
+    assert lookup.checked_bytes(plain) == lookup.estimated_bytes(plain)
+    grown = plain.select("k", F.explode(F.sequence(F.lit(1), F.lit(20_000))).alias("v"))
+    assert lookup.estimated_bytes(grown) < lookup.BROADCAST_LIMIT < lookup.checked_bytes(grown)
+    joined = lookup.lookup_join(spark.range(5).selectExpr("id AS k"), grown, ["k"])
+    assert "strategy=broadcast" not in joined._jdf.queryExecution().optimizedPlan().toString()
