@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -24,13 +22,13 @@ def build_session(app: str = "fogline", master: str | None = None, **conf: str)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared checkpoint folder; a temporary one only where none is named."""
+    """The shared folder that the session names; where it names none, one beside its tables."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="fogline-checkpoint-"))
+    sc.setCheckpointDir(configured or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
     return sc.getCheckpointDir()
 
 
