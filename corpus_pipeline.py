@@ -1,10 +1,71 @@
-"""The corpus pipeline: documents in, a mixed corpus out, every stage one operator of ``fogline.llm``."""
+"""The corpus pipeline: toxic documents go, shared lines stay once, near copies and benchmark leaks go, sources are mixed.
+
+Each stage is one operator of ``fogline.llm`` on all that the stage before kept, written as Parquet in between.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fogline.llm import toxicity
+from fogline.llm.decontaminate import drop_contaminated
+from fogline.llm.jaccard_join import keep_one_of_each
+from fogline.llm.line_dedup import dedup_lines
+from fogline.llm.mixing import mix_sources
+from fogline.session import ensure_checkpoint_dir
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the threshold of a lexicon learned from the labels outside the held-out third."""
+    learn_from = F.crc32(F.col("doc_id").cast("string")) % 3 != 1
+    lexicon = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), learn_from)
+    scored = toxicity.score_toxicity(docs, lexicon, carry=COLUMNS[1:])
+    return scored.where("predicted = 0").select(*COLUMNS)
+
+
+def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without long lines that at least 5 of them share, but for the one that keeps them."""
+    kept = dedup_lines(docs, min_chars=40, min_docs=5, carry=("lang", "source"))
+    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return keep_one_of_each(docs.select(*COLUMNS))
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without benchmark passages."""
+    return drop_contaminated(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), threshold=0.75)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix takes."""
+    return mix_sources(docs, weights=(5, 2, 1), share=1.5, max_repeats=2, seed=0)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_shared_lines),
+    ("jaccard_join", drop_near_copies),
+    ("decontaminate", drop_benchmark_leaks),
+    ("mix_sources", mix),
+]
+
+#: Learned lexicons and fingerprints cannot be said in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what lies between them is written to the session's shared folder."""
+    folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for place, (name, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{place}-{name}")
+        docs = spark.read.parquet(f"{folder}/{place}-{name}")
+    return docs

@@ -12,14 +12,16 @@ import pyarrow.compute as pc
 SLICE_BYTES = 4 << 20
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Rows of ``batch`` in order, about ``limit`` bytes of text at a time and one row at least."""
+def slices(
+    batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES, rows: int = 1 << 30
+) -> Iterator[pa.RecordBatch]:
+    """Rows of ``batch`` in order, about ``limit`` bytes of text or ``rows`` at a time and one row at least."""
     size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(size, dtype=np.int64)
     at = 0
     while at < len(batch):
         done = ends[at - 1] if at else 0
-        stop = max(at + 1, int(np.searchsorted(ends, done + limit, "right")))
+        stop = max(at + 1, int(min(at + rows, np.searchsorted(ends, done + limit, "right"))))
         yield batch.slice(at, stop - at)
         at = stop
 

@@ -269,12 +269,20 @@ def _item_blocks(benchmark: DataFrame) -> Iterator[tuple[list, list]]:
         yield ids, item_texts
 
 
+def _shared(spark: SparkSession, block: ItemBlock):
+    """Plain data of a block, broadcast, so that executors can read it without this package installed."""
+    return spark.sparkContext.broadcast(vars(block) | {"classes": [vars(c) for c in block.classes]})
+
+
+def _restored(plain: dict) -> ItemBlock:
+    return ItemBlock(**plain | {"classes": [WindowClass(**c) for c in plain["classes"]]})
+
+
 def _search_block(spark: SparkSession, docs: DataFrame, block: ItemBlock, threshold: float) -> DataFrame:
-    # Plain data, so that executors can read it without this package installed.
-    shared = spark.sparkContext.broadcast(vars(block) | {"classes": [vars(c) for c in block.classes]})
+    shared = _shared(spark, block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = ItemBlock(**shared.value | {"classes": [WindowClass(**c) for c in shared.value["classes"]]})
+        known = _restored(shared.value)
         for batch in batches:
             for part in slices(batch, limit=WINDOW_BYTES):
                 found = search(known, part.column("text"), threshold)
@@ -318,6 +326,18 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.75
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.75) -> DataFrame:
-    """Rows of ``docs`` without those whose doc_id holds a passage; rows with a NULL doc_id are matched too."""
-    bad = find_passages(docs, benchmark, threshold).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__bad")), "left_anti")
+    """Rows of ``docs``, all columns, whose text holds no passage of an item. Nothing is shuffled."""
+    spark = docs.sparkSession
+    for ids, item_texts in _item_blocks(benchmark.select(F.col("item_id").cast("long"), "text")):
+        shared = _shared(spark, index_items(ids, item_texts))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            known = _restored(shared.value)
+            for batch in batches:
+                for part in slices(batch, limit=WINDOW_BYTES):
+                    clean = np.ones(len(part), bool)
+                    clean[[f[0] for f in search(known, part.column("text"), threshold)]] = False
+                    yield part.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
