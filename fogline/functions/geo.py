@@ -42,17 +42,18 @@ def wkt_rings(wkt: Column) -> Column:
 
 
 def geojson_rings(geometry: Column) -> Column:
-    """Struct<type, coordinates: JSON text> of a Polygon or MultiPolygon -> rings."""
+    """Struct<type, coordinates: JSON text> of a Polygon or MultiPolygon -> rings; NULL on anything malformed."""
     pair = "array<array<array<double>>>"
     polygon = F.from_json(geometry["coordinates"], pair)
     multi = F.flatten(F.from_json(geometry["coordinates"], f"array<{pair}>"))
     chosen = F.when(geometry["type"] == "Polygon", polygon).when(geometry["type"] == "MultiPolygon", multi)
-    return F.transform(
+    rings = F.transform(
         chosen,
         lambda ring: F.transform(
-            ring, lambda p: F.struct(F.element_at(p, 1).alias("x"), F.element_at(p, 2).alias("y"))
+            ring, lambda p: F.struct(F.try_element_at(p, F.lit(1)).alias("x"), F.try_element_at(p, F.lit(2)).alias("y"))
         ),
     )
+    return F.when(_closed(rings), rings)
 
 
 def ring_edges(rings: Column) -> Column:

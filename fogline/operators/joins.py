@@ -114,6 +114,46 @@ def outcome_counts(
     )
 
 
+def outer_join_rows(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Full outer join, NULL keys being equal, with ``outcome`` per row: both, left_only or right_only.
+
+    Keys come once; a column of both sides is prefixed by its side. ``outcome_counts`` gives the totals without the rows.
+    """
+    both = [c for c in left.columns if c in right.columns and c not in keys]
+    name = lambda side, c: f"{side}_{c}" if c in both else c
+    l_rows = left.select(*[F.col(k).alias(f"__l_{k}") for k in keys], *[F.col(c).alias(name("left", c)) for c in left.columns if c not in keys], F.lit(True).alias("__l"))
+    r_rows = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[F.col(c).alias(name("right", c)) for c in right.columns if c not in keys], F.lit(True).alias("__r"))
+    same = reduce(lambda a, b: a & b, [F.col(f"__l_{k}").eqNullSafe(F.col(f"__r_{k}")) for k in selective_first(keys)])
+    outcome = F.when(F.col("__r").isNull(), "left_only").when(F.col("__l").isNull(), "right_only").otherwise("both")
+    rows = l_rows.join(r_rows, same, "full_outer")
+    return rows.select(
+        *[F.when(F.col("__l").isNull(), F.col(f"__r_{k}")).otherwise(F.col(f"__l_{k}")).alias(k) for k in keys],
+        *[c for c in rows.columns if not c.startswith("__")],
+        outcome.alias("outcome"),
+    )
+
+
+def unmatched_profile(rows: DataFrame, columns: Sequence[str], by: str = "outcome") -> DataFrame:
+    """Per outcome and column: rows, NULLs and their share, least and greatest value as text. One grouped pass."""
+    parts = []
+    for i, c in enumerate(columns):
+        text = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") if dict(rows.dtypes)[c].startswith("timestamp") else F.col(c).cast("string")
+        parts += [F.count(c).alias(f"n{i}"), F.min(text).alias(f"lo{i}"), F.max(text).alias(f"hi{i}")]
+    counted = rows.groupBy(by).agg(F.count("*").alias("n_rows"), *parts)
+    listed = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            (F.col("n_rows") - F.col(f"n{i}")).alias("n_null"),
+            F.col(f"lo{i}").alias("least"),
+            F.col(f"hi{i}").alias("greatest"),
+        )
+        for i, c in enumerate(columns)
+    ]
+    return counted.select(by, "n_rows", F.inline(F.array(*listed))).withColumn(
+        "null_rate", F.try_divide(F.col("n_null"), F.col("n_rows"))
+    )
+
+
 def outcome_rates(counts: DataFrame) -> DataFrame:
     """Add the share of every outcome in all rows."""
     total = counts.agg(F.sum("n_rows").alias("t"))

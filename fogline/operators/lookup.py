@@ -6,29 +6,27 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fogline.functions.text import capitalize_first, normalise_name
 
 BROADCAST_LIMIT = 16 * 1024 * 1024
 SALTS = 16
+#: Joins that keep every row of the fact once, or drop it: repeating the dimension cannot change them.
+FACT_SIDE_JOINS = ("inner", "left", "left_outer", "left_semi", "left_anti")
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimised plan."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def checked_bytes(df: DataFrame) -> int:
-    """Size to decide a broadcast by.
-
-    The estimate follows file sizes, which holds unless the plan multiplies rows; such a
-    frame is counted when the estimate alone would let it through.
-    """
-    estimate = estimated_bytes(df)
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    if estimate > BROADCAST_LIMIT or not any(node in plan for node in ("Generate ", "Join ", "Expand ")):
-        return estimate
-    return max(estimate, df.count() * df._jdf.schema().defaultSize())
+def measured_bytes(df: DataFrame) -> int:
+    """Real size of a frame: lengths of its texts and binaries plus fixed widths. One job; for when a dimension is written."""
+    size = F.lit(0)
+    for field in df.schema.fields:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size = size + 16 + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + 16 + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{field.name}`")))), F.lit(0))
+        else:
+            size = size + 8
+    return int(df.agg(F.sum(size.cast("bigint"))).first()[0] or 0)
 
 
 def lookup_join(
@@ -40,15 +38,20 @@ def lookup_join(
     limit: int = BROADCAST_LIMIT,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Join ``fact`` to ``dim`` on equal names.
+    """Join ``fact`` to ``dim``, whose key is unique, on equal names.
 
-    The dimension is broadcast only while its size stays under ``limit``. Beyond it both
+    Without ``dim_bytes`` Spark plans the join from what it knows, and adaptive execution from real shuffle sizes; no job
+    runs here. With ``dim_bytes``, a measured size, the dimension is broadcast up to ``limit``. Beyond it both
     sides are shuffled on the key plus a salt: the salt is the input partition number, so
     it is stable under task retries and splits one hot key, NULL keys and exact copies
     alike; the dimension is repeated once per salt.
     """
     on = list(on)
-    if (checked_bytes(dim) if dim_bytes is None else dim_bytes) <= limit:
+    if how not in FACT_SIDE_JOINS:
+        raise ValueError(f"a lookup keeps to the fact's rows; not a {how!r} join")
+    if dim_bytes is None:
+        return fact.join(dim, on, how)
+    if dim_bytes <= limit:
         return fact.join(F.broadcast(dim), on, how)
     salted_fact = fact.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     salted_dim = dim.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,15 +27,25 @@ def upsert_by_key(
 ) -> DataFrame:
     """Update the ``update`` columns of matched rows and insert the others.
 
-    Staging must be unique on the keys. NULL keys never match. By default every column the
-    staging table has beyond the keys is updated; columns it lacks keep the old value, or
-    NULL on insert. Joins from the target are many-to-one, which adaptive execution can split
+    A staged key that occurs twice stops the job: which row would win is not defined. NULL keys never match, so such rows
+    are all inserted. By default every column the staging table has beyond the keys is updated; columns it lacks
+    keep the old value, or NULL on insert. Joins from the target are many-to-one, which adaptive execution can split
     when one key is heavy.
     """
     keys = list(keys)
     changes = [c for c in (update or staging.columns) if c not in keys and c in target.columns]
-    source = staging.select(
-        *keys, F.lit(True).alias("__hit"), *[F.col(c).alias(f"__new_{c}") for c in changes]
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    rest = [c for c in staging.columns if c not in keys and c in target.columns]
+    twice = F.raise_error(F.concat(F.lit(f"staged more than once on {keys}: "), F.to_json(F.struct(*keys))))
+    once = (
+        staging.where(whole)
+        .groupBy(*keys)
+        .agg(F.count("*").alias("__n"), F.first(F.struct(F.lit(True).alias("__hit"), *rest)).alias("__row"))
+        # In the rows themselves, so that no projection can leave the check out.
+        .withColumn("__row", F.when(F.col("__n") > 1, twice).otherwise(F.col("__row")))
+    )
+    source = once.select(
+        *keys, F.col("__row.__hit").alias("__hit"), *[F.col(f"__row.`{c}`").alias(f"__new_{c}") for c in changes]
     )
     merged = target.join(source, keys, "left").select(
         *[
@@ -45,14 +56,15 @@ def upsert_by_key(
     types = dict(target.dtypes)
     # Keys already present, found from the target side: a small staging table is broadcast
     # in both joins and the target is never shuffled.
-    present = target.select(*keys).join(staging.select(*keys), keys, "left_semi").distinct()
-    fresh = staging.join(present, keys, "left_anti").select(
+    present = target.select(*keys).join(once.select(*keys), keys, "left_semi").distinct()
+    fresh = once.join(present, keys, "left_anti").select(*keys, *[F.col(f"__row.`{c}`").alias(c) for c in rest])
+    inserted = fresh.unionByName(staging.where(~whole).select(*keys, *rest)).select(
         *[
             (F.col(c) if c in staging.columns else F.lit(None)).cast(types[c]).alias(c)
             for c in target.columns
         ]
     )
-    return merged.unionByName(fresh)
+    return merged.unionByName(inserted)
 
 
 def upsert_latest(target: DataFrame, staging: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:

@@ -161,6 +161,6 @@ def catalog_profile(tables: Mapping[str, DataFrame], descriptions: Mapping[str,
     return out
 
 
-def capped(df: DataFrame, cap: int = 1000) -> DataFrame:
+def capped(df: DataFrame, cap: int) -> DataFrame:
     """The outer row cap of an ad-hoc question."""
     return df.limit(cap)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fogline.functions.geo import geojson_rings
 from fogline.functions.temporal import lookback_dates, snapshot_ts_from_path
@@ -18,33 +19,71 @@ from fogline.operators.scan import scan_in_segments
 BYTES_PER_FILE_ENTRY = 400
 
 
-def parse_json_array(df: DataFrame, text: str, schema: str, ordinal: str = "ordinal") -> DataFrame:
+def _as_text(kind: T.DataType) -> T.DataType:
+    """The same shape with every scalar as text, which JSON parsing fills whatever its spelling."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_as_text(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return T.MapType(T.StringType(), _as_text(kind.valueType))
+    return T.StringType()
+
+
+def _typed(value: Column, kind: T.DataType) -> Column:
+    """Text values of ``_as_text`` in their own types; NULL where a value has another type."""
+    if isinstance(kind, T.StructType):
+        fields = [_typed(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _typed(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(value, lambda _, x: _typed(x, kind.valueType))
+    if isinstance(kind, T.IntegralType):
+        # 1995, 1995.0 and "1995" are the same number; 1995.5 is no whole one.
+        number = value.try_cast("decimal(38,9)")
+        return F.when(number == F.floor(number), number.try_cast(kind))
+    return value if isinstance(kind, T.StringType) else value.try_cast(kind)
+
+
+def _misfits(value: Column, kind: T.DataType) -> Column:
+    """How many values inside a text-shaped one do not have their type."""
+    if isinstance(kind, T.StructType):
+        total = F.lit(0)
+        for f in kind.fields:
+            if not isinstance(f.dataType, T.StringType):
+                total = total + F.coalesce(_misfits(value[f.name], f.dataType), F.lit(0))
+        return total
+    if isinstance(kind, T.ArrayType):
+        return F.aggregate(value, F.lit(0), lambda n, x: n + F.coalesce(_misfits(x, kind.elementType), F.lit(0)))
+    if isinstance(kind, T.MapType):
+        return F.aggregate(F.map_values(value), F.lit(0), lambda n, x: n + F.coalesce(_misfits(x, kind.valueType), F.lit(0)))
+    return F.when(value.isNotNull() & _typed(value, kind).isNull(), 1).otherwise(0)
+
+
+def parse_json_array(df: DataFrame, text: str, schema: str, ordinal: str = "ordinal", rejects: str | None = None) -> DataFrame:
     """Text column holding a JSON array of records -> one row per record with its position.
 
-    A document that is not readable JSON is an error, never an empty snapshot.
+    A document that is not a readable array is an error, never an empty snapshot. Numbers may be spelled 1995, 1995.0
+    or "1995". A value that does not have its type stops the job, or with ``rejects`` becomes NULL and
+    is counted in a column of that name.
     """
     kept = [c for c in df.columns if c != text]
-    document = strip_bom(F.col(text))
+    document = F.trim(strip_bom(F.col(text)))
+    shape = T.StructType.fromDDL(schema)
     unreadable = F.raise_error(F.concat(F.lit("unreadable JSON document: "), F.substring(document, 1, 60)))
-    parsed = F.coalesce(
-        F.from_json(document, f"array<struct<{_struct_fields(schema)}>>"),
-        F.when(document.isNotNull(), unreadable),
-    )
-    return df.select(*kept, F.posexplode(parsed).alias(ordinal, "__record")).select(
-        *kept, ordinal, "__record.*"
-    )
-
-
-def _struct_fields(ddl: str) -> str:
-    """Top-level 'name type' list of a DDL schema in the 'name: type' form used inside struct<>."""
-    fields, depth, start = [], 0, 0
-    for i, ch in enumerate(ddl + ","):
-        depth += (ch in "<(") - (ch in ">)")
-        if ch == "," and depth == 0:
-            name, kind = ddl[start:i].strip().split(None, 1)
-            fields.append(f"`{name}`: {kind}")
-            start = i + 1
-    return ", ".join(fields)
+    listed = F.when(document.rlike(r"^\s*\["), F.from_json(document, T.ArrayType(_as_text(shape))))
+    parsed = F.coalesce(listed, F.when(F.col(text).isNotNull(), unreadable))
+    records = df.select(*kept, F.posexplode(parsed).alias(ordinal, "__record"))
+    bad = _misfits(F.col("__record"), shape)
+    fields = [_typed(F.col("__record")[f.name], f.dataType).alias(f.name) for f in shape.fields]
+    if rejects is not None:
+        return records.select(*kept, ordinal, *fields, bad.cast("bigint").alias(rejects))
+    # The position carries the check, so no projection can leave it out unseen.
+    checked = F.when(
+        bad > 0, F.raise_error(F.concat(F.lit("value of another type in record: "), F.substring(F.to_json("__record"), 1, 200)))
+    ).otherwise(F.col(ordinal))
+    return records.select(*kept, checked.cast("int").alias(ordinal), *fields)
 
 
 def read_json_snapshot(spark: SparkSession, path: str, schema: str, ordinal: str = "ordinal") -> DataFrame:
@@ -139,8 +178,9 @@ def snapshot_inventory(
     records: DataFrame,
     file_name: Column,
     id_col: str,
+    *,
+    since: str,
     pattern: str = r"^(\d{4}-\d{2}-\d{2})_rentals_api_call$",
-    since: str = "2026-06-11",
 ) -> DataFrame:
     """Records and distinct ids per dated snapshot whose name matches and is not too old."""
     dated = records.withColumn("snapshot_date", F.nullif(F.regexp_extract(file_name, pattern, 1), F.lit("")))

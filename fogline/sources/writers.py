@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Sequence
+from enum import Enum
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,50 +13,33 @@ from pyspark.sql import functions as F
 from fogline.session import cut_lineage
 from fogline.sources.files import path_exists
 
-# Fixed values of the storage layout.
-AGENCIES = ("muni", "bart")
-DERIVED_ROOTS = ("latest/TripUpdates", "latest/VehiclePositions", "latest/joined")
+class Stage(Enum):
+    """Derived stages of a transit day; the values are fixed folder names."""
 
+    TRIP_UPDATES = "latest/TripUpdates"
+    VEHICLE_POSITIONS = "latest/VehiclePositions"
+    JOINED = "latest/joined"
 
-def check_agency(agency: str) -> str:
-    name = agency.strip().lower()
-    if name not in AGENCIES:
-        raise ValueError(f"unknown agency {agency!r}; expected one of {', '.join(AGENCIES)}")
-    return name
 
+class Agency(Enum):
+    """Agencies with transit feeds; the values are fixed folder names."""
 
-def check_source_date(text: str, today: dt.date | None = None) -> str:
-    """A real ISO date before today (UTC)."""
-    try:
-        day = dt.date.fromisoformat(text.strip())
-    except ValueError as exc:
-        raise ValueError(f"not a YYYY-MM-DD date: {text!r}") from exc
-    now = today or dt.datetime.now(dt.timezone.utc).date()
-    if day >= now:
-        raise ValueError(f"source date {day} is not before {now}")
-    return day.isoformat()
+    MUNI = "muni"
+    BART = "bart"
 
 
-def check_derived_root(root: str) -> str:
-    """Only the derived stages may be replaced; never raw data, never a pattern or a climb."""
-    clean = root.strip().strip("/")
-    parts = clean.split("/")
-    if not clean or "://" in clean or set(clean) & set("*?[]{}"):
-        raise ValueError(f"unsafe derived root {root!r}")
-    if any(p in ("", ".", "..") or p.lower() == "raw" for p in parts):
-        raise ValueError(f"unsafe derived root {root!r}")
-    if not any(clean == r or clean.endswith("/" + r) for r in DERIVED_ROOTS):
-        raise ValueError(f"derived root {root!r} must end with one of {', '.join(DERIVED_ROOTS)}")
-    return clean
+def day_folder(base: str, stage: Stage, agency: Agency, day: dt.date) -> str:
+    """Where one agency's day of a stage lives. Built from known parts, so it cannot name anything else."""
+    return "/".join((base.rstrip("/"), Stage(stage).value, Agency(agency).value, day.strftime("%Y-%m-%d")))
 
 
 def replace_day(
-    df: DataFrame, base: str, root: str, agency: str, date: str, shards: int = 16, today: dt.date | None = None
+    df: DataFrame, base: str, stage: Stage, agency: Agency, day: dt.date, shards: int = 16, sort: Sequence[str] = ()
 ) -> str:
-    """Replace ``base/root/agency/date/`` by ``df``; older shards of that day go, nothing else."""
-    folder = f"{check_derived_root(root)}/{check_agency(agency)}/{check_source_date(date, today)}"
-    path = f"{base.rstrip('/')}/{folder}"
-    df.repartition(shards).write.mode("overwrite").parquet(path)
+    """Replace a day's folder by ``df``, each file sorted by ``sort``; other days and stages are not touched."""
+    path = day_folder(base, stage, agency, day)
+    dealt = df.repartition(shards, *sort) if sort else df.repartition(shards)
+    (dealt.sortWithinPartitions(*sort) if sort else dealt).write.mode("overwrite").parquet(path)
     return path
 
 
@@ -93,6 +77,18 @@ def write_mart(
     )
 
 
+def append_rows(df: DataFrame, path: str, like: DataFrame) -> None:
+    """Append ``df`` to a table, in the columns and types of ``like``; a missing column stops the load.
+
+    Appending is not idempotent: a caller that may run twice replaces or upserts instead.
+    """
+    missing = [c for c in like.columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"append lacks columns: {', '.join(missing)}")
+    types = dict(like.dtypes)
+    df.select(*[F.col(c).cast(types[c]).alias(c) for c in like.columns]).write.mode("append").parquet(path)
+
+
 def write_boundary_dimension(dim: DataFrame, path: str) -> None:
     """Boundary dimension (id, name, geometry WKT) as one CSV with a header under ``path``/csv."""
     dim.orderBy("id").coalesce(1).write.mode("overwrite").option("header", True).csv(f"{path.rstrip('/')}/csv")

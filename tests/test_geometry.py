@@ -153,12 +153,27 @@ def test_unmatched_labels_and_geocodes(spark, dim):
     assert {tuple(r) for r in got.collect()} == {("x", 7.0, 8.0), ("y", 1.0, 2.0), ("z", None, None)}
 
 
-def test_row_multiplying_dimensions_are_counted_before_a_broadcast(spark, tmp_path):
+def test_texts_that_compress_well_are_not_broadcast(spark, tmp_path):
     path = str(tmp_path / "dim")
-    spark.range(100).selectExpr("id AS k").write.parquet(path)
-    plain = spark.read.parquet(path)
-    assert lookup.checked_bytes(plain) == lookup.estimated_bytes(plain)
-    grown = plain.select("k", F.explode(F.sequence(F.lit(1), F.lit(20_000))).alias("v"))
-    assert lookup.estimated_bytes(grown) < lookup.BROADCAST_LIMIT < lookup.checked_bytes(grown)
-    joined = lookup.lookup_join(spark.range(5).selectExpr("id AS k"), grown, ["k"])
+    spark.range(200).selectExpr("id AS k", "repeat('x', 200000) AS v").write.parquet(path)
+    dim = spark.read.parquet(path)
+    assert lookup.measured_bytes(dim) > 40_000_000 > lookup.BROADCAST_LIMIT
+    joined = lookup.lookup_join(spark.range(5).selectExpr("id AS k"), dim, ["k"], dim_bytes=lookup.measured_bytes(dim))
     assert "strategy=broadcast" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.count() == 5
+
+
+def test_lookups_keep_to_the_rows_of_the_fact(spark):
+    fact, dim = spark.range(3).selectExpr("id AS k"), spark.range(2).selectExpr("id AS k", "id AS v")
+    for how in ("right", "full_outer", "cross"):
+        with pytest.raises(ValueError):
+            lookup.lookup_join(fact, dim, ["k"], how=how)
+
+
+def test_rings_that_are_none_give_no_geometry(spark):
+    from fogline.functions.geo import geojson_rings, ring_edges
+
+    shapes = [("Polygon", "[[[1, 2]]]"), ("Polygon", "[[]]"), ("Polygon", "[]"), ("Polygon", "[[[0],[1,0],[1,1],[0]]]"), ("Polygon", "[[[0,0],[1,0],[1,1],[0,0]]]"), ("Point", "[1,2]")]
+    df = spark.createDataFrame([(s,) for s in shapes], "g struct<type:string,coordinates:string>")
+    got = [r[0] for r in df.select(F.size(ring_edges(geojson_rings(F.col("g"))))).collect()]
+    assert got == [None, None, None, None, 3, None]

@@ -302,3 +302,13 @@ def test_fused_transit_day_equals_newest_then_join(spark):
     assert rows(together.select(columns)) == rows(apart.select(columns))
     plan = together._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_upsert_refuses_a_key_staged_twice(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k bigint, v string")
+    staged = lambda *rows_: spark.createDataFrame(list(rows_), "k bigint, v string")
+    got = merge.upsert_by_key(target, staged((1, "A"), (3, "C"), (None, "x"), (None, "y")), ["k"])
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, "A"), (2, "b"), (3, "C"), (None, "n"), (None, "x"), (None, "y")], key=str)
+    for twice in (((1, "A"), (1, "B")), ((9, "A"), (9, "A"))):
+        with pytest.raises(Exception, match="staged more than once"):
+            merge.upsert_by_key(target, staged(*twice), ["k"]).collect()

@@ -4,10 +4,11 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.conftest import SF
+from workload.catalog import REGISTRY
 from workload.run_check import compare, connect
 
 ORACLES = entry.oracle_sql()
-QUERIES = entry.queries()
+QUERIES = {name: entry.queries()[name] for name in REGISTRY}
 
 
 @pytest.fixture(scope="module")

@@ -271,11 +271,11 @@ def stage_category(t):
 
 @query(
     "row_cap",
-    """SELECT user_id, count(*) AS n FROM events GROUP BY 1 ORDER BY n DESC, user_id LIMIT 1000""",
+    """SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, l_partkey LIMIT 1000""",
 )
 def row_cap(t):
-    per_user = t.events.groupBy("user_id").agg(F.count("*").alias("n"))
-    return capped(per_user.orderBy(F.desc("n"), "user_id"), 1000)
+    per_part = t.lineitem.groupBy("l_partkey").agg(F.count("*").alias("n"))
+    return capped(per_part.orderBy(F.desc("n"), "l_partkey"), 1000)
 
 
 def _parity_sql(kind, source, ts):

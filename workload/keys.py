@@ -102,6 +102,53 @@ def outer_join_diagnostics(t):
     return joins.outcome_rates(counts)
 
 
+OUTER_ROWS = f"""
+    SELECT CASE WHEN t.__l IS NULL THEN v.agency_id ELSE t.agency_id END AS agency_id,
+           CASE WHEN t.__l IS NULL THEN v.trip_id ELSE t.trip_id END AS trip_id,
+           CASE WHEN t.__l IS NULL THEN v.direction_id ELSE t.direction_id END AS direction_id,
+           CASE WHEN t.__l IS NULL THEN v.stop_sequence ELSE t.stop_sequence END AS stop_sequence,
+           t.route_id AS left_route_id, v.route_id AS right_route_id, t.latest_snapshot_ts, v.vp_snapshot_ts, v.vehicle_id,
+           CASE WHEN v.__r IS NULL THEN 'left_only' WHEN t.__l IS NULL THEN 'right_only' ELSE 'both' END AS outcome
+    FROM (SELECT *, true AS __l FROM tu_latest) t FULL JOIN (SELECT *, true AS __r FROM vp_latest) v
+      ON {same_key('t', 'v', BASIC)}"""
+
+
+def _outer_rows(t):
+    return joins.outer_join_rows(
+        latest.latest_trip_updates(t.trip_updates).select(*BASIC, "route_id", "latest_snapshot_ts"),
+        latest.latest_vehicle_positions(t.vehicle_positions).select(*BASIC, "route_id", "vp_snapshot_ts", "vehicle_id"),
+        BASIC,
+    )
+
+
+@query(
+    "outer_join_rows",
+    f"""SELECT agency_id, trip_id, direction_id, stop_sequence, left_route_id, right_route_id,
+               {ts_text('latest_snapshot_ts')} AS latest_snapshot_ts, {ts_text('vp_snapshot_ts')} AS vp_snapshot_ts, vehicle_id, outcome
+        FROM ({OUTER_ROWS}) o""",
+)
+def outer_join_rows(t):
+    return _outer_rows(t)
+
+
+def _profile_sql(columns):
+    text = lambda c: ts_text(c) if c.endswith("_ts") else f"cast({c} AS varchar)"
+    return " UNION ALL ".join(
+        f"""SELECT outcome, count(*) AS n_rows, '{c}' AS column_name, count(*) - count({c}) AS n_null, min({text(c)}) AS least,
+                   max({text(c)}) AS greatest, (count(*) - count({c})) / cast(count(*) AS double) AS null_rate
+            FROM ({OUTER_ROWS}) o GROUP BY outcome"""
+        for c in columns
+    )
+
+
+PROFILED = ("trip_id", "stop_sequence", "left_route_id", "latest_snapshot_ts", "vp_snapshot_ts", "vehicle_id")
+
+
+@query("unmatched_profile", _profile_sql(PROFILED))
+def unmatched_profile(t):
+    return joins.unmatched_profile(_outer_rows(t), PROFILED)
+
+
 def _hourly_sql(ts, only):
     return f"""SELECT {ts_text(f"date_trunc('hour', {ts})")} AS hour, count(*) FILTER (outcome = 'both') AS "both",
                       count(*) FILTER (outcome = '{only}') AS {only}

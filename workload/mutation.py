@@ -185,9 +185,14 @@ def rental_documents(t):
         )
 
     empty = F.lit(None).cast("map<string,struct<event:string,price:bigint,listedDate:string,removedDate:string>>")
-    return t.orders.select(
-        (key * 10).alias("file_number"), F.to_json(F.array(listing("L", history), listing("M", empty))).alias("document")
+    # The same whole price spelled 1995, 1995.0 and "1995"; coordinates as numbers and as text.
+    document = F.to_json(F.array(listing("L", history), listing("M", empty)))
+    spelled = (
+        F.when(key % 3 == 0, F.regexp_replace(document, r'"price":(\d+)', '"price":$1.0'))
+        .when(key % 3 == 1, F.regexp_replace(document, r'"(price|latitude)":([\d.]+)', '"$1":"$2"'))
+        .otherwise(document)
     )
+    return t.orders.select((key * 10).alias("file_number"), spelled.alias("document"))
 
 
 def raw_rentals(t):

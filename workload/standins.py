@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fogline.operators.lookup import estimated_bytes
 
 
 class SparkDialect:
@@ -243,7 +242,8 @@ def vehicle_positions(d):
     return f"""
     SELECT {_trip_key().format(start=d.day('2024-01-01', 'l_orderkey % 365')).replace(
         "'T' || cast(l_orderkey AS string) AS trip_id",
-        "CASE WHEN l_partkey % 37 = 0 THEN NULL ELSE 'T' || cast(l_orderkey AS string) END AS trip_id")},
+        "CASE WHEN l_partkey % 37 = 0 THEN NULL WHEN l_linestatus = 'F' THEN 'T' || cast(l_orderkey AS string) "
+        "ELSE 'X' || cast(l_orderkey AS string) END AS trip_id")},
            cast(CASE WHEN l_partkey % 31 = 0 THEN NULL ELSE l_linenumber END AS bigint) AS stop_sequence,
            l_suppkey AS blob_order,
            'raw/VehiclePositions/' || cast(l_suppkey AS string) || '-' || cast(l_partkey AS string) || '-'
@@ -260,7 +260,7 @@ def vehicle_positions(d):
            -((122400000 + l_partkey) / 1e6) AS longitude,
            cast(l_quantity AS double) AS bearing,
            cast(l_discount AS double) AS speed
-    FROM {{lineitem}} WHERE l_linestatus = 'F'"""
+    FROM {{lineitem}}"""
 
 
 STANDINS = {
@@ -273,14 +273,6 @@ STANDINS = {
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
-SPREAD_BY = {
-    "lineitem": ("l_orderkey", "l_partkey", "l_suppkey"),
-    "orders": ("o_orderkey",),
-    "events": ("event_id",),
-}
-SPREAD_FROM, SPREAD_TO = 2 * 1024**2, 512 * 1024**2
-
-
 @dataclass(frozen=True)
 class Tables:
     """Attribute access to driver tables and to the views above."""
@@ -290,22 +282,13 @@ class Tables:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
-            return self._spread(name, self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
+            return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         if name in STANDINS:
             text = STANDINS[name](SparkDialect())
             used = {t: getattr(self, t) for t in BASE_TABLES if f"{{{t}}}" in text}
             return self.spark.sql(text, **used)
         raise AttributeError(f"no table or view named {name}")
 
-    def _spread(self, name: str, df: DataFrame) -> DataFrame:
-        """A table of a few megabytes is one row group, hence one task: deal it to all cores.
-
-        Larger tables split by themselves and are read as they are.
-        """
-        if name not in SPREAD_BY or not SPREAD_FROM < estimated_bytes(df) < SPREAD_TO:
-            return df
-        return df.repartition(self.spark.sparkContext.defaultParallelism, *SPREAD_BY[name])
-
     @cached_property
     def gold_events(self) -> DataFrame:
         from fogline.plans.marts import gold_dashboard_events
