@@ -1,8 +1,11 @@
 """Point-in-polygon joins through grid cells.
 
-Each polygon is cut into square cells; a cell keeps only the edges a ray from inside it can
-cross. Cells are unique, so a point meets at most one row, and the whole containment test
-runs inside that row: no pairs are emitted, no regrouping of points follows, and with the
+Each polygon is cut into square cells. A cell keeps the edges near it; edges farther east, which every
+ray from the cell meets when they reach its height, shrink to the heights at which their number changes between
+even and odd. Two edges that share a vertex cancel there, so a chain of far edges leaves its two ends at most, and a cell
+wholly inside a polygon keeps one bit. Edges are dealt to the strips of cells they reach, so work and size follow
+edges times strips, not cells times edges. Cells are unique, so a point meets at most one row, and the whole
+containment test runs inside that row: no pairs are emitted, no regrouping of points follows, and with the
 cover broadcast the points are never shuffled.
 """
 
@@ -19,13 +22,17 @@ from fogline.session import cut_lineage
 
 CELL_DEGREES = 0.005
 UNLOCATED = 404
+#: Part of a cell by which neighbourhoods of cells are widened.
+SLACK = 1 / 64
 
 
 @dataclass(frozen=True)
 class Cover:
+    """Cells of a polygon dimension; ``bytes`` is their measured size, None where nothing was measured."""
+
     cells: DataFrame
     cell: float
-    bytes: int
+    bytes: int | None = None
 
 
 def polygon_edges(polygons: DataFrame, wkt: str = "geometry", id_col: str = "id") -> DataFrame:
@@ -37,51 +44,80 @@ def polygon_edges(polygons: DataFrame, wkt: str = "geometry", id_col: str = "id"
     )
 
 
+def _odd_ones(values: Column) -> Column:
+    """The values of an array that occur an odd number of times, in order."""
+    return F.aggregate(
+        F.array_sort(values),
+        F.array().cast("array<double>"),
+        lambda kept, v: F.when(F.try_element_at(kept, F.lit(-1)) == v, F.slice(kept, 1, F.size(kept) - 1)).otherwise(
+            F.concat(kept, F.array(v))
+        ),
+    )
+
+
 def build_cells(polygons: DataFrame, wkt: str = "geometry", id_col: str = "id", cell: float = CELL_DEGREES) -> DataFrame:
+    """(__cx, __cy, __candidates): per cell and polygon the near edges, a parity and the heights where it turns."""
     edges = polygon_edges(polygons, wkt, id_col)
-    low = lambda a, b: F.array_min(F.transform("edges", lambda e: F.least(e[a], e[b])))
-    high = lambda a, b: F.array_max(F.transform("edges", lambda e: F.greatest(e[a], e[b])))
     index = lambda c: F.floor(c / F.lit(cell))
-    gridded = (
-        edges.withColumn("__cx", F.explode(F.sequence(index(low("x1", "x2")), index(high("x1", "x2")))))
-        .withColumn("__cy", F.explode(F.sequence(index(low("y1", "y2")), index(high("y1", "y2")))))
+    bound = lambda fold, a, b, pick: index(fold(F.transform("edges", lambda e: pick(e[a], e[b]))))
+    boxed = edges.select(
+        "id",
+        bound(F.array_min, "x1", "x2", F.least).alias("__x0"),
+        bound(F.array_max, "x1", "x2", F.greatest).alias("__x9"),
+        bound(F.array_min, "y1", "y2", F.least).alias("__y0"),
+        bound(F.array_max, "y1", "y2", F.greatest).alias("__y9"),
+        F.explode("edges").alias("e"),
     )
-    # One extra cell of slack on every side, so rounding cannot drop an edge that counts.
-    west = (F.col("__cx") - 1) * F.lit(cell)
-    south = (F.col("__cy") - 1) * F.lit(cell)
-    north = (F.col("__cy") + 2) * F.lit(cell)
-    near = F.filter(
-        "edges",
-        lambda e: (F.greatest(e["x1"], e["x2"]) >= west)
-        & (F.greatest(e["y1"], e["y2"]) >= south)
-        & (F.least(e["y1"], e["y2"]) <= north),
+    # Some slack on every side, so rounding of cell numbers cannot drop an edge that counts.
+    slack = cell * SLACK
+    first = F.greatest(index(F.least("e.y1", "e.y2") - slack), F.col("__y0"))
+    last = F.least(index(F.greatest("e.y1", "e.y2") + slack), F.col("__y9"))
+    strips = (
+        boxed.withColumn("__cy", F.explode(F.sequence(first, last)))
+        .groupBy("id", "__cy", "__x0", "__x9")
+        .agg(F.collect_list("e").alias("edges"))
+        .withColumn("__cx", F.explode(F.sequence("__x0", "__x9")))
     )
-    return (
-        gridded.withColumn("edges", near)
-        .where(F.size("edges") > 0)
-        .groupBy("__cx", "__cy")
-        .agg(F.collect_list(F.struct("id", "edges")).alias("__candidates"))
+    west, east = F.col("__cx") * F.lit(cell) - slack, (F.col("__cx") + 1) * F.lit(cell) + slack
+    south, north = F.col("__cy") * F.lit(cell) - slack, (F.col("__cy") + 1) * F.lit(cell) + slack
+    is_far = lambda e: F.least(e["x1"], e["x2"]) >= east
+    near = F.filter("edges", lambda e: ~is_far(e) & (F.greatest(e["x1"], e["x2"]) >= west))
+    ends = F.flatten(F.transform(F.filter("edges", is_far), lambda e: F.array(e["y1"], e["y2"])))
+    cells = (
+        strips.withColumns({"__near": near, "__ends": ends})
+        .withColumn("odd", F.size(F.filter("__ends", lambda y: y > north)) % 2 == 1)
+        .withColumn("turns", _odd_ones(F.filter("__ends", lambda y: (y >= south) & (y <= north))))
+        .where((F.size("__near") > 0) | F.col("odd") | (F.size("turns") > 0))
+    )
+    return cells.groupBy("__cx", "__cy").agg(
+        F.collect_list(F.struct("id", F.col("__near").alias("edges"), "odd", "turns")).alias("__candidates")
     )
 
 
 def build_cover(polygons: DataFrame, wkt: str = "geometry", id_col: str = "id", cell: float = CELL_DEGREES) -> Cover:
     """Cells plus their measured size, which decides whether the cover may be broadcast.
 
-    The polygons are parsed once: the measurement and every later join read the same copy.
+    For a dimension that is used again: the polygons are parsed once, and every later join reads the same copy.
     """
     cells = cut_lineage(build_cells(polygons, wkt, id_col, cell))
-    n_edges = F.aggregate("__candidates", F.lit(0), lambda acc, c: acc + F.size(c["edges"]))
+    n_edges = F.aggregate("__candidates", F.lit(0), lambda acc, c: acc + F.size(c["edges"]) + F.size(c["turns"]))
     size = cells.agg(F.count("*").alias("cells"), F.sum(n_edges).alias("edges")).first()
     return Cover(cells, cell, 64 * size["cells"] + 48 * (size["edges"] or 0))
 
 
+def plain_cover(polygons: DataFrame, cell: float = CELL_DEGREES) -> Cover:
+    """A cover for one join: no job runs, and Spark sizes it like any other frame."""
+    return Cover(build_cells(polygons, cell=cell), cell)
+
+
 def assign_polygon(points: DataFrame, cover: Cover, lon: str, lat: str, out: str) -> DataFrame:
     """Left join: ``out`` is the smallest id of the polygons holding the point, else NULL."""
     located = points.withColumn("__cx", F.floor(F.col(lon) / F.lit(cover.cell))).withColumn(
         "__cy", F.floor(F.col(lat) / F.lit(cover.cell))
     )
     joined = lookup_join(located, cover.cells, ["__cx", "__cy"], dim_bytes=cover.bytes)
-    hits = F.filter("__candidates", lambda c: inside(c["edges"], F.col(lon), F.col(lat)))
+    turned = lambda c: F.size(F.filter(c["turns"], lambda y: y > F.col(lat))) % 2 == 1
+    hits = F.filter("__candidates", lambda c: (c["odd"] != turned(c)) != inside(c["edges"], F.col(lon), F.col(lat)))
     return joined.withColumn(out, F.array_min(F.transform(hits, lambda c: c["id"]))).drop(
         "__cx", "__cy", "__candidates"
     )
@@ -110,7 +146,7 @@ def assign_boundaries(
         (districts, "police_district_id", district_label, "capitalised" if name_rule == "source" else name_rule),
         (neighborhoods, "neighborhood_id", neighborhood_label, "exact" if name_rule == "source" else name_rule),
     ):
-        out = assign_polygon(out, build_cover(dim, cell=cell), lon, lat, column)
+        out = assign_polygon(out, plain_cover(dim, cell), lon, lat, column)
         value: Column = F.col(column)
         if label is not None:
             out = name_to_id(out, dim, label, "__by_name", rule)
@@ -123,7 +159,7 @@ def assign_boundaries(
 
 def label_mismatches(df: DataFrame, dim: DataFrame, label: str, lon: str, lat: str, cell: float = CELL_DEGREES) -> DataFrame:
     """Rows whose own label differs from the spatial one; NULL on either side differs too."""
-    located = assign_polygon(df, build_cover(dim, cell=cell), lon, lat, "__id")
+    located = assign_polygon(df, plain_cover(dim, cell), lon, lat, "__id")
     names = dim.select(F.col("id").alias("__id"), F.col("name").alias("spatial_label"))
     named = lookup_join(located, names, ["__id"]).drop("__id")
     same = F.coalesce(F.lower(label) == F.lower("spatial_label"), F.lit(False))

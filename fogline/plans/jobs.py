@@ -9,7 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fogline.functions.temporal import lookback_dates
-from fogline.operators.checks import QualityError, require_complete_snapshot, require_monotonic, require_rows
+from fogline.operators.checks import (
+    QualityError,
+    dq_report,
+    require_complete_snapshot,
+    require_monotonic,
+    require_passed,
+    require_rows,
+)
 from fogline.operators.keys import CANONICAL_KEY
 from fogline.operators.merge import close_missing, update_foreign_keys, update_state, upsert_by_key, upsert_latest
 from fogline.operators.spatial import assign_boundaries
@@ -153,7 +160,13 @@ def build_marts(
     rentals: DataFrame,
     base: str,
 ) -> None:
-    """Write the three marts under ``base``."""
+    """Write the three marts under ``base``, then check what was written; a failed check stops the job.
+
+    Checks read the written files, so they hold for what readers see and the views are not computed twice.
+    """
+    spark = incidents_311.sparkSession
     write_mart(marts.gold_dashboard_events(incidents_311, police, trip_stops, stops), f"{base}/gold_dashboard_events")
     marts.gold_boundaries(neighborhoods, districts).write.mode("overwrite").parquet(f"{base}/gold_boundaries")
     marts.gold_rental_listings(rentals).write.mode("overwrite").parquet(f"{base}/gold_rental_listings")
+    for rules in (marts.EVENT_RULES, marts.rental_rules()):
+        require_passed(dq_report(spark.read.parquet(f"{base}/{rules.model}"), rules))

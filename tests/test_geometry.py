@@ -177,3 +177,38 @@ def test_rings_that_are_none_give_no_geometry(spark):
     df = spark.createDataFrame([(s,) for s in shapes], "g struct<type:string,coordinates:string>")
     got = [r[0] for r in df.select(F.size(ring_edges(geojson_rings(F.col("g"))))).collect()]
     assert got == [None, None, None, None, 3, None]
+
+
+def test_cover_of_a_polygon_with_many_edges_is_small(spark):
+    import time
+
+    ring = [(0.05 + 0.05 * math.cos(a), 0.04 + (0.04 + 0.001 * math.sin(40 * a)) * math.sin(a)) for a in (2 * math.pi * i / 4000 for i in range(4000))]
+    text = "POLYGON ((" + ", ".join(f"{x!r} {y!r}" for x, y in [*ring, ring[0]]) + "))"
+    dim = spark.createDataFrame([(1, "round", text)], "id bigint, name string, geometry string")
+    spatial.build_cover(dim, cell=0.02)
+    began = time.time()
+    cover = spatial.build_cover(dim, cell=0.005)
+    assert time.time() - began < 30 and cover.bytes < 1_000_000
+    rng = random.Random(3)
+    points = [(i, rng.uniform(-0.01, 0.11), rng.uniform(-0.01, 0.09)) for i in range(300)] + [(300 + i, *ring[i * 40]) for i in range(100)]
+    got = spatial.assign_polygon(spark.createDataFrame(points, "i int, x double, y double"), cover, "x", "y", "pid").collect()
+
+    def holds(x, y):
+        odd = False
+        for (x1, y1), (x2, y2) in zip(ring, [*ring[1:], ring[0]]):
+            if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+                odd = not odd
+        return odd
+
+    assert {r["i"]: r["pid"] == 1 for r in got} == {i: holds(x, y) for i, x, y in points}
+
+
+def test_building_an_assignment_starts_no_job(spark, dim):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "no job may run")
+    try:
+        points = spark.range(3).select(F.col("id").cast("double").alias("long"), F.lit(1.0).alias("lat"))
+        spatial.assign_boundaries(points, dim, dim, cell=3.0)
+        assert len(tracker.getJobIdsForGroup("building")) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
