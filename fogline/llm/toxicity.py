@@ -214,10 +214,9 @@ def score_toxicity(docs: DataFrame, lexicon: Lexicon, carry: tuple[str, ...] = (
     ignored unless carried.
     """
     state = docs.sparkSession.sparkContext.broadcast(_plain(lexicon))
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(c) for c in carry if c != "text"), "text")
-    kept = [f for f in read.schema.fields if f.name != "text" or "text" in carry]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", score double, predicted int"
-    names = [f.name for f in kept]
+    names = ["doc_id", *carry]
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(c) for c in carry), *(["text"] if "text" not in carry else []))
+    schema = ", ".join(f"`{n}` {read.schema[n].dataType.simpleString()}" for n in names) + ", score double, predicted int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready = Lexicon(**state.value)
