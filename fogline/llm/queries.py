@@ -14,6 +14,7 @@ from fogline.llm.jaccard_join import jaccard_components
 from fogline.llm.line_dedup import dedup_lines
 from fogline.llm.mixing import mix_sources
 from fogline.llm.url_filter import judge_urls, parse_rules
+from fogline.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -224,7 +225,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    found = secrets.findings(docs, secrets.scan_unseen(docs))
+    # The ledger is a table of its own, as it is from run to run.
+    found = secrets.findings(docs, cut_lineage(secrets.scan_unseen(docs)))
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
