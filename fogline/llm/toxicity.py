@@ -163,15 +163,15 @@ def learn(docs: DataFrame, labels: DataFrame, may_learn: Column, sample: int = S
     Labels other than 0 and 1, and rows without doc_id, are left out; several labels of a document count one by one.
     Without toxic or without clean documents nothing is learned and every score is low.
     """
-    rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    usable = labels.where(may_learn & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
-    chosen = (
-        usable.select(F.col("doc_id").cast("long").alias("__id"), F.col("toxic").cast("int").alias("toxic"))
-        .withColumnRenamed("__id", "doc_id")
-        .withColumn("place", rank)
-        .where(F.col("place") <= sample)
-        .select(F.col("doc_id").alias("__id"), "toxic")
+    usable = labels.where(may_learn & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("__id"), F.col("toxic").cast("int").alias("toxic")
     )
+    # A threshold on a hash leaves about twice the sample of each label; only those are ranked. Two rows of counts.
+    counts = F.broadcast(usable.groupBy("toxic").agg(F.count("*").alias("all")))
+    drawn = F.pmod(F.xxhash64("__id"), F.lit(1 << 30))
+    few = usable.join(counts, "toxic").where(drawn < F.lit(2.0 * sample) / F.col("all") * (1 << 30))
+    rank = F.row_number().over(Window.partitionBy("toxic").orderBy(drawn, "__id"))
+    chosen = few.withColumn("place", rank).where(F.col("place") <= sample).select("__id", "toxic")
     # At most 2 * sample rows of two numbers.
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))
     sizes = dict(read.groupBy("toxic").count().toLocalIterator())
