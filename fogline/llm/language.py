@@ -29,6 +29,8 @@ SIZES = (2, 3, 4)
 SLOT_BITS = 20
 SAMPLE, LANDMARKS = 200, 24
 RIDGE = 1e-2
+#: Parts in which the rows of one language are ranked first.
+PARTS = 8
 #: How sharply the distance between languages turns into a score.
 SHARPNESS = 6.0
 UNKNOWN = "und"
@@ -141,8 +143,12 @@ def learn(docs: DataFrame, may_learn: Column, sample: int = SAMPLE) -> Model | N
         "lang", "text", F.xxhash64("text").alias("drawn")
     )
     # Copies of a text count once. Only hashes are ranked; the chosen texts are found by a join on them.
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("drawn"))
-    first = labelled.select("lang", "drawn").distinct().withColumn("place", rank).where(F.col("place") <= sample).drop("place")
+    # In two steps, so that a language with most of the rows is first ranked in parts.
+    rank = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy("drawn"))
+    parts = labelled.select("lang", "drawn").distinct().withColumn("part", F.pmod("drawn", F.lit(PARTS)))
+    for by in (("lang", "part"), ("lang",)):
+        parts = parts.withColumn("place", rank(*by)).where(F.col("place") <= sample)
+    first = parts.select("lang", "drawn")
     chosen = labelled.join(first, ["lang", "drawn"], "left_semi").mapInArrow(run, "lang string, drawn long, slots array<int>")
     rows = sorted(chosen.dropDuplicates(["lang", "drawn"]).toLocalIterator(), key=lambda r: (r["lang"], r["drawn"]))
     if not rows:
