@@ -11,7 +11,8 @@ Multi-index search: fingerprints are cut into 4 blocks of 16 bits. Two fingerpri
 radius differ by at most RADIUS // 4 bits in one block, so the tables of all block values within
 that distance of an item's block find every fingerprint within the radius. Pairs inside the radius are then
 verified exactly: the weighted Jaccard similarity of five-word shingles between the item and the
-document window of the item's size that lines up with the hit. A shingle of k items weighs 1/k.
+document window of the item's size that lines up with the hit. A shingle of k items weighs 1/k. k, the common
+words and the classes are those of the whole benchmark, so results do not depend on its blocks.
 
 Scale: documents are read once per block of at most ``ITEM_WORDS`` benchmark words, whose tables
 are broadcast (about 60 bytes a word); nothing of a document is shuffled, only verified pairs.
@@ -37,7 +38,7 @@ BLOCKS, BLOCK_BITS = 4, 16
 ITEM_WORDS = 200_000
 #: Bytes of text that are fingerprinted at once.
 WINDOW_BYTES = 1 << 20
-#: Words in at least this share of a block's items count less in a fingerprint.
+#: Words in at least this share of the items count less in a fingerprint.
 COMMON_SHARE, COMMON_WEIGHT, WEIGHT = 0.2, 1, 3
 #: Ratio of the largest to the smallest item size in a class.
 CLASS_RATIO = 1.25
@@ -57,14 +58,26 @@ class WindowClass:
     entries: list[np.ndarray]
 
 
+@dataclass
+class Totals:
+    """What depends on all items of the benchmark."""
+
+    #: Shingles of more than one item, in order, and their weights; all others weigh 1.
+    repeated: np.ndarray
+    weight: np.ndarray
+    common: np.ndarray
+    #: Word counts of items from which the classes start, in order.
+    smallest: np.ndarray
+
+
 @dataclass
 class ItemBlock:
     ids: list
     n_words: np.ndarray
     shingle_sets: list[np.ndarray]
-    weight_of: tuple[np.ndarray, np.ndarray]
     common: np.ndarray
     classes: list[WindowClass]
+    totals: Totals
 
 
 def core(n_words: int) -> int:
@@ -83,6 +96,14 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
+def _weights(totals: Totals, values: np.ndarray) -> np.ndarray:
+    """Weight of each shingle."""
+    out = np.ones(len(values))
+    many = _among(values, totals.repeated)
+    out[many] = totals.weight[np.searchsorted(totals.repeated, values[many])]
+    return out
+
+
 _ONES = np.uint64(0x0001000100010001)
 #: Times this, the lowest bits of four fields come together in the four bits from 48.
 _GATHER = np.uint64(0x0001000200040008)
@@ -134,7 +155,55 @@ def _search_tables(prints: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarra
     return starts, entries
 
 
-def index_items(ids: list, item_texts: list[str | None]) -> ItemBlock:
+def _totals(benchmark: DataFrame) -> Totals:
+    """Counts over all items, in one aggregation. Only what two items share comes back, and the sizes of items."""
+    shingle, word, size = 0, 1, 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                data, offsets = utf8(part.column("text"))
+                starts, ends, first = word_bounds(data, offsets)
+                words = word_hashes(data, starts, ends, lower=True)
+                hashes, of_item = shingles(words, first, WIDTH)
+                of_word = np.repeat(np.arange(len(part)), np.diff(first))
+                for kind, values, item in ((shingle, hashes, of_item), (word, words, of_word)):
+                    order = np.lexsort((item, values))
+                    v, i = values[order], item[order]
+                    new = np.ones(len(v), bool)
+                    new[1:] = (v[1:] != v[:-1]) | (i[1:] != i[:-1])
+                    yield counted(kind, v[new].view(np.int64))
+                yield counted(size, np.diff(first).astype(np.int64))
+
+    def counted(kind: int, values: np.ndarray) -> pa.RecordBatch:
+        once, items = np.unique(values, return_counts=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(once), kind, np.int32)), pa.array(once), pa.array(items.astype(np.int64))], ["kind", "value", "items"]
+        )
+
+    sums = (
+        benchmark.select("text")
+        .mapInArrow(run, "kind int, value long, items long")
+        .groupBy("kind", "value")
+        .agg(F.sum("items").alias("items"))
+        .where((F.col("items") >= 2) | (F.col("kind") == size))
+        .toArrow()
+    )
+    kind, value, items = (sums.column(c).to_numpy() for c in ("kind", "value", "items"))
+    hashes = value.view(np.uint64)
+    order = np.argsort(hashes, kind="stable")
+    kind, value, items, hashes = kind[order], value[order], items[order], hashes[order]
+    repeated = kind == shingle
+    n_items = items[kind == size].sum()
+    common = hashes[(kind == word) & (items >= max(2, COMMON_SHARE * n_items))]
+    smallest, left = [], value[(kind == size) & (value > 0)]
+    while len(left):
+        smallest.append(int(left[0]))
+        left = left[left >= max(smallest[-1] + 1, smallest[-1] * CLASS_RATIO)]
+    return Totals(hashes[repeated], 1.0 / items[repeated], common, np.array(smallest, np.int64))
+
+
+def index_items(ids: list, item_texts: list[str | None], totals: Totals) -> ItemBlock:
     """Search structures of some items. Items without a word are never found."""
     data, offsets = utf8(pa.array(item_texts, pa.string()))
     starts, ends, first = word_bounds(data, offsets)
@@ -142,18 +211,12 @@ def index_items(ids: list, item_texts: list[str | None]) -> ItemBlock:
     hashes, of_item = shingles(words, first, WIDTH)
     n_words = np.diff(first)
     sets = [np.unique(hashes[of_item == i]) for i in range(len(ids))]
-    every, share = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_counts=True)
-    vocabulary, in_items = np.unique(
-        np.concatenate([np.zeros(0, np.uint64), *(np.unique(words[a:b]) for a, b in zip(first[:-1], first[1:]))]),
-        return_counts=True,
-    )
-    common = vocabulary[in_items >= max(2, COMMON_SHARE * len(ids))]
+    common = totals.common
     classes = []
-    left = np.unique(n_words[n_words > 0])
-    while len(left):
-        smallest = int(left[0])
-        members = np.flatnonzero((n_words >= smallest) & (n_words < max(smallest + 1, smallest * CLASS_RATIO)))
-        left = left[left > n_words[members].max()]
+    of_class = np.searchsorted(totals.smallest, n_words, "right") - 1
+    for c in np.unique(of_class[n_words > 0]).tolist():
+        smallest = int(totals.smallest[c])
+        members = np.flatnonzero((of_class == c) & (n_words > 0))
         stride = max(1, core(smallest) // 3)
         size = min(core(smallest) - stride + 1, 10_000)
         prints, item, offset = [], [], []
@@ -167,7 +230,7 @@ def index_items(ids: list, item_texts: list[str | None]) -> ItemBlock:
         classes.append(
             WindowClass(size, stride, prints, np.concatenate(item), np.concatenate(offset), *_search_tables(prints))
         )
-    return ItemBlock(list(ids), n_words, sets, (every, 1.0 / np.maximum(share, 1)), common, classes)
+    return ItemBlock(list(ids), n_words, sets, common, classes, totals)
 
 
 def _hits(cls: WindowClass, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -190,11 +253,9 @@ def _hits(cls: WindowClass, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def similarity(block: ItemBlock, item: int, window: np.ndarray) -> float:
     """Weighted Jaccard similarity of an item's shingles and those of a document window."""
-    every, weight = block.weight_of
     own = block.shingle_sets[item]
     union = np.union1d(own, window)
-    at = np.minimum(np.searchsorted(every, union), len(every) - 1)
-    weights = np.where(every[at] == union, weight[at], 1.0)
+    weights = _weights(block.totals, union)
     both = _among(union, own) & _among(union, window)
     return float(weights[both].sum() / weights.sum())
 
@@ -205,18 +266,20 @@ def _possible(block: ItemBlock, words: np.ndarray, first: np.ndarray, tried: np.
     The weight that a window shares with one item is at most what it shares with all items, so a window below
     threshold times the item's own weight cannot reach the threshold.
     """
-    every, weight = block.weight_of
     row, item, begin = tried.T
     a, b = np.maximum(begin, 0), np.minimum(begin + block.n_words[item], np.diff(first)[row])
     if not len(row):
         return np.stack([row, item, a, b], axis=1)
     # A run that starts at each word, also across texts: those are cut off by the windows below.
     runs, _ = shingles(words, np.array([0, len(words)]), WIDTH)
-    at = np.minimum(np.searchsorted(every, runs), len(every) - 1)
-    held = np.concatenate([[0.0], np.cumsum(np.where(every[at] == runs, weight[at], 0.0))])
+    every = np.unique(np.concatenate(block.shingle_sets))
+    of_items = _among(runs, every)
+    weight = np.zeros(len(runs))
+    weight[of_items] = _weights(block.totals, runs[of_items])
+    held = np.concatenate([[0.0], np.cumsum(weight)])
     start = np.minimum(first[:-1][row] + a, len(runs))
     stop = np.clip(first[:-1][row] + b - WIDTH + 1, start, len(runs))
-    own = np.array([weight[np.searchsorted(every, s)].sum() for s in block.shingle_sets])
+    own = np.array([_weights(block.totals, s).sum() for s in block.shingle_sets])
     short = (b - a) < WIDTH
     return np.stack([row, item, a, b], axis=1)[short | (held[stop] - held[start] >= threshold * own[item] - 1e-9)]
 
@@ -271,18 +334,18 @@ def _item_blocks(benchmark: DataFrame) -> Iterator[tuple[list, list]]:
 
 def _shared(spark: SparkSession, block: ItemBlock):
     """Plain data of a block, broadcast, so that executors can read it without this package installed."""
-    return spark.sparkContext.broadcast(vars(block) | {"classes": [vars(c) for c in block.classes]})
+    return spark.sparkContext.broadcast(vars(block) | {"classes": [vars(c) for c in block.classes], "totals": None})
 
 
-def _restored(plain: dict) -> ItemBlock:
-    return ItemBlock(**plain | {"classes": [WindowClass(**c) for c in plain["classes"]]})
+def _restored(plain: dict, totals: dict) -> ItemBlock:
+    return ItemBlock(**plain | {"classes": [WindowClass(**c) for c in plain["classes"]], "totals": Totals(**totals)})
 
 
-def _search_block(spark: SparkSession, docs: DataFrame, block: ItemBlock, threshold: float) -> DataFrame:
+def _search_block(spark: SparkSession, docs: DataFrame, block: ItemBlock, totals, threshold: float) -> DataFrame:
     shared = _shared(spark, block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _restored(shared.value)
+        known = _restored(shared.value, totals.value)
         for batch in batches:
             for part in slices(batch, limit=WINDOW_BYTES):
                 found = search(known, part.column("text"), threshold)
@@ -312,8 +375,10 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.75
     """
     spark = docs.sparkSession
     found = None
+    totals = _totals(benchmark)
+    shared_totals = spark.sparkContext.broadcast(vars(totals))
     for ids, item_texts in _item_blocks(benchmark.select(F.col("item_id").cast("long"), "text")):
-        part = _search_block(spark, docs, index_items(ids, item_texts), threshold)
+        part = _search_block(spark, docs, index_items(ids, item_texts, totals), shared_totals, threshold)
         found = part if found is None else found.unionByName(part)
     if found is None:
         found = spark.createDataFrame([], "doc_id long, item_id long, start_word long, n_words long, similarity double")
@@ -328,11 +393,13 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.75
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.75) -> DataFrame:
     """Rows of ``docs``, all columns, whose text holds no passage of an item. Nothing is shuffled."""
     spark = docs.sparkSession
+    totals = _totals(benchmark)
+    shared_totals = spark.sparkContext.broadcast(vars(totals))
     for ids, item_texts in _item_blocks(benchmark.select(F.col("item_id").cast("long"), "text")):
-        shared = _shared(spark, index_items(ids, item_texts))
+        shared = _shared(spark, index_items(ids, item_texts, totals))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            known = _restored(shared.value)
+            known = _restored(shared.value, shared_totals.value)
             for batch in batches:
                 for part in slices(batch, limit=WINDOW_BYTES):
                     clean = np.ones(len(part), bool)

@@ -111,3 +111,22 @@ def test_odd_rows(spark, odd, empty):
     assert dc.find_passages(empty, bench).count() == 0
     assert dc.find_passages(odd, bench.limit(0)).count() == 0
     assert dc.drop_contaminated(odd, bench.limit(0)).count() == odd.count()
+
+
+def test_block_size_changes_no_pair_and_no_similarity(spark, monkeypatch):
+    rnd = random.Random(5)
+    word = lambda: f"w{rnd.randrange(5000)}"
+    boilerplate = [word() for _ in range(30)]
+    items = [(k, " ".join(boilerplate + [word() for _ in range(rnd.randrange(45, 60))])) for k in range(12)]
+    docs = [(0, " ".join(boilerplate + [word() for _ in range(20)]))]
+    for d in range(1, 40):
+        # Every other document holds the item's own part without the boilerplate that all items share.
+        part = items[d % 12][1].split()[0 if d % 2 else 30 :]
+        docs.append((d, " ".join(part)))
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = lambda: {(r["doc_id"], r["item_id"]): r["similarity"] for r in dc.find_passages(df, bench).collect()}
+    whole, want = found(), brute(docs, items)
+    assert len(whole) == 39 and all(whole[k] <= want[k] + 1e-9 for k in whole)
+    for size in (1, 200):
+        monkeypatch.setattr(dc, "ITEM_WORDS", size)
+        assert found() == whole
