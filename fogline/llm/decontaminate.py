@@ -4,7 +4,7 @@ Method: items and documents are cut into windows whose size follows the item's;
 64-bit SimHash of its words. Item sizes fall into classes. A class has one window size and one
 stride for documents, chosen so that every long unbroken part of an item (what is left of it when
 the similarity is 0.75 or more and the edits lie at its ends) holds one whole document window, and
-items have a window at every offset. So a verbatim part meets a window of distance 0, and windows with some
+items have a window at every offset. One more window ends with the text, whose end may cut an item off. So a verbatim part meets a window of distance 0, and windows with some
 changed words are met within ``RADIUS`` bits.
 
 Multi-index search: fingerprints are cut into 4 blocks of 16 bits. Two fingerprints within the
@@ -300,6 +300,10 @@ def search(block: ItemBlock, column: pa.Array, threshold: float) -> list[tuple[i
         at = (np.arange(len(row)) - np.repeat(np.cumsum(per_row) - per_row, per_row)) * cls.stride + first[:-1][row]
         if not len(at):
             continue
+        # One more window ends with the text, for items that the text's end cuts off.
+        last = np.flatnonzero((count >= cls.size) & ((count - cls.size) % cls.stride > 0))
+        row = np.concatenate([row, last])
+        at = np.concatenate([at, first[1:][last] - cls.size])
         window, entry = _hits(cls, simhash(total, weights, at, cls.size))
         begin = at[window] - first[:-1][row[window]] - cls.offset[entry]
         tried.append(np.stack([row[window], cls.item[entry], begin], axis=1))

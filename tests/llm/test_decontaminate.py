@@ -130,3 +130,16 @@ def test_block_size_changes_no_pair_and_no_similarity(spark, monkeypatch):
     for size in (1, 200):
         monkeypatch.setattr(dc, "ITEM_WORDS", size)
         assert found() == whole
+
+
+def test_finds_items_cut_off_by_the_end_of_the_text():
+    rnd = random.Random(3)
+    word = lambda: rnd.choice(["the", "of", "and", "a", "in"]) if rnd.random() < 0.35 else f"w{rnd.randrange(9000)}"
+    none = np.zeros(0, np.uint64)
+    for n in (40, 60, 100):
+        item = [word() for _ in range(n)]
+        least = min(m for m in range(n) if len(runs(item[:m])) >= 0.75 * len(runs(item)))
+        block = dc.index_items([1], [" ".join(item)], dc.Totals(none, np.zeros(0), none, np.array([n])))
+        docs = [" ".join([word() for _ in range(rnd.randrange(80))] + item[: least + k % 3]) for k in range(300)]
+        found = dc.search(block, dc.pa.array(docs), 0.75)
+        assert {f[0] for f in found} == set(range(300))
