@@ -7,13 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fogline.llm import language, quality, secrets, toxicity
+from fogline.llm import language, quality, repair, secrets, toxicity
 from fogline.llm.chat import format_conversations, read_back
 from fogline.llm.decontaminate import find_passages
 from fogline.llm.jaccard_join import jaccard_components
 from fogline.llm.line_dedup import dedup_lines
 from fogline.llm.mixing import mix_sources
+from fogline.llm.packing import pack_documents
 from fogline.llm.url_filter import judge_urls, parse_rules
+from fogline.llm.whitening import whiten
 from fogline.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,11 +41,11 @@ def held_out() -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % 3 == 1
 
 
-def vocabulary_file() -> str:
-    """Path of the public byte-level vocabulary that chat formatting uses."""
+def vocabulary_file(name: str = "byte_bpe_50k.json") -> str:
+    """Path of a public vocabulary: the byte-level one for chat formatting, the one with word ends for packing."""
     import public_tokenizers
 
-    return str(public_tokenizers.path("byte_bpe_50k.json"))
+    return str(public_tokenizers.path(name))
 
 
 #: The rules that op6 applies.
@@ -233,3 +235,85 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *(count(k) for k in secrets.BASE_KINDS), F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans")
     )
+
+
+@query()
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whiten(_table(spark, sf_dir, "embeddings"), components=4, scale=256.0)
+    # NULL where n is so large that a long cannot hold the sum; the operator's own column is exact there, too.
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@query()
+def op12_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack_documents(_table(spark, sf_dir, "documents"), vocabulary_file("word_bpe_49k.json"), capacity=4096, end_id=1)
+    return packed.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
+
+
+@query(
+    r"""
+WITH RECURSIVE hashed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+           string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+           lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+           lambda c, v: CASE WHEN v >= 0 THEN xor(c, v) ELSE xor(c >> 1, 3988292384 * (c & 1)) END)) % 20 AS kind
+  FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM hashed WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS at,
+         trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said FROM damaged),
+faulty AS (
+  SELECT conv_id, turn, role, text, at, left(role, 1) AS ini,
+         CASE WHEN said = '' THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY at) > 1 THEN 'duplicate'
+              WHEN right(said, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY at) AS prior,
+         count(*) OVER (PARTITION BY conv_id) AS n FROM placed),
+stated AS (SELECT *, coalesce(fault IN ('blank', 'duplicate'), false) AS must, (coalesce(fault, '') = 'truncated')::INT AS more FROM faulty),
+walk AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS at, 'start' AS step,
+         {'c': 0, 'a': '', 't': []::VARCHAR[]} AS e, {'c': 1000000, 'a': '', 't': []::VARCHAR[]} AS s,
+         {'c': 2, 'a': 'I', 't': ['user:']} AS u, {'c': 4, 'a': 'II', 't': ['user:', 'assistant:']} AS a FROM stated
+  UNION ALL
+  SELECT conv_id, at, 'step', e, s,
+         least(u, {'c': e.c + 2, 'a': e.a || 'I', 't': list_append(e.t, 'user:')}, {'c': s.c + 2, 'a': s.a || 'I', 't': list_append(s.t, 'user:')},
+               {'c': a.c + 2, 'a': a.a || 'I', 't': list_append(a.t, 'user:')}),
+         least(a, {'c': u.c + 2, 'a': u.a || 'I', 't': list_append(u.t, 'assistant:')},
+               {'c': e.c + 4, 'a': e.a || 'II', 't': e.t || ['user:', 'assistant:']}, {'c': s.c + 4, 'a': s.a || 'II', 't': s.t || ['user:', 'assistant:']})
+  FROM (
+    SELECT w.conv_id, r.at, {'c': w.e.c + 3, 'a': w.e.a || 'D', 't': w.e.t} AS e,
+      least({'c': w.s.c + 3, 'a': w.s.a || 'D', 't': w.s.t},
+            {'c': CASE WHEN must OR ini <> 's' THEN 1000000 ELSE w.e.c + more END, 'a': w.e.a || 'K', 't': list_append(w.e.t, role || ':' || text)}) AS s,
+      least({'c': w.u.c + 3, 'a': w.u.a || 'D', 't': w.u.t},
+            {'c': CASE WHEN must OR ini <> 'u' THEN 1000000 ELSE w.e.c + more END, 'a': w.e.a || 'K', 't': list_append(w.e.t, role || ':' || text)},
+            {'c': CASE WHEN must OR ini <> 'u' THEN 1000000 ELSE w.s.c + more END, 'a': w.s.a || 'K', 't': list_append(w.s.t, role || ':' || text)},
+            {'c': CASE WHEN must OR ini <> 'u' THEN 1000000 ELSE w.a.c + more END, 'a': w.a.a || 'K', 't': list_append(w.a.t, role || ':' || text)},
+            {'c': CASE WHEN must THEN 1000000 ELSE w.e.c + more + 2 END, 'a': w.e.a || 'R', 't': list_append(w.e.t, 'user:' || text)},
+            {'c': CASE WHEN must THEN 1000000 ELSE w.s.c + more + 2 END, 'a': w.s.a || 'R', 't': list_append(w.s.t, 'user:' || text)},
+            {'c': CASE WHEN must THEN 1000000 ELSE w.a.c + more + 2 END, 'a': w.a.a || 'R', 't': list_append(w.a.t, 'user:' || text)}) AS u,
+      least({'c': w.a.c + 3, 'a': w.a.a || 'D', 't': w.a.t},
+            {'c': CASE WHEN must OR ini <> 'a' THEN 1000000 ELSE w.u.c + more END, 'a': w.u.a || 'K', 't': list_append(w.u.t, role || ':' || text)},
+            {'c': CASE WHEN must THEN 1000000 ELSE w.u.c + more + 2 END, 'a': w.u.a || 'R', 't': list_append(w.u.t, 'assistant:' || text)}) AS a
+    FROM walk w JOIN stated r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.at = w.at + 1)),
+ended AS (
+  SELECT w.conv_id, least(w.e, w.a) AS best FROM walk w JOIN (SELECT DISTINCT conv_id, n FROM stated) n
+  ON n.conv_id IS NOT DISTINCT FROM w.conv_id AND n.n = w.at),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+         count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE prior || ini NOT IN ('su', 'ua', 'au')) AS illegal FROM stated GROUP BY conv_id)
+SELECT i.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost,
+       coalesce(best.a, '') AS audit, sha256(coalesce(array_to_string(best.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM i.conv_id LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM i.conv_id
+"""
+)
+def op13_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.summarise(repair.repair_conversations(repair.damage_turns(turns)), turns)

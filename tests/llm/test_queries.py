@@ -20,7 +20,7 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_all_are_registered():
     found = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in found) == 1
     assert "pipeline" in found
     assert set(queries.ORACLES) <= set(entry.oracle_sql())
