@@ -265,28 +265,28 @@ damaged AS (
          unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
   FROM hashed WHERE kind <> 0),
 placed AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS at,
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos,
          trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said FROM damaged),
 faulty AS (
-  SELECT conv_id, turn, role, text, at, left(role, 1) AS ini,
+  SELECT conv_id, turn, role, text, pos, left(role, 1) AS ini,
          CASE WHEN said = '' THEN 'blank'
-              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY at) > 1 THEN 'duplicate'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
               WHEN right(said, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
-         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY at) AS prior,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS prior,
          count(*) OVER (PARTITION BY conv_id) AS n FROM placed),
 stated AS (SELECT *, coalesce(fault IN ('blank', 'duplicate'), false) AS must, (coalesce(fault, '') = 'truncated')::INT AS more FROM faulty),
 walk AS (
-  SELECT DISTINCT conv_id, 0::BIGINT AS at, 'start' AS step,
+  SELECT DISTINCT conv_id, 0::BIGINT AS pos, 'start' AS step,
          {'c': 0, 'a': '', 't': []::VARCHAR[]} AS e, {'c': 1000000, 'a': '', 't': []::VARCHAR[]} AS s,
          {'c': 2, 'a': 'I', 't': ['user:']} AS u, {'c': 4, 'a': 'II', 't': ['user:', 'assistant:']} AS a FROM stated
   UNION ALL
-  SELECT conv_id, at, 'step', e, s,
+  SELECT conv_id, pos, 'step', e, s,
          least(u, {'c': e.c + 2, 'a': e.a || 'I', 't': list_append(e.t, 'user:')}, {'c': s.c + 2, 'a': s.a || 'I', 't': list_append(s.t, 'user:')},
                {'c': a.c + 2, 'a': a.a || 'I', 't': list_append(a.t, 'user:')}),
          least(a, {'c': u.c + 2, 'a': u.a || 'I', 't': list_append(u.t, 'assistant:')},
                {'c': e.c + 4, 'a': e.a || 'II', 't': e.t || ['user:', 'assistant:']}, {'c': s.c + 4, 'a': s.a || 'II', 't': s.t || ['user:', 'assistant:']})
   FROM (
-    SELECT w.conv_id, r.at, {'c': w.e.c + 3, 'a': w.e.a || 'D', 't': w.e.t} AS e,
+    SELECT w.conv_id, r.pos, {'c': w.e.c + 3, 'a': w.e.a || 'D', 't': w.e.t} AS e,
       least({'c': w.s.c + 3, 'a': w.s.a || 'D', 't': w.s.t},
             {'c': CASE WHEN must OR ini <> 's' THEN 1000000 ELSE w.e.c + more END, 'a': w.e.a || 'K', 't': list_append(w.e.t, role || ':' || text)}) AS s,
       least({'c': w.u.c + 3, 'a': w.u.a || 'D', 't': w.u.t},
@@ -299,10 +299,10 @@ walk AS (
       least({'c': w.a.c + 3, 'a': w.a.a || 'D', 't': w.a.t},
             {'c': CASE WHEN must OR ini <> 'a' THEN 1000000 ELSE w.u.c + more END, 'a': w.u.a || 'K', 't': list_append(w.u.t, role || ':' || text)},
             {'c': CASE WHEN must THEN 1000000 ELSE w.u.c + more + 2 END, 'a': w.u.a || 'R', 't': list_append(w.u.t, 'assistant:' || text)}) AS a
-    FROM walk w JOIN stated r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.at = w.at + 1)),
+    FROM walk w JOIN stated r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.pos = w.pos + 1)),
 ended AS (
   SELECT w.conv_id, least(w.e, w.a) AS best FROM walk w JOIN (SELECT DISTINCT conv_id, n FROM stated) n
-  ON n.conv_id IS NOT DISTINCT FROM w.conv_id AND n.n = w.at),
+  ON n.conv_id IS NOT DISTINCT FROM w.conv_id AND n.n = w.pos),
 counted AS (
   SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
          count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
