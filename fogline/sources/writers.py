@@ -1,17 +1,13 @@
-"""Writers: derived partitions, day files, versioned tables."""
+"""Writers: derived partitions, day files, marts."""
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Sequence
 from enum import Enum
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from fogline.session import cut_lineage
-from fogline.sources.files import path_exists
 
 class Stage(Enum):
     """Derived stages of a transit day; the values are fixed folder names."""
@@ -77,107 +73,6 @@ def write_mart(
     )
 
 
-def append_rows(df: DataFrame, path: str, like: DataFrame) -> None:
-    """Append ``df`` to a table, in the columns and types of ``like``; a missing column stops the load.
-
-    Appending is not idempotent: a caller that may run twice replaces or upserts instead.
-    """
-    missing = [c for c in like.columns if c not in df.columns]
-    if missing:
-        raise ValueError(f"append lacks columns: {', '.join(missing)}")
-    types = dict(like.dtypes)
-    df.select(*[F.col(c).cast(types[c]).alias(c) for c in like.columns]).write.mode("append").parquet(path)
-
-
 def write_boundary_dimension(dim: DataFrame, path: str) -> None:
     """Boundary dimension (id, name, geometry WKT) as one CSV with a header under ``path``/csv."""
     dim.orderBy("id").coalesce(1).write.mode("overwrite").option("header", True).csv(f"{path.rstrip('/')}/csv")
-
-
-def replace_mart_days(spark: SparkSession, incoming: DataFrame, path: str, days: Sequence[dt.date], partition: str) -> None:
-    """Delete-and-append of whole days: new rows overwrite their partitions, empty days are removed."""
-    rows = cut_lineage(incoming.where(F.col(partition).isin(*[F.lit(d) for d in days])))
-    delivered = {r[0] for r in rows.select(partition).distinct().collect()}
-    write_mart(rows, path, partition, sort=())
-    for day in set(days) - delivered:
-        _delete(spark, f"{path}/{partition}={day.isoformat()}")
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(hadoop_path):
-        fs.delete(hadoop_path, True)
-
-
-class VersionedTable:
-    """Parquet table whose every state is a new folder; a small pointer table names the current one.
-
-    A job may therefore read the table it is about to replace, and a failed write leaves the
-    old state in place.
-    """
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
-
-    def _pointers(self) -> str:
-        return f"{self.path}/_pointers"
-
-    def current(self) -> str | None:
-        if not path_exists(self.spark, self._pointers()):
-            return None
-        row = self.spark.read.schema("n bigint, folder string").json(self._pointers()).agg(
-            F.max_by("folder", "n").alias("folder")
-        ).first()
-        return row["folder"]
-
-    def read(self) -> DataFrame:
-        folder = self.current()
-        if folder is None:
-            raise FileNotFoundError(f"no version at {self.path}")
-        return self.spark.read.parquet(f"{self.path}/{folder}")
-
-    def replace(self, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
-        folder = f"v-{uuid.uuid4().hex}"
-        writer = df.write.mode("error")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{self.path}/{folder}")
-        n = 0
-        if path_exists(self.spark, self._pointers()):
-            n = self.spark.read.schema("n bigint, folder string").json(self._pointers()).agg(F.max("n")).first()[0] + 1
-        pointer = self.spark.range(1).select(F.lit(n).alias("n"), F.lit(folder).alias("folder"))
-        pointer.coalesce(1).write.mode("append").json(self._pointers())
-
-
-def merge_into_partitions(spark: SparkSession, path: str, changed: DataFrame, partition: str, merge) -> None:
-    """Apply ``merge(existing rows, changed)`` to the partitions that ``changed`` touches only.
-
-    The merged partitions are written beside the table first, because a path cannot be read
-    and overwritten in one job; a rerun after a failure repeats the same result.
-    """
-    changed = cut_lineage(changed)
-    # One value per partition touched: a batch covers a handful of days.
-    touched = [r[0] for r in changed.select(partition).distinct().collect()]
-    if not touched:
-        return
-    if path_exists(spark, path):
-        affected = F.col(partition).isin(*[F.lit(t) for t in touched if t is not None])
-        if None in touched:
-            affected = affected | F.col(partition).isNull()
-        existing = spark.read.schema(changed.schema).parquet(path).where(affected)
-    else:
-        existing = spark.createDataFrame([], changed.schema)
-    staging = f"{path.rstrip('/')}__staging/{uuid.uuid4().hex}"
-    merge(existing, changed).write.mode("error").parquet(staging)
-    (
-        spark.read.schema(changed.schema)
-        .parquet(staging)
-        .hint("rebalance", partition)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-    _delete(spark, staging)

@@ -12,7 +12,7 @@ from fogline.operators.keys import CANONICAL_KEY
 from fogline.operators.latest import latest_trip_updates
 from fogline.operators.merge import upsert_latest
 from fogline.sources.gtfs import decode_trip_updates, decode_vehicle_positions, trip_update_observations, vehicle_position_observations
-from fogline.sources.writers import merge_into_partitions
+from fogline.sources.tables import FileTable
 
 
 def snapshot_stream(spark: SparkSession, path: str, files_per_trigger: int = 1440) -> DataFrame:
@@ -46,8 +46,8 @@ def stream_vehicle_positions(spark: SparkSession, path: str, **options) -> DataF
     return vehicle_position_observations(decode_vehicle_positions(snapshot_stream(spark, path, **options)))
 
 
-def upsert_latest_stream(files: DataFrame, table_path: str, checkpoint: str) -> StreamingQuery:
-    """Keep the newest prediction per canonical key in a table partitioned by service date.
+def upsert_latest_stream(files: DataFrame, table: FileTable, checkpoint: str) -> StreamingQuery:
+    """Keep the newest prediction per canonical key in ``table``, which is partitioned by service date.
 
     The table is the state, so the key space may grow without bound. Each batch shrinks to
     its newest row per key and rewrites only the service dates it touches; the freshness
@@ -59,13 +59,7 @@ def upsert_latest_stream(files: DataFrame, table_path: str, checkpoint: str) ->
         try:
             require_no_decode_errors(records, "stream batch")
             newest = latest_trip_updates(trip_update_observations(records))
-            merge_into_partitions(
-                batch.sparkSession,
-                table_path,
-                newest,
-                "trip_start_date",
-                lambda old, new: upsert_latest(old, new, CANONICAL_KEY, "latest_snapshot_ts"),
-            )
+            table.merge_partitions(newest, lambda old, new: upsert_latest(old, new, CANONICAL_KEY, "latest_snapshot_ts"))
         finally:
             records.unpersist()
 

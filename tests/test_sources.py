@@ -331,15 +331,6 @@ def test_day_folders_have_known_parts_only():
         writers.day_folder("/t", writers.Stage.JOINED, "other", dt.date(2025, 1, 2))
 
 
-def test_append_keeps_columns_and_types(spark, tmp_path):
-    path, like = str(tmp_path / "a"), spark.createDataFrame([], "k bigint, v string")
-    writers.append_rows(spark.createDataFrame([("x", 1)], "v string, k int"), path, like)
-    writers.append_rows(spark.createDataFrame([("y", 2, 0)], "v string, k int, extra int"), path, like)
-    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, "x"), (2, "y")]
-    with pytest.raises(ValueError, match="v"):
-        writers.append_rows(spark.range(1).withColumnRenamed("id", "k"), path, like)
-
-
 def test_shards_and_chunks(spark, tmp_path):
     writers.write_shards(spark.range(100), str(tmp_path / "s"), shards=5)
     assert len(parquet_files(tmp_path / "s")) == 5
@@ -363,8 +354,8 @@ def test_mart_days(spark, tmp_path):
     writers.write_mart(make([(day(1), 1), (day(2), 2), (day(3), 3)]), path)
     pruned = spark.read.parquet(path).where(F.col("event_date_pacific") == day(1))
     assert "PartitionFilters: [isnotnull(event_date_pacific" in pruned._jdf.queryExecution().executedPlan().toString()
-    writers.replace_mart_days(spark, make([(day(2), 20)]), path, [day(2), day(3)], "event_date_pacific")
-    assert {r["v"] for r in spark.read.parquet(path).collect()} == {1, 20}
+    writers.write_mart(make([(day(2), 20)]), path)
+    assert {r["v"] for r in spark.read.parquet(path).collect()} == {1, 20, 3}
 
 
 def test_boundary_dimension_as_csv(spark, tmp_path):
@@ -372,29 +363,3 @@ def test_boundary_dimension_as_csv(spark, tmp_path):
     writers.write_boundary_dimension(dim, str(tmp_path))
     back = spark.read.option("header", True).schema("id bigint, name string, geometry string").csv(str(tmp_path / "csv"))
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, dim.collect()))
-
-
-def test_versioned_table_can_read_what_it_replaces(spark, tmp_path):
-    table = writers.VersionedTable(spark, str(tmp_path / "t"))
-    with pytest.raises(FileNotFoundError):
-        table.read()
-    table.replace(spark.range(3))
-    first = table.current()
-    table.replace(table.read().union(table.read()))
-    assert table.read().count() == 6 and table.current() != first
-    assert spark.read.parquet(f"{table.path}/{first}").count() == 3
-
-
-def test_merge_touches_only_the_changed_partitions(spark, tmp_path):
-    path = str(tmp_path / "p")
-    ddl = "k int, ts timestamp, v string, day string"
-    step = lambda old, new: upsert_latest(old, new, ["k", "day"], "ts")
-    t = lambda s: dt.datetime(2026, 1, 1, 0, 0, s)
-    writers.merge_into_partitions(spark, path, spark.createDataFrame([(1, t(1), "a", "d1"), (2, t(1), "b", "d2")], ddl), "day", step)
-    before = parquet_files(tmp_path / "p" / "day=d1")
-    changed = spark.createDataFrame([(2, t(2), "new", "d2"), (3, t(1), "c", "d2")], ddl)
-    for _ in range(2):
-        writers.merge_into_partitions(spark, path, changed, "day", step)
-    assert parquet_files(tmp_path / "p" / "day=d1") == before
-    assert {(r["k"], r["v"]) for r in spark.read.parquet(path).collect()} == {(1, "a"), (2, "new"), (3, "c")}
-    writers.merge_into_partitions(spark, path, changed.where("false"), "day", step)

@@ -3,6 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from fogline.operators.latest import latest_trip_updates
+from fogline.plans.jobs import trip_stops_table
 from fogline.sources import files, gtfs
 from fogline.streaming import transit_stream as ts
 from tests.test_sources import add_trip, feed, land
@@ -25,14 +26,15 @@ def rows(df):
 def test_streamed_table_equals_the_batch_result(spark, tmp_path):
     raw, table, checkpoint = (str(tmp_path / n) for n in ("raw", "table", "checkpoint"))
     snapshots(tmp_path, range(3))
-    run = lambda: ts.upsert_latest_stream(ts.snapshot_stream(spark, raw, 2), table, checkpoint).awaitTermination()
+    stops = trip_stops_table(spark, table)
+    run = lambda: ts.upsert_latest_stream(ts.snapshot_stream(spark, raw, 2), stops, checkpoint).awaitTermination()
     run()
     snapshots(tmp_path, range(3, 5), trips=("t1", "t3"))
     run()
     manifest = files.snapshot_manifest(files.read_binary_snapshots(spark, raw))
     batch = latest_trip_updates(gtfs.trip_update_observations(gtfs.decode_trip_updates(manifest)))
     columns = ["trip_id", "latest_snapshot_ts", "arrival_time_predicted"]
-    assert rows(spark.read.parquet(table).select(*columns)) == rows(batch.select(*columns))
+    assert rows(stops.read().select(*columns)) == rows(batch.select(*columns))
     assert batch.count() == 3
 
 
