@@ -15,6 +15,7 @@ from fogline.functions.text import last_path_part, strip_bom
 from fogline.operators.lookup import lookup_join
 from fogline.operators.scan import ordinal as number_rows
 from fogline.operators.scan import scan_in_segments
+from fogline.sources.json_arrays import read_json_records
 
 BYTES_PER_FILE_ENTRY = 400
 
@@ -75,6 +76,11 @@ def parse_json_array(df: DataFrame, text: str, schema: str, ordinal: str = "ordi
     listed = F.when(document.rlike(r"^\s*\["), F.from_json(document, T.ArrayType(_as_text(shape))))
     parsed = F.coalesce(listed, F.when(F.col(text).isNotNull(), unreadable))
     records = df.select(*kept, F.posexplode(parsed).alias(ordinal, "__record"))
+    return _checked(records, shape, kept, ordinal, rejects)
+
+
+def _checked(records: DataFrame, shape: T.StructType, kept: Sequence[str], ordinal: str, rejects: str | None) -> DataFrame:
+    """Text-shaped ``__record`` structs as typed columns; a misfit stops the job or is counted."""
     bad = _misfits(F.col("__record"), shape)
     fields = [_typed(F.col("__record")[f.name], f.dataType).alias(f.name) for f in shape.fields]
     if rejects is not None:
@@ -87,13 +93,18 @@ def parse_json_array(df: DataFrame, text: str, schema: str, ordinal: str = "ordi
 
 
 def read_json_snapshot(spark: SparkSession, path: str, schema: str, ordinal: str = "ordinal") -> DataFrame:
-    """Landed JSON-array file(s) with the record's position in its file and the file name."""
-    texts = (
-        spark.read.text(path, wholetext=True)
-        .withColumn("source_file", F.col("_metadata.file_path"))
-        .withColumnRenamed("value", "__text")
-    )
-    return parse_json_array(texts, "__text", schema, ordinal)
+    """Landed JSON-array file(s) with the record's position in its file and the file name.
+
+    Large files are read by many tasks, whatever their line breaks. A record that cannot be parsed stops the job.
+    """
+    shape = T.StructType.fromDDL(schema)
+    corrupt = "__corrupt"
+    text = T.StructType([*_as_text(shape).fields, T.StructField(corrupt, T.StringType())])
+    parsed = F.from_json("record", text, {"columnNameOfCorruptRecord": corrupt})
+    unreadable = F.raise_error(F.concat(F.lit("unreadable JSON record: "), F.substring(F.col("__record")[corrupt], 1, 60)))
+    records = read_json_records(spark, path).select("source_file", F.col("ordinal").alias(ordinal), parsed.alias("__record"))
+    refused = F.when(F.col("__record").isNull() | F.col("__record")[corrupt].isNotNull(), unreadable.cast("bigint")).otherwise(F.col(ordinal))
+    return _checked(records.withColumn(ordinal, refused), shape, ["source_file"], ordinal, None)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str, ordinal: str = "ordinal") -> DataFrame:
