@@ -8,12 +8,53 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fogline.operators.scan import time_segment
-from fogline.session import cut_lineage
 
 _ALL = Window.unboundedPreceding
 _FAR = Window.unboundedFollowing
 
 
+#: Bits of the number of segments under one wider segment; seconds that times may span, ten thousand years.
+_SIBLINGS, _SPAN = 10, 320_000_000_000
+
+
+def _wider_levels(keys: Sequence[str], segment_seconds: int) -> int:
+    """How often segments are put together: not at all within a key, else until one window holds the rest."""
+    bits = max(1, _SPAN // segment_seconds).bit_length()
+    return 0 if keys else max(0, -(-bits // _SIBLINGS) - 1)
+
+
+def _carried(ends: DataFrame, keys: Sequence[str], wider: int) -> DataFrame:
+    """(keys, __seg, __in, __out): the last row before each segment and the first one after it.
+
+    A prefix maximum on several levels: 2 ** _SIBLINGS neighbouring segments form a wider one, what lies inside it is found
+    by a window over these siblings, and what lies outside comes from the same question about the wider segments. So no window
+    spans more than the siblings of one segment, with keys or without, and each level has fewer rows than the one below.
+    """
+    # On the last level all that is left are siblings.
+    up = F.shiftright(F.col("__seg"), _SIBLINGS) if wider else F.shiftright(F.col("__seg") + F.lit(1 << 61), 62)
+    rows = ends.withColumn("__up", up)
+    among = Window.partitionBy(*keys, "__up")
+    near = rows.select(
+        *keys,
+        "__seg",
+        "__up",
+        F.last("__last", ignorenulls=True).over(among.orderBy("__seg").rowsBetween(_ALL, -1)).alias("__in"),
+        F.last("__first", ignorenulls=True).over(among.orderBy(F.col("__seg").desc()).rowsBetween(_ALL, -1)).alias("__out"),
+    )
+    if not wider:
+        return near.drop("__up")
+    together = rows.groupBy(*keys, F.col("__up").alias("__seg")).agg(
+        F.max_by("__last", F.when(F.col("__last").isNotNull(), F.col("__seg"))).alias("__last"),
+        F.min_by("__first", F.when(F.col("__first").isNotNull(), F.col("__seg"))).alias("__first"),
+    )
+    far = _carried(together, keys, wider - 1).select(
+        *keys, F.col("__seg").alias("__up"), F.col("__in").alias("__far_in"), F.col("__out").alias("__far_out")
+    )
+    return near.join(far, [*keys, "__up"]).select(
+        *keys, "__seg", F.coalesce("__in", "__far_in").alias("__in"), F.coalesce("__out", "__far_out").alias("__out")
+    )
+
+
 def asof_candidates(
     left: DataFrame,
     right: DataFrame,
@@ -30,7 +71,7 @@ def asof_candidates(
     (keys, timestamp): with ``same_ts='last'`` backward takes the last and forward the first
     duplicate in ``tie_order``, with ``'first'`` both take the first. Times are cut into
     segments; what lies outside a segment reaches it as at most two carry rows, so neither a
-    busy key nor a busy period ends up in a single task, and no key is matched pair by pair.
+    busy key nor a busy period ends up in a single task, and no key is matched pair by pair. Making the frame runs no job.
     """
     keys = list(keys)
     usable = right.dropna(subset=[*keys, right_ts]) if keys else right.dropna(subset=[right_ts])
@@ -60,14 +101,7 @@ def asof_candidates(
             F.min_by(F.struct("__ts", "__b", "__f"), "__ts").alias("__first"),
         )
     )
-    by_segment = Window.partitionBy(*keys).orderBy("__seg")
-    by_segment_down = Window.partitionBy(*keys).orderBy(F.col("__seg").desc())
-    carried = ends.select(
-        *keys,
-        "__seg",
-        F.last("__last", ignorenulls=True).over(by_segment.rowsBetween(_ALL, -1)).alias("__in"),
-        F.last("__first", ignorenulls=True).over(by_segment_down.rowsBetween(_ALL, -1)).alias("__out"),
-    )
+    carried = _carried(ends, keys, _wider_levels(keys, segment_seconds))
     carries = (
         carried.withColumn("__row", F.explode(F.array("__in", "__out")))
         .where(F.col("__row").isNotNull())
@@ -175,15 +209,6 @@ def _covering_blocks(start_us: Column, end_us: Column, levels: int) -> Column:
     return F.concat(*pieces)
 
 
-def _levels_for(spans: DataFrame) -> int:
-    """Levels the longest span needs: no block larger than the span is ever used."""
-    longest = spans.agg(F.max(F.col("__to_us") - F.col("__from_us") + 1)).first()[0] or 1
-    levels = 1
-    while levels < _LEVELS and _BASE**levels <= longest:
-        levels += 1
-    return levels
-
-
 def _latest_open_start(points: DataFrame, spans: DataFrame, ts: str, segment_seconds: int) -> DataFrame:
     """(ts, __open): the span with the latest start among those that hold the point.
 
@@ -197,16 +222,15 @@ def _latest_open_start(points: DataFrame, spans: DataFrame, ts: str, segment_sec
         F.unix_micros(f"__fwd.{ts}") <= F.col("__to_us"), F.lit(False)
     )
     used = ahead.where(meets).select("__span", "__start", "__from_us", "__to_us", "__listed")
-    depth = _levels_for(used)
     tiled = (
-        used.withColumn("__tile", F.explode(_covering_blocks(F.col("__from_us"), F.col("__to_us"), depth)))
+        used.withColumn("__tile", F.explode(_covering_blocks(F.col("__from_us"), F.col("__to_us"), _LEVELS)))
         .groupBy("__tile.block", "__tile.level")
         .agg(F.max(F.struct("__from_us", (-F.col("__listed")).alias("__rank"), "__span")).alias("__top"))
     )
     levels = F.array(
         *[
             F.struct(F.lit(n).alias("level"), _floor_div(F.unix_micros(ts), _BASE**n).alias("block"))
-            for n in range(depth)
+            for n in range(_LEVELS)
         ]
     )
     return (
@@ -227,10 +251,12 @@ def interval_nearest(
     listed: str,
     before_seconds: int = 120,
     after_seconds: int = 300,
-    segment_seconds: int = 3600,
+    segment_seconds: int = 15,
 ) -> DataFrame:
     """Match every point to one interval.
 
+    No job runs here. Segments are short, so points of one hour are spread over a few hundred windows.
+
     Candidates satisfy ``start - before <= ts <= end + after``; the one whose start is nearest
     wins, the first listed on ties (confidence 'high'). With no candidate the nearest start
     of all is taken ('low-nearest'). ``end`` must not lie before ``start``. Adds the interval
@@ -257,14 +283,9 @@ def interval_nearest(
     # Usually the newest start is still open; only the other points need the search.
     open_end = F.unix_micros("__bwd.__end") + F.lit(after_seconds * 1_000_000)
     is_open = F.coalesce(open_end >= us, F.lit(False))
-    closed = cut_lineage(around.where(F.col("__bwd").isNotNull() & ~is_open).select(ts).distinct())
-    if closed.isEmpty():
-        found = around.withColumn("__open", F.when(is_open, F.col("__bwd")))
-    else:
-        searched = _latest_open_start(closed, spans, ts, segment_seconds)
-        found = around.join(searched, ts, "left").withColumn(
-            "__open", F.when(is_open, F.col("__bwd")).otherwise(F.col("__open"))
-        )
+    closed = around.where(F.col("__bwd").isNotNull() & ~is_open).select(ts).distinct()
+    searched = _latest_open_start(closed, spans, ts, segment_seconds)
+    found = around.join(searched, ts, "left").withColumn("__open", F.when(is_open, F.col("__bwd")).otherwise(F.col("__open")))
 
     def ranked(candidate: str, allowed: Column) -> Column:
         distance = F.abs(us - F.unix_micros(f"{candidate}.__start"))
