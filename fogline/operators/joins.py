@@ -133,24 +133,43 @@ def outer_join_rows(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
     )
 
 
-def unmatched_profile(rows: DataFrame, columns: Sequence[str], by: str = "outcome") -> DataFrame:
-    """Per outcome and column: rows, NULLs and their share, least and greatest value as text. One grouped pass."""
-    parts = []
-    for i, c in enumerate(columns):
-        text = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") if dict(rows.dtypes)[c].startswith("timestamp") else F.col(c).cast("string")
-        parts += [F.count(c).alias(f"n{i}"), F.min(text).alias(f"lo{i}"), F.max(text).alias(f"hi{i}")]
-    counted = rows.groupBy(by).agg(F.count("*").alias("n_rows"), *parts)
-    listed = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            (F.col("n_rows") - F.col(f"n{i}")).alias("n_null"),
-            F.col(f"lo{i}").alias("least"),
-            F.col(f"hi{i}").alias("greatest"),
-        )
-        for i, c in enumerate(columns)
-    ]
-    return counted.select(by, "n_rows", F.inline(F.array(*listed))).withColumn(
-        "null_rate", F.try_divide(F.col("n_null"), F.col("n_rows"))
+def unmatched_profile(rows: DataFrame, columns: Sequence[str], by: str = "outcome", top: int = 10) -> DataFrame:
+    """Per outcome and column: rows, NULLs and their share, least and greatest value as text, and the most frequent values.
+
+    ``top_values``: up to ``top`` structs (value, n_rows), most frequent first, NULL among them; ties go to the smaller value,
+    NULL last. Rows are melted to (outcome, column, value) and counted once, on the map side first; every task cuts its part of a group to
+    ``top`` candidates before the groups meet, so a column with very many values costs one row per value and no sort of them all.
+    """
+    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") if dict(rows.dtypes)[c].startswith("timestamp") else F.col(c).cast("string")
+    melted = rows.select(
+        F.col(by).alias("__by"), F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), text(c).alias("value")) for c in columns]))
+    )
+    counted = melted.groupBy("__by", "column_name", "value").agg(F.count("*").alias("n"))
+    group = ["__by", "column_name"]
+    whole = counted.groupBy(*group).agg(
+        F.sum("n").alias("n_rows"),
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("n_null"),
+        F.min("value").alias("least"),
+        F.max("value").alias("greatest"),
+    )
+    place = Window.partitionBy(*group).orderBy(F.desc("n"), F.asc_nulls_last("value"))
+    first = (
+        counted.withColumn("__place", F.row_number().over(place))
+        .where(F.col("__place") <= top)
+        .groupBy(F.col("__by").alias("__of"), F.col("column_name").alias("__column"))
+        .agg(F.sort_array(F.collect_list(F.struct("__place", "value", "n"))).alias("__top"))
+    )
+    same = F.col("__by").eqNullSafe(F.col("__of")) & (F.col("column_name") == F.col("__column"))
+    values = F.transform("__top", lambda t: F.struct(t["value"].alias("value"), t["n"].alias("n_rows")))
+    return whole.join(first, same).select(
+        F.col("__by").alias(by),
+        "n_rows",
+        "column_name",
+        "n_null",
+        "least",
+        "greatest",
+        F.try_divide(F.col("n_null"), F.col("n_rows")).alias("null_rate"),
+        values.alias("top_values"),
     )
 
 

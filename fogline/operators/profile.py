@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fogline.operators.scan import running_total
-
 QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 
 
@@ -53,46 +53,96 @@ def value_counts(df: DataFrame, column: str, n: int = 10) -> DataFrame:
     )
 
 
+#: Borders that values are counted between in one pass, distinct values of the buckets in question that are listed in the end.
+BORDERS, LISTED = 64, 100_000
+
+
+def _place(v: Column, borders: Sequence[float], first: int = 0) -> Column:
+    """2 k for the k-th border itself, 2 k + 1 between it and the next one, by halving."""
+    if len(borders) == 1:
+        return F.when(v == F.lit(float(borders[0])), 2 * first).otherwise(2 * first + 1)
+    half = len(borders) // 2
+    upper = _place(v, borders[half:], first + half)
+    return F.when(v < F.lit(float(borders[half])), _place(v, borders[:half], first)).otherwise(upper)
+
+
+def exact_ranks(values: DataFrame, column: str, ranks: Sequence[int]) -> dict[int, float]:
+    """The values at these 0-based ranks of a column of doubles without NULLs, by counting in narrowing buckets.
+
+    A pass gets borders from mergeable quantile summaries of the buckets that hold a wanted rank and counts the values between
+    them; only the buckets that hold one go on. The counts are exact, so the result does not depend on the
+    summaries. Each pass divides what is left by about ``BORDERS``; when the values of the last buckets are few, they are listed with their counts.
+    Nothing is sorted or shuffled but counts.
+    """
+    found: dict[int, float] = {}
+    wanted = sorted(set(ranks))
+    # Buckets [low, high] in question with the number of smaller values; NaN is above all numbers.
+    open_: list[tuple[float, float, int]] = [(float("-inf"), float("nan"), 0)]
+    v = F.col(column)
+    inside = lambda low, high: (v >= F.lit(low)) & (v <= F.lit(high))
+    while wanted:
+        parts = reduce(lambda a, b: a | b, [inside(low, high) for low, high, _ in open_])
+        bucket = reduce(lambda c, i: c.when(inside(*open_[i][:2]), i), range(1, len(open_)), F.when(inside(*open_[0][:2]), 0))
+        held = values.where(parts).select(v.alias(column), bucket.alias("b"))
+        steps = [i / BORDERS for i in range(BORDERS + 1)]
+        summary = held.groupBy("b").agg(
+            F.percentile_approx(column, steps, 10 * BORDERS).alias("q"),
+            F.min(column).alias("lo"),
+            F.max(column).alias("hi"),
+            F.approx_count_distinct(column).alias("d"),
+        )
+        by = {r["b"]: r for r in summary.collect()}
+        if sum(r["d"] for r in by.values()) <= LISTED:
+            counts: dict[int, list[tuple[float, int]]] = {}
+            for r in held.groupBy("b", column).agg(F.count("*").alias("n")).collect():
+                counts.setdefault(r["b"], []).append((r[column], r["n"]))
+            for b, listed in counts.items():
+                at = open_[b][2]
+                for value, n in sorted(listed, key=lambda p: (math.isnan(p[0]), p[0])):
+                    found.update({r: value for r in wanted if at <= r < at + n})
+                    at += n
+            break
+        narrower = []
+        for b, row in sorted(by.items()):
+            low, high, before = open_[b]
+            borders = sorted({row["lo"], *row["q"], row["hi"]}, key=lambda x: (math.isnan(x), x))
+            at = before
+            counted = held.where(F.col("b") == b).groupBy(_place(v, borders).alias("place")).agg(F.count("*").alias("n"), F.min(column).alias("lo"), F.max(column).alias("hi"))
+            for r in counted.orderBy("place").collect():
+                mine = [k for k in wanted if at <= k < at + r["n"]]
+                if mine and r["place"] % 2 == 0:
+                    found.update({k: borders[r["place"] // 2] for k in mine})
+                elif mine:
+                    narrower.append((r["lo"], r["hi"], at))
+                at += r["n"]
+        wanted = [k for k in wanted if k not in found]
+        open_ = narrower
+    return found
+
+
 def describe(df: DataFrame, column: str, quantiles: Sequence[float] = QUANTILES) -> DataFrame:
     """count, mean, std, min, exact linearly interpolated quantiles, max.
 
-    Rows collapse to distinct values first; the values are then ranked by a distributed
-    running count, so no task or buffer ever holds the whole column.
+    The quantiles come from ``exact_ranks``: passes over the column that count between borders. No row is sorted, and neither a task nor
+    the driver holds more than a bounded number of values. The passes run when the frame is made.
     """
-    values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).agg(
-        F.count("*").alias("n")
-    )
-    ranked = running_total(values, ["v"], F.col("n"), "upto")
-    total = ranked.agg(F.max("upto").alias("t")).scalar()
-
-    def value_at(rank: Column) -> Column:
-        return F.max(F.when((F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto")), F.col("v")))
-
-    moments = ranked.agg(
-        F.sum("n").alias("count"),
-        F.sum(F.col("v") * F.col("n")).alias("s1"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
-        *[value_at(F.floor(F.lit(q) * (total - 1))).alias(f"lo{i}") for i, q in enumerate(quantiles)],
-        *[value_at(F.ceil(F.lit(q) * (total - 1))).alias(f"hi{i}") for i, q in enumerate(quantiles)],
-    )
-    mean = F.col("s1") / F.col("count")
-    centred = ranked.agg(
-        F.sum(F.col("n") * F.pow(F.col("v") - ranked.agg(F.sum(F.col("v") * F.col("n")) / F.sum("n")).scalar(), 2))
-    )
-
-    def interpolated(i: int, q: float) -> Column:
-        rank = F.lit(q) * (F.col("count") - 1)
-        return F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * (rank - F.floor(rank))
-
-    return moments.select(
-        "count",
-        mean.alias("mean"),
-        F.sqrt(F.try_divide(centred.scalar(), F.col("count") - 1)).alias("std"),
-        "min",
-        *[interpolated(i, q).alias(f"p{round(q * 100):02d}") for i, q in enumerate(quantiles)],
-        "max",
-    )
+    spark = df.sparkSession
+    values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
+    whole = values.agg(F.count("*").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    n = whole["n"]
+    at = {q: q * (n - 1) for q in quantiles}
+    ranks = sorted({r for x in at.values() for r in (math.floor(x), math.ceil(x))}) if n else []
+    known = exact_ranks(values, "v", ranks)
+
+    def interpolated(q: float) -> float | None:
+        if not n:
+            return None
+        low, high = known[math.floor(at[q])], known[math.ceil(at[q])]
+        return low + (high - low) * (at[q] - math.floor(at[q]))
+
+    names = [f"p{round(q * 100):02d}" for q in quantiles]
+    schema = "count bigint, mean double, std double, min double, " + "".join(f"{c} double, " for c in names) + "max double"
+    return spark.createDataFrame([(n, whole["mean"], whole["std"], whole["lo"], *map(interpolated, quantiles), whole["hi"])], schema)
 
 
 def binned_histogram(df: DataFrame, column: Column, bins: int) -> DataFrame:

@@ -133,12 +133,14 @@ def outer_join_rows(t):
 
 def _profile_sql(columns):
     text = lambda c: ts_text(c) if c.endswith("_ts") else f"cast({c} AS varchar)"
-    return " UNION ALL ".join(
-        f"""SELECT outcome, count(*) AS n_rows, '{c}' AS column_name, count(*) - count({c}) AS n_null, min({text(c)}) AS least,
-                   max({text(c)}) AS greatest, (count(*) - count({c})) / cast(count(*) AS double) AS null_rate
-            FROM ({OUTER_ROWS}) o GROUP BY outcome"""
-        for c in columns
-    )
+    melted = " UNION ALL ".join(f"SELECT outcome, '{c}' AS column_name, {text(c)} AS value FROM o" for c in columns)
+    return f"""WITH o AS ({OUTER_ROWS}),
+       counted AS (SELECT outcome, column_name, value, count(*) AS n FROM ({melted}) m GROUP BY ALL),
+       ranked AS (SELECT *, row_number() OVER (PARTITION BY outcome, column_name ORDER BY n DESC, value NULLS LAST) AS place FROM counted)
+       SELECT outcome, column_name, sum(n)::BIGINT AS n_rows, coalesce(sum(n) FILTER (WHERE value IS NULL), 0)::BIGINT AS n_null,
+              min(value) AS least, max(value) AS greatest, coalesce(sum(n) FILTER (WHERE value IS NULL), 0)::DOUBLE / sum(n)::DOUBLE AS null_rate,
+              string_agg(coalesce(value, '~') || '=' || n, ',' ORDER BY place) FILTER (WHERE place <= 10) AS top_values
+       FROM ranked GROUP BY outcome, column_name"""
 
 
 PROFILED = ("trip_id", "stop_sequence", "left_route_id", "latest_snapshot_ts", "vp_snapshot_ts", "vehicle_id")
@@ -146,7 +148,9 @@ PROFILED = ("trip_id", "stop_sequence", "left_route_id", "latest_snapshot_ts", "
 
 @query("unmatched_profile", _profile_sql(PROFILED))
 def unmatched_profile(t):
-    return joins.unmatched_profile(_outer_rows(t), PROFILED)
+    listed = lambda v: F.concat(F.coalesce(v["value"], F.lit("~")), F.lit("="), v["n_rows"].cast("string"))
+    found = joins.unmatched_profile(_outer_rows(t), PROFILED)
+    return found.withColumn("top_values", F.array_join(F.transform("top_values", listed), ","))
 
 
 def _hourly_sql(ts, only):
