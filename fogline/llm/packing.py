@@ -8,14 +8,16 @@ Pieces of one length are alike, so the choices need the number of pieces per len
 same sequence, so a sequence is planned once together with its number of repeats; each plan uses up a length or
 what a sequence takes of it, and plans stay few. A piece then finds its place by its rank among the pieces of its length.
 
-Scale: texts are encoded once; pieces (two bytes a token) are pinned by a checkpoint with their rank among equal lengths of
+Scale: texts are encoded once, each distinct word of a slice at most once; pieces (two bytes a token) are pinned by a checkpoint with their rank among equal lengths of
 their task. Counts per task and length, added up over tasks, turn this into a rank over all. No window or group spans the
 pieces of a length. The plan is broadcast: one row per length in a planned sequence, bounded by the capacity.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,40 +29,87 @@ from pyspark.sql import functions as F
 from fogline.llm.batches import slices
 from fogline.session import cut_lineage
 
-#: Texts are encoded in slices of about this many bytes, their distinct words so many at a time.
-TEXT_BYTES, WORDS = 16 << 20, 1 << 14
+#: Texts are encoded in slices of about this many bytes, new words so many at a time or as one text; a worker remembers so many words.
+TEXT_BYTES, WORDS, TOGETHER, REMEMBERED = 8 << 20, 1 << 12, 1 << 8, 1 << 19
+ID_BYTES = array("I").itemsize
+
+#: Words whose letters all lie below U+0100 have one normal form, and are the same in lower case.
+_PLAIN = r"^[\x{00}-\x{ff}]*$"
+#: A token never holds a letter or digit and the mark after it.
+_MARKS = r"([A-Za-z0-9\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}])([.,;:!?]+)$"
 
 
 class WordEncoder:
-    """Token ids of texts by a vocabulary that never lets a token cross a space or line feed.
+    """Token ids of texts by a vocabulary in lower case that never lets a token cross a space, a line feed or the end of a run of letters.
 
-    Such a vocabulary gives a text the ids of its words one after the other, so each distinct word of a slice is encoded once.
+    Such a vocabulary gives a text the ids of its words one after the other, so each distinct word is encoded once, and a
+    word with marks at its end as the word and the marks. Words that could name a special token are taken as they are.
     """
 
     def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.vocabulary, self.tokenizer = vocabulary, None
+        self.known: dict[str, bytes] = {}
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts end to end, number of ids of each text); NULL is empty."""
-        words = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        return self._joined(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), self._words)
+
+    def _joined(self, texts: pa.Array, encode) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts from those of their distinct words."""
+        words = pc.split_pattern(texts, " ")
         flat = words.flatten().dictionary_encode()
-        ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
-        for at in range(0, len(flat.dictionary), WORDS):
-            encoded = self.tokenizer.encode_batch_fast(flat.dictionary.slice(at, WORDS).to_pylist(), add_special_tokens=False)
-            found = [e.ids for e in encoded]
-            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
-            ids.append(np.fromiter((i for f in found for i in f), np.uint32, int(sizes[-1].sum())))
-        size, every = np.concatenate(sizes), np.concatenate(ids)
-        code = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        every, size = encode(flat.dictionary)
+        code = flat.indices.to_numpy(zero_copy_only=False)
         n = size[code]
         ends = np.cumsum(n)
-        first = np.cumsum(size) - size
         total = int(ends[-1]) if len(ends) else 0
-        out = every[np.repeat(first[code] - (ends - n), n) + np.arange(total)] if total else np.zeros(0, np.uint32)
+        # The step from one id to the next is 1 but at the start of a word.
+        first = (np.cumsum(size) - size)[code]
+        filled = np.flatnonzero(n)
+        at = np.ones(total, np.int64)
+        if total:
+            at[(ends - n)[filled]] = first[filled] - np.concatenate([[0], (first + n)[filled][:-1] - 1])
+            at = np.cumsum(at, out=at)
         borders = np.concatenate([[0], ends])[words.offsets.to_numpy(zero_copy_only=False) - words.offsets[0].as_py()]
-        return out, np.diff(borders)
+        return every[at] if total else np.zeros(0, np.uint32), np.diff(borders)
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        plain = pc.and_(pc.match_substring_regex(words, _PLAIN), pc.invert(pc.match_substring(words, "<|")))
+        parted = pc.replace_substring_regex(pc.utf8_lower(words), _MARKS, r"\1 \2")
+        return self._joined(pc.if_else(plain, parted, words), self._distinct)
+
+    def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        listed = words.to_pylist()
+        ids = list(map(self.known.get, listed))
+        missing = [i for i, found in enumerate(ids) if found is None]
+        # Words of letters only are one unit each, so many of them can be encoded as one text and told apart again.
+        letters = [i for i in missing if listed[i].isalpha()]
+        for at in range(0, len(letters), TOGETHER):
+            part = letters[at : at + TOGETHER]
+            found = self._tokenizer().encode(" ".join([listed[i] for i in part]), add_special_tokens=False)
+            size = np.bincount(np.array(found.word_ids, np.int64)) if found.ids else np.zeros(0, np.int64)
+            if len(size) != len(part) or not size.all():
+                continue
+            every = array("I", found.ids).tobytes()
+            ends = (np.cumsum(size) * ID_BYTES).tolist()
+            for i, start, end in zip(part, [0, *ends], ends):
+                ids[i] = every[start:end]
+        others = [i for i in missing if ids[i] is None]
+        for at in range(0, len(others), WORDS):
+            part = others[at : at + WORDS]
+            for i, found in zip(part, self._tokenizer().encode_batch_fast([listed[i] for i in part], add_special_tokens=False)):
+                ids[i] = array("I", found.ids).tobytes()
+        room = REMEMBERED - len(self.known)
+        self.known.update((listed[i], ids[i]) for i in missing[: max(room, 0)])
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // ID_BYTES
+        return np.frombuffer(b"".join(ids), np.uint32), size
+
+    def _tokenizer(self):
+        if self.tokenizer is None:
+            from tokenizers import Tokenizer
+
+            self.tokenizer = Tokenizer.from_str(self.vocabulary)
+        return self.tokenizer
 
 
 def plan_sequences(counts: dict[int, int], capacity: int) -> list[tuple[int, list[tuple[int, int]]]]:
@@ -146,14 +195,16 @@ def pack_documents(docs: DataFrame, vocabulary_file: str, capacity: int = 4096,
     ignored; an empty table gives an empty result. ``vocabulary_file`` is read once, by the driver.
     """
     context = docs.sparkSession.sparkContext
-    vocabulary = context.broadcast(open(vocabulary_file, encoding="utf-8").read())
+    # A worker keeps what was broadcast from task to task, with the words it has met.
+    shared = context.broadcast(WordEncoder(open(vocabulary_file, encoding="utf-8").read()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, ranks = WordEncoder(vocabulary.value), np.zeros(capacity + 1, np.int64)
+        encoder, ranks = shared.value, np.zeros(capacity + 1, np.int64)
         part = TaskContext.get().partitionId()
         for batch in batches:
             for rows in slices(batch, limit=TEXT_BYTES):
                 yield _pieces(rows, encoder, ranks, part, capacity, end_id)
+        pa.default_memory_pool().release_unused()
 
     schema = "doc_id long, piece int, start long, length int, tokens binary, part int, nth long"
     pieces = cut_lineage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, schema))
