@@ -1,7 +1,8 @@
 """GTFS-Realtime snapshots -> observation rows.
 
-Each file is decoded on its own inside ``mapInArrow`` and its rows leave the task in
-batches. Python only unpacks messages; times, dates and fallbacks are Spark expressions.
+The files of an Arrow batch are scanned together into columns (``wire``); a file that the scan cannot vouch for goes through
+the full parser, which also says what is wrong with it. Rows leave the task in batches. Python only unpacks
+messages; times, dates and fallbacks are Spark expressions.
 """
 
 from __future__ import annotations
@@ -9,13 +10,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fogline.functions.temporal import epoch_to_ts, snapshot_ts_from_path, yyyymmdd_or
+from fogline.sources.wire import Messages, padded, read_messages
 
 BATCH_ROWS = 8_192
+SCAN_BYTES = 8 << 20  # files are scanned together up to this many bytes
 MAX_EPOCH = 9_223_372_036  # last whole second a nanosecond clock can hold
 
 # Messages of the public GTFS-Realtime specification: (name, number, label, type) per field.
@@ -230,57 +235,166 @@ def _vehicle_rows(entity) -> Iterator[dict | None]:
     }
 
 
-def _decode(files: DataFrame, schema: pa.Schema, rows_of) -> DataFrame:
+def _by_message(source: dict, rows_of) -> tuple[dict, list[dict]]:
+    """The file record and the rows of one file, by the full parser; an unreadable file has ``error`` and no rows."""
+    head = {"kind": "file", **source, "rows_skipped": 0}
+    content = head.pop("content")
+    rows: list[dict] = []
+    try:
+        feed = feed_message_class()()
+        feed.ParseFromString(content)
+        if feed.HasField("header"):
+            head["header_epoch"] = _epoch(feed.header, "timestamp", strict=False)
+        common = {**head, "kind": "row", "rows_skipped": None}
+        for entity in feed.entity:
+            for row in rows_of(entity):
+                if row is None:
+                    head["rows_skipped"] += 1
+                else:
+                    rows.append({**common, **row})
+    except Exception as exc:  # any unreadable file is reported, never dropped
+        head["error"] = f"{type(exc).__name__}: {exc}"
+        rows = []
+    return head, rows
+
+
+#: What the rows of a feed are made of: per name an Arrow array, and the message's file; ``kept`` marks rows with identity.
+_Columns = tuple[dict[str, pa.Array], np.ndarray, np.ndarray]
+
+
+def _signed(messages: Messages, name: str, doubtful: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """(values, present) of a number; files with one outside of low..high are for the full parser to judge."""
+    value, has = messages.value(name)
+    out = value.view(np.int64)
+    doubtful[messages.file[has & ((out < low) | (out > high))]] = True
+    return out, has
+
+
+def _number(values: np.ndarray, has: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.array(np.where(has, values, 0).astype(kind.to_pandas_dtype()), kind, mask=~has)
+
+
+def _pick(column: pa.Array, at: np.ndarray) -> pa.Array:
+    """Entries of a column, NULL where ``at`` is -1."""
+    return column.take(pa.array(at, pa.int64(), mask=at < 0))
+
+
+def _trip_columns(trips: Messages, data: np.ndarray, doubtful: np.ndarray, at: np.ndarray) -> dict[str, pa.Array]:
+    """The trip's part of rows whose trip is at these places."""
+    direction = _number(*_signed(trips, "direction_id", doubtful, 0, 2**32 - 1), pa.int64())
+    texts = {"trip_id": "trip_id", "route_id": "route_id", "trip_start_date_raw": "start_date", "trip_start_time": "start_time"}
+    return {"direction_id": _pick(direction, at)} | {out: _pick(trips.strings(data, name), at) for out, name in texts.items()}
+
+
+def _trip_update_columns(entities: Messages, data: np.ndarray, doubtful: np.ndarray) -> _Columns:
+    updates = entities.children["trip_update"]
+    stops = updates.children["stop_time_update"]
+    out = _trip_columns(updates.children["trip"], data, doubtful, updates.only("trip")[stops.parent])
+    sequence = _signed(stops, "stop_sequence", doubtful, 0, 2**32 - 1)
+    out |= {"stop_sequence": _number(*sequence, pa.int64()), "stop_id": stops.strings(data, "stop_id")}
+    kept = sequence[1] & out["stop_id"].is_valid().to_numpy(zero_copy_only=False) & out["trip_id"].is_valid().to_numpy(zero_copy_only=False)
+    for name in ("arrival", "departure"):
+        events, at = stops.children[name], stops.only(name)
+        # Times of rows without identity are not looked at; one out of range is then for the full parser, too.
+        out[f"{name}_epoch"] = _pick(_number(*_signed(events, "time", doubtful, -MAX_EPOCH, MAX_EPOCH), pa.int64()), at)
+        out[f"{name}_delay_sec"] = _pick(_number(*_signed(events, "delay", doubtful, -(2**31), 2**31 - 1), pa.int32()), at)
+    return out, stops.file, kept
+
+
+def _vehicle_columns(entities: Messages, data: np.ndarray, doubtful: np.ndarray) -> _Columns:
+    vehicles = entities.children["vehicle"]
+    out = _trip_columns(vehicles.children["trip"], data, doubtful, vehicles.only("trip"))
+    epoch, has = vehicles.value("timestamp")
+    status, stated = _signed(vehicles, "current_status", doubtful, 0, len(_STOP_STATUS) - 1)
+    described, place = vehicles.only("vehicle"), vehicles.only("position")
+    out |= {
+        "stop_sequence": _number(*_signed(vehicles, "current_stop_sequence", doubtful, 0, 2**32 - 1), pa.int64()),
+        "position_epoch": _number(epoch.view(np.int64), has & (epoch <= MAX_EPOCH), pa.int64()),
+        "vp_stop_id": vehicles.strings(data, "stop_id"),
+        "current_status": _number(status, stated, pa.int32()),
+        "vehicle_id": _pick(vehicles.children["vehicle"].strings(data, "id"), described),
+        "vehicle_label": _pick(vehicles.children["vehicle"].strings(data, "label"), described),
+    }
+    positions = vehicles.children["position"]
+    for name in ("latitude", "longitude", "bearing", "speed"):
+        at, present = positions.value(name)
+        four = data[at.astype(np.int64)[:, None] + np.arange(4)]
+        value = np.ascontiguousarray(four).view("<f4").ravel().astype(np.float64)
+        out[name] = _pick(pa.array(value, pa.float64(), mask=~present), place)
+    return out, vehicles.file, np.ones(len(vehicles), bool)
+
+
+def _by_column(batch: pa.RecordBatch, schema: pa.Schema, columns_of, rows_of) -> Iterator[pa.RecordBatch]:
+    """Records of a batch of files, scanned together; files that the scan cannot vouch for go through the full parser."""
+    data, start, end = padded(batch.column("content"))
+    doubtful = batch.column("content").is_null().to_numpy(zero_copy_only=False).copy()
+    file = np.arange(len(batch))
+    feeds = read_messages(_MESSAGES, "FeedMessage", data, start, end, file, doubtful)
+    header, at = feeds.children["header"], feeds.only("header")
+    stamp, has = header.value("timestamp")
+    epochs = _pick(_number(stamp.view(np.int64), has & (stamp <= MAX_EPOCH), pa.int64()), at)
+    try:
+        columns, of, kept = columns_of(feeds.children["entity"], data, doubtful)
+    except pa.ArrowInvalid:  # a text that is no UTF-8, in whichever file
+        columns, of, kept = {}, np.zeros(0, np.int64), np.zeros(0, bool)
+        doubtful[:] = True
+    skipped = np.bincount(of[~kept], minlength=len(batch))
+    sources = {c: batch.column(c) for c in ("agency_id", "source_date", "blob_order", "blob_name")}
+
+    def records(kind: str, files: np.ndarray, parts: dict[str, pa.Array]) -> pa.RecordBatch:
+        at = pa.array(files, pa.int64())
+        known = {c: v.take(at) for c, v in sources.items()} | parts
+        known |= {"kind": pa.array([kind] * len(files), pa.string()), "header_epoch": epochs.take(at)}
+        arrays = [known[f.name].cast(f.type) if f.name in known else pa.nulls(len(files), f.type) for f in schema]
+        return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    sound = np.flatnonzero(~doubtful)
+    yield records("file", sound, {"rows_skipped": pa.array(skipped[sound], pa.int64())})
+    rows = np.flatnonzero(kept & ~doubtful[of]) if len(of) else np.zeros(0, np.int64)
+    for first in range(0, len(rows), BATCH_ROWS):
+        part = rows[first : first + BATCH_ROWS]
+        yield records("row", of[part], {c: v.take(pa.array(part, pa.int64())) for c, v in columns.items()})
+    pending: list[dict] = []
+    for i in np.flatnonzero(doubtful).tolist():
+        head, found = _by_message(batch.slice(i, 1).to_pylist()[0], rows_of)
+        pending += [head, *found]
+        while len(pending) >= BATCH_ROWS:
+            yield _as_batch(pending[:BATCH_ROWS], schema)
+            pending = pending[BATCH_ROWS:]
+    if pending:
+        yield _as_batch(pending, schema)
+
+
+def _as_batch(records: list[dict], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in records], type=f.type) for f in schema], schema=schema)
+
+
+def _decode(files: DataFrame, schema: pa.Schema, columns_of, rows_of) -> DataFrame:
     """One ``file`` record per input file and one ``row`` record per stop time or vehicle.
 
     A file that cannot be read gives only its ``file`` record, with ``error`` filled in.
     """
 
-    def as_batch(records: list[dict]) -> pa.RecordBatch:
-        columns = [pa.array([r.get(f.name) for r in records], type=f.type) for f in schema]
-        return pa.RecordBatch.from_arrays(columns, schema=schema)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        message_class = feed_message_class()
-        pending: list[dict] = []
         for batch in batches:
-            for source in batch.to_pylist():
-                head = {"kind": "file", **source, "rows_skipped": 0}
-                content = head.pop("content")
-                rows: list[dict] = []
-                try:
-                    feed = message_class()
-                    feed.ParseFromString(content)
-                    if feed.HasField("header"):
-                        head["header_epoch"] = _epoch(feed.header, "timestamp", strict=False)
-                    common = {**head, "kind": "row", "rows_skipped": None}
-                    for entity in feed.entity:
-                        for row in rows_of(entity):
-                            if row is None:
-                                head["rows_skipped"] += 1
-                            else:
-                                rows.append({**common, **row})
-                except Exception as exc:  # any unreadable file is reported, never dropped
-                    head["error"] = f"{type(exc).__name__}: {exc}"
-                    rows = []
-                pending.append(head)
-                pending.extend(rows)
-                while len(pending) >= BATCH_ROWS:
-                    yield as_batch(pending[:BATCH_ROWS])
-                    pending = pending[BATCH_ROWS:]
-        if pending:
-            yield as_batch(pending)
+            size = pc.fill_null(pc.binary_length(batch.column("content")), 0).to_numpy(zero_copy_only=False)
+            done = np.cumsum(size, dtype=np.int64)
+            at = 0
+            while at < len(batch):
+                stop = max(at + 1, int(np.searchsorted(done, (done[at - 1] if at else 0) + SCAN_BYTES, "right")))
+                yield from _by_column(batch.slice(at, stop - at), schema, columns_of, rows_of)
+                at = stop
 
     needed = files.select("agency_id", "source_date", "blob_order", "blob_name", "content")
     return needed.mapInArrow(run, _ddl(schema))
 
 
 def decode_trip_updates(files: DataFrame) -> DataFrame:
-    return _decode(files, _TRIP_UPDATE_SCHEMA, _trip_update_rows)
+    return _decode(files, _TRIP_UPDATE_SCHEMA, _trip_update_columns, _trip_update_rows)
 
 
 def decode_vehicle_positions(files: DataFrame) -> DataFrame:
-    return _decode(files, _VEHICLE_SCHEMA, _vehicle_rows)
+    return _decode(files, _VEHICLE_SCHEMA, _vehicle_columns, _vehicle_rows)
 
 
 def _with_snapshot_ts(records: DataFrame, out: str) -> DataFrame:
