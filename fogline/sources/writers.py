@@ -6,7 +6,8 @@ import datetime as dt
 from collections.abc import Sequence
 from enum import Enum
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 
 class Stage(Enum):
@@ -52,22 +53,48 @@ def write_ndjson_days(df: DataFrame, path: str, partition: str = "incident_date"
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).json(path)
 
 
+def interleaved(df: DataFrame, columns: Sequence[str], out: str, bits: int = 16) -> DataFrame:
+    """Add ``out``: the bits of the columns' ranks in turn, so rows near in any one column come near in its order.
+
+    Ranks are places among a column's distinct values, spread over all bits; NULL comes first. The values of a column are listed once, so this
+    is for columns with few of them, as ids of boundaries.
+    """
+    z = F.lit(0).cast("long")
+    ranked = df
+    for i, column in enumerate(columns):
+        values = df.select(F.col(column).alias("__v")).distinct()
+        # One row per distinct value of a dimension's id.
+        place = F.percent_rank().over(Window.partitionBy().orderBy(F.col("__v").asc_nulls_first()))
+        known = values.select("__v", F.floor(place * ((1 << bits) - 1)).cast("long").alias(f"__rank{i}"))
+        ranked = ranked.join(F.broadcast(known), F.col(column).eqNullSafe(F.col("__v")), "left").drop("__v")
+    for bit in range(bits):
+        for i in range(len(columns)):
+            one = F.shiftright(F.col(f"__rank{i}"), bits - 1 - bit).bitwiseAND(F.lit(1).cast("long"))
+            z = F.call_function("shiftleft", z, F.lit(1)).bitwiseOR(one)
+    return ranked.withColumn(out, z).drop(*[f"__rank{i}" for i in range(len(columns))])
+
+
 def write_mart(
     df: DataFrame,
     path: str,
     partition: str = "event_date_pacific",
-    sort: Sequence[str] = ("event_type", "neighborhood_id", "police_district_id"),
+    sort: Sequence[str] = ("event_type",),
+    cluster: Sequence[str] = ("neighborhood_id", "police_district_id"),
+    row_group_bytes: int = 8 << 20,
 ) -> None:
-    """Partitioned by day and sorted inside files, so boundary filters skip row groups.
+    """Partitioned by day; inside files sorted by ``sort``, then by the interleaved ids of ``cluster``.
 
-    ``rebalance`` lets adaptive execution split a very large day over several writers and
+    So a filter on either boundary skips row groups, not only one on the first. ``rebalance`` lets adaptive execution split a very large day over several writers and
     pack small days together.
     """
+    rows = interleaved(df, cluster, "__z") if cluster else df.withColumn("__z", F.lit(0))
     (
-        df.hint("rebalance", partition)
-        .sortWithinPartitions(partition, *sort)
+        rows.hint("rebalance", partition)
+        .sortWithinPartitions(partition, *sort, "__z")
+        .drop("__z")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("parquet.block.size", row_group_bytes)
         .partitionBy(partition)
         .parquet(path)
     )
