@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from fogline.functions.temporal import seconds_between
 from fogline.operators.checks import require_no_decode_errors
@@ -71,6 +75,67 @@ def upsert_latest_stream(files: DataFrame, table: FileTable, checkpoint: str) ->
     )
 
 
+def newest_changes(
+    observations: DataFrame, keys: Sequence[str], order: Sequence[str], watermark: str = "1 hour", keep_seconds: int = 86_400
+) -> DataFrame:
+    """Stream of the rows that replace the newest one of their key; ``order`` begins with the event time.
+
+    State per key is the newest row's order and a timer. Of a batch, a key's rows shrink to their greatest ``order``; it is emitted only if
+    it is greater than what the state holds, so repeated and older files emit nothing, in whichever order they come. A key that has
+    been silent for ``keep_seconds`` of event time is forgotten. Rows later than the watermark are dropped by Spark, so what is forgotten cannot
+    come back older: ``watermark`` must not be longer than ``keep_seconds``. NULL keys are one key each; rows without event time
+    are left out. Other columns than keys and order are carried along and close the order.
+    """
+    ts = order[0]
+    schema = observations.schema
+    names = schema.fieldNames()
+    closing = [*order, *[c for c in names if c not in order and c not in keys]]
+    state_type = "at timestamp, rank string"
+
+    def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        best, held = None, state.get[1] if state.exists else None
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                rank = _rank(row, closing)
+                if (held is None or rank > held) and (best is None or rank > best[0]):
+                    best = rank, row
+        if best is None:
+            return
+        at = getattr(best[1], ts)
+        state.update((at, best[0]))
+        # Never before the watermark, which may be past the row's own time.
+        expires = int(at.timestamp() * 1000) + keep_seconds * 1000
+        state.setTimeoutTimestamp(max(expires, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame([best[1]], columns=names)
+
+    return (
+        observations.where(F.col(ts).isNotNull())
+        .withWatermark(ts, watermark)
+        .groupBy(*keys)
+        .applyInPandasWithState(update, schema, state_type, "update", GroupStateTimeout.EventTimeTimeout)
+    )
+
+
+def _rank(row: tuple, columns: Sequence[str]) -> str:
+    """The columns as one text that sorts as they do; missing values come first."""
+    parts = []
+    for c in columns:
+        value = getattr(row, c)
+        if value is None or value is pd.NaT or value != value:
+            parts.append("0")
+        elif isinstance(value, pd.Timestamp):
+            parts.append(f"1{value.value:020d}")
+        elif isinstance(value, (int, float)) and not isinstance(value, bool):
+            # Shifted so that negative numbers come before positive ones.
+            parts.append(f"1{int(value) + (1 << 63):020d}{value % 1:.17f}")
+        else:
+            parts.append(f"1{value}")
+    return "\x00".join(parts)
+
+
 def active_vehicles(positions: DataFrame, ts: str = "vp_snapshot_ts", watermark: str = "10 minutes") -> DataFrame:
     """Vehicles per route and minute. Streams count approximately, batches exactly."""
     count = F.approx_count_distinct if positions.isStreaming else F.count_distinct

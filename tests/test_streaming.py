@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from fogline.operators.latest import latest_trip_updates
+from fogline.operators.latest import latest_per_key, latest_trip_updates
 from fogline.plans.jobs import trip_stops_table
 from fogline.sources import files, gtfs
 from fogline.streaming import transit_stream as ts
@@ -23,6 +23,10 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
 def test_streamed_table_equals_the_batch_result(spark, tmp_path):
     raw, table, checkpoint = (str(tmp_path / n) for n in ("raw", "table", "checkpoint"))
     snapshots(tmp_path, range(3))
@@ -89,3 +93,43 @@ def test_decoded_stream_has_the_batch_schema(spark, tmp_path):
     batch = gtfs.trip_update_observations(gtfs.decode_trip_updates(manifest)).drop("blob_order")
     assert rows(streamed) == rows(batch)
     assert ts.stream_vehicle_positions(spark, raw).isStreaming
+
+
+def test_changes_of_the_newest_row_equal_the_batch(spark, tmp_path):
+    import random
+
+    rng = random.Random(6)
+    t0 = dt.datetime(2026, 6, 23)
+    ddl = "k string, n bigint, seen timestamp, part bigint, v string"
+    rows_ = [(rng.choice(["a", "b", None, "c"]), rng.choice([1, None]), t0 + dt.timedelta(minutes=rng.randrange(40)), rng.randrange(-3, 3), rng.choice(["x", "y", None])) for _ in range(120)]
+    files_ = [rows_[i : i + 12] for i in range(0, 120, 12)]
+    # Shuffled, and some files come twice.
+    order = [*range(10), 3, 3, 7]
+    rng.shuffle(order)
+    path = str(tmp_path / "in")
+    for place, i in enumerate(order):
+        spark.createDataFrame(files_[i], ddl).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(ddl).option("maxFilesPerTrigger", 2).parquet(path)
+    changes = ts.newest_changes(stream, ["k", "n"], ["seen", "part"], watermark="1 hour")
+    seen = drain(changes, "changes", "update").collect()
+    batch = latest_per_key(spark.createDataFrame(rows_, ddl), ["k", "n"], ["seen", "part"])
+    final = latest_per_key(spark.createDataFrame(seen, ddl), ["k", "n"], ["seen", "part"])
+    assert rows_of(final) == rows_of(batch)
+    # Each change is newer than the one before, so none repeats.
+    assert len({tuple(r) for r in seen}) == len(seen) < len(set(rows_))
+
+
+def test_silent_keys_are_forgotten(spark, tmp_path):
+    t0 = dt.datetime(2026, 6, 23)
+    ddl = "k string, seen timestamp, v string"
+    path = str(tmp_path / "in")
+    query = lambda: ts.newest_changes(spark.readStream.schema(ddl).option("maxFilesPerTrigger", 1).parquet(path), ["k"], ["seen"], watermark="1 minute", keep_seconds=600)
+    checkpoint, out = str(tmp_path / "check"), str(tmp_path / "out")
+    progress = []
+    for part in ([("a", t0, "1"), ("b", t0, "1")], [("b", t0 + dt.timedelta(minutes=30), "2")], [("b", t0 + dt.timedelta(minutes=31), "3")]):
+        spark.createDataFrame(part, ddl).coalesce(1).write.mode("append").parquet(path)
+        run = query().writeStream.foreachBatch(lambda df, _: df.write.mode("append").parquet(out)).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        run.awaitTermination()
+        progress.append(run.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert progress[0] == 2 and progress[-1] == 1
+    assert sorted(r["v"] for r in spark.read.parquet(out).collect()) == ["1", "1", "2", "3"]
