@@ -74,8 +74,8 @@ def _build_shards(counts: DataFrame, n_shards: int, min_docs: int, heavy_share:
 
     def row(shard: int, cols: list[np.ndarray]) -> pa.RecordBatch:
         hi, lo, n, keeper = cols
-        levels = mphf.build(hi.view(np.uint64) ^ lo.view(np.uint64))
-        order = mphf.Index(levels).of(hi.view(np.uint64) ^ lo.view(np.uint64))
+        levels = mphf.build(hi.view(np.uint64), lo.view(np.uint64))
+        order = mphf.Index(levels).of(hi.view(np.uint64), lo.view(np.uint64))
         prints, seen = np.empty(len(hi), np.uint32), np.empty(len(hi), np.uint8)
         prints[order] = (lo.view(np.uint64) >> np.uint64(32)).astype(np.uint32)
         seen[order] = np.minimum(n, 255)
@@ -158,7 +158,7 @@ def _probe(lines: DataFrame, shards: DataFrame, n_shards: int, min_docs: int) ->
                     continue
                 part = batch.slice(a, b - a)
                 hi, lo, ids = (part.column(c).to_numpy() for c in ("hi", "lo", "doc_id"))
-                at = index.of(hi.view(np.uint64) ^ lo.view(np.uint64))
+                at = index.of(hi.view(np.uint64), lo.view(np.uint64))
                 known = at >= 0
                 known[known] = prints[at[known]] == (lo.view(np.uint64) >> np.uint64(32)).astype(np.uint32)[known]
                 lost = np.zeros(len(at), bool)
@@ -237,9 +237,13 @@ def dedup_lines(
     known = spark.sparkContext.broadcast(heavy)
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        answered = np.sort(np.array([struct.unpack("<qq", k)[0] for k in known.value], np.int64))
+        answered = np.array([struct.unpack("<qq", k) for k in known.value], np.int64).reshape(-1, 2)
         for batch in batches:
-            mask = np.isin(batch.column("hi").to_numpy(), answered)
+            hi, lo = batch.column("hi").to_numpy(), batch.column("lo").to_numpy()
+            mask = np.isin(hi, answered[:, 0])
+            # The first word says which rows to look at, both words say which are answered.
+            near = np.flatnonzero(mask)
+            mask[near] = [struct.pack("<qq", a, b) in known.value for a, b in zip(hi[near].tolist(), lo[near].tolist())]
             yield batch.filter(pa.array(~mask)) if mask.any() else batch
 
     rest = lines.mapInArrow(routed, "hi long, lo long, doc_id long") if heavy else lines

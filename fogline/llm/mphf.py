@@ -1,7 +1,8 @@
-"""Minimal perfect hash of 64-bit keys: a cascade of bit arrays, built and probed with numpy.
+"""Minimal perfect hash of 128-bit keys (two words): a cascade of bit arrays, built and probed with numpy.
 
 Each level hashes the remaining keys into twice as many bits as there are keys and keeps those
-that are alone on their bit; the rest go to the next level. A key's index is the rank of its bit.
+that are alone on their bit; the rest go to the next level. A key's index is the rank of its bit. Both words of a key are
+mixed anew on each level, so distinct keys part sooner or later, whatever they share.
 """
 
 from __future__ import annotations
@@ -12,22 +13,27 @@ from fogline.llm.words import mix
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 SPREAD = 2
+#: A level leaves about two fifths of the keys; distinct keys are done long before.
+MOST_LEVELS = 200
 
 
-def _bit(keys: np.ndarray, level: int, size: int) -> np.ndarray:
+def _bit(hi: np.ndarray, lo: np.ndarray, level: int, size: int) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return (mix(keys + np.uint64(level + 1) * _STEP) % np.uint64(size)).astype(np.int64)
+        return (mix(mix(hi + np.uint64(level + 1) * _STEP) + lo) % np.uint64(size)).astype(np.int64)
 
 
-def build(keys: np.ndarray) -> list[np.ndarray]:
-    """Bit arrays for distinct uint64 keys."""
+def build(hi: np.ndarray, lo: np.ndarray) -> list[np.ndarray]:
+    """Bit arrays for distinct keys (hi, lo: uint64). A key that occurs twice raises ValueError."""
     levels = []
-    while len(keys):
-        size = SPREAD * len(keys) + 1
-        at = _bit(keys, len(levels), size)
+    while len(hi):
+        if len(levels) == MOST_LEVELS:
+            raise ValueError(f"{len(hi)} keys are not distinct")
+        size = SPREAD * len(hi) + 1
+        at = _bit(hi, lo, len(levels), size)
         alone = np.bincount(at, minlength=size) == 1
         levels.append(alone)
-        keys = keys[~alone[at]]
+        rest = ~alone[at]
+        hi, lo = hi[rest], lo[rest]
     return levels
 
 
@@ -48,7 +54,7 @@ def load(data: bytes) -> list[np.ndarray]:
 
 
 class Index:
-    """Ready to answer: ``Index(levels).of(keys)`` is the index of each key, -1 where none can be."""
+    """Ready to answer: ``Index(levels).of(hi, lo)`` is the index of each key, -1 where none can be."""
 
     def __init__(self, levels: list[np.ndarray]):
         self.levels = levels
@@ -59,13 +65,13 @@ class Index:
             before += int(bits.sum())
         self.size = before
 
-    def of(self, keys: np.ndarray) -> np.ndarray:
-        out = np.full(len(keys), -1, np.int64)
-        left = np.arange(len(keys))
+    def of(self, hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+        out = np.full(len(hi), -1, np.int64)
+        left = np.arange(len(hi))
         for level, bits in enumerate(self.levels):
             if not len(left):
                 break
-            at = _bit(keys[left], level, len(bits))
+            at = _bit(hi[left], lo[left], level, len(bits))
             here = bits[at]
             out[left[here]] = self.rank[level][at[here]]
             left = left[~here]

@@ -55,8 +55,17 @@ def test_odd_rows(odd, empty):
 
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 50_000])
 def test_perfect_hash(n):
-    keys = np.unique(np.random.default_rng(n).integers(0, 1 << 63, n).astype(np.uint64))
-    index = mphf.Index(mphf.load(mphf.dump(mphf.build(keys))))
-    assert sorted(index.of(keys).tolist()) == list(range(len(keys))) and index.size == len(keys)
+    hi, lo = np.random.default_rng(n).integers(0, 1 << 63, (2, n)).astype(np.uint64)
+    index = mphf.Index(mphf.load(mphf.dump(mphf.build(hi, lo))))
+    assert sorted(index.of(hi, lo).tolist()) == list(range(n)) and index.size == n
     if n > 1000:
         assert len(mphf.dump(index.levels)) * 8 < 4 * n
+
+
+def test_perfect_hash_of_keys_that_share_much():
+    a, b = np.arange(3000, dtype=np.uint64), np.arange(3000, dtype=np.uint64) ^ np.uint64(12345)
+    for hi, lo in ((a, b), (a, a), (np.zeros(3000, np.uint64), a), (a, np.zeros(3000, np.uint64))):
+        index = mphf.Index(mphf.build(hi, lo))
+        assert sorted(index.of(hi, lo).tolist()) == list(range(3000))
+    with pytest.raises(ValueError, match="not distinct"):
+        mphf.build(np.array([7, 7, 8], np.uint64), np.array([1, 1, 1], np.uint64))
