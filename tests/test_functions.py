@@ -64,10 +64,12 @@ def test_snapshot_names(spark):
     ]
 
 
-def test_source_dates(spark):
-    days = ["not-a-date", "2026-02-30", "2026-08-07", "2026-08-08", "2026-06-23", " 2026-06-23 ", None]
-    as_of = F.lit("2026-08-07").cast("date")
-    assert values(spark, "v string", days, tm.is_past_date(F.col("v"), as_of)) == [False] * 4 + [True, True, False]
+def test_past_dates(spark):
+    """Whole days before the pinned one; the day itself, later days and what is no date do not count."""
+    pinned = F.lit("2031-03-01").cast("date")
+    expected = {"2031-02-28": True, "2031-03-01": False, "2031-03-02": False, "1999-12-31": True, "2031-02-29": False, "soon": False, " 2030-01-01": True}
+    assert values(spark, "v string", list(expected), tm.is_past_date(F.col("v"), pinned)) == list(expected.values())
+    assert values(spark, "v string", [None], tm.is_past_date(F.col("v"), pinned)) == [False]
 
 
 def test_service_dates(spark):
@@ -108,31 +110,24 @@ def test_names_and_categories(spark):
     assert one(spark, tx.last_path_part(F.lit("a/b/c.pb"))) == "c.pb"
 
 
-def test_labels_match_python_formatting(spark):
-    seconds = [None, 0.0, 0.4, -0.4, 0.5, 3.0, 9.0, 15.0, 45.0, -75.0, 300.0, 123456.0, -20.0]
+def labels(spark, ddl, expected, column):
+    assert values(spark, ddl, list(expected), column) == list(expected.values())
 
-    def delay(v):
-        if v is None:
-            return "N/A"
-        if abs(v) < 0.5:
-            return "0.0 min on time"
-        return f"{abs(v) / 60.0:.1f} min {'late' if v > 0 else 'early'}"
 
-    assert values(spark, "v double", seconds, tx.delay_label(F.col("v"))) == [delay(v) for v in seconds]
-    percents = [None, 0.0, 0.05, 0.15, 0.25, 12.35, 100.0, 66.666]
-    assert values(spark, "v double", percents, tx.percent_label(F.col("v"))) == ["N/A" if p is None else f"{p:.1f}%" for p in percents]
-    money = [None, 0.5, 1.5, 2500.0, 1234567.5]
-    assert values(spark, "v double", money, tx.currency_label(F.col("v"))) == ["N/A" if m is None else f"${m:,.0f}" for m in money]
-    counts = [None, 0, 1, 1234567]
-    assert values(spark, "v bigint", counts, tx.count_label(F.col("v"))) == ["N/A", "0", "1", "1,234,567"]
-    assert values(spark, "v bigint", counts, tx.listing_label(F.col("v"))) == ["0 listings", "0 listings", "1 listing", "1,234,567 listings"]
-    assert values(spark, "v date", [dt.date(2026, 6, 3), None], tx.date_label(F.col("v"))) == ["Jun 3, 2026", "today"]
+def test_labels(spark):
+    delays = {None: "N/A", 0.0: "0.0 min on time", 0.49: "0.0 min on time", -0.49: "0.0 min on time", 30.0: "0.5 min late",
+              -30.0: "0.5 min early", 66.0: "1.1 min late", -600.0: "10.0 min early", 36000.0: "600.0 min late"}
+    labels(spark, "v double", delays, tx.delay_label(F.col("v")))
+    labels(spark, "v double", {None: "N/A", 0.0: "0.0%", 0.5: "0.5%", 33.33: "33.3%", 99.96: "100.0%"}, tx.percent_label(F.col("v")))
+    labels(spark, "v double", {None: "N/A", 0.0: "$0", 999.4: "$999", 12000.0: "$12,000", 7654321.0: "$7,654,321"}, tx.currency_label(F.col("v")))
+    labels(spark, "v bigint", {None: "N/A", 0: "0", 12: "12", 45678: "45,678"}, tx.count_label(F.col("v")))
+    labels(spark, "v bigint", {None: "0 listings", 0: "0 listings", 1: "1 listing", 2: "2 listings", 3210: "3,210 listings"}, tx.listing_label(F.col("v")))
+    labels(spark, "v date", {dt.date(2030, 12, 25): "Dec 25, 2030", dt.date(2031, 2, 7): "Feb 7, 2031", None: "today"}, tx.date_label(F.col("v")))
 
 
 def test_byte_labels(spark):
-    sizes = {0: "0.0 B", 7: "7.0 B", 1000: "1000.0 B", 2048: "2.0 KB", 2560: "2.5 KB", 3 * 2**20: "3.0 MB", 2**30 + 2**29: "1.5 GB", 2**41: "2.0 TB", 2**60: "1024.0 PB"}
-    got = values(spark, "v bigint", list(sizes), tx.bytes_label(F.col("v")))
-    assert got[:-1] == list(sizes.values())[:-1] and got[-1] in ("1024.0 PB", "1.0 EB")
+    sizes = {0: "0.0 B", 7: "7.0 B", 1000: "1000.0 B", 2048: "2.0 KB", 2560: "2.5 KB", 3 * 2**20: "3.0 MB", 2**30 + 2**29: "1.5 GB", 2**41: "2.0 TB", 2**52: "4.0 PB"}
+    labels(spark, "v bigint", sizes, tx.bytes_label(F.col("v")))
 
 
 def test_json_cells(spark):
