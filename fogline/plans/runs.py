@@ -25,7 +25,10 @@ class Run:
         self._watched: list[tuple[str, Observation]] = []
 
     def watch(self, df: DataFrame, step: str, **conditions: Column) -> DataFrame:
-        """``df`` whose rows, and those that meet the conditions, are counted under the step's name when it is computed."""
+        """``df`` whose rows, and those that meet the conditions, are counted under the step's name when it is computed.
+
+        It must be computed once: pin it (``cut_lineage``) before it is written by ranges, which are sampled first, or read twice.
+        """
         watched, seen = observe_counts(df, f"{self.job}.{step}.{len(self._watched)}", **conditions)
         self._watched.append((step, seen))
         return watched

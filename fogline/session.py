@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -22,12 +24,17 @@ def build_session(app: str = "fogline", master: str | None = None, **conf: str)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder that the session names; where it names none, one beside its tables."""
+    """The shared folder that the session names; a session of one machine that names none has one beside its tables.
+
+    A cluster must name one: what executors write into folders of their own is lost with them.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("on a cluster spark.checkpoint.dir must name a folder that all machines share")
     sc.setCheckpointDir(configured or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
     return sc.getCheckpointDir()
 

@@ -123,6 +123,7 @@ _COMMON = [
     ("blob_name", pa.string()),
     ("header_epoch", pa.int64()),
     ("rows_skipped", pa.int64()),
+    ("epochs_out_of_range", pa.int64()),
     ("error", pa.string()),
     ("trip_id", pa.string()),
     ("route_id", pa.string()),
@@ -175,6 +176,12 @@ def _epoch(message, name: str, strict: bool) -> int | None:
     return None
 
 
+def _beyond(message, name: str) -> int:
+    """1 where the message has a time that no nanosecond clock can hold, which is then read as none."""
+    value = _present(message, name)
+    return int(value is not None and not -MAX_EPOCH <= value <= MAX_EPOCH)
+
+
 def _trip_fields(trip) -> dict:
     return {
         "trip_id": trip.trip_id or None,
@@ -227,6 +234,7 @@ def _vehicle_rows(entity) -> Iterator[dict | None]:
         **_trip_fields(v.trip),
         "stop_sequence": _present(v, "current_stop_sequence"),
         "position_epoch": _epoch(v, "timestamp", strict=False),
+        "epochs_out_of_range": _beyond(v, "timestamp"),
         "vp_stop_id": v.stop_id or None,
         "current_status": _present(v, "current_status"),
         "vehicle_id": v.vehicle.id or None,
@@ -237,7 +245,7 @@ def _vehicle_rows(entity) -> Iterator[dict | None]:
 
 def _by_message(source: dict, rows_of) -> tuple[dict, list[dict]]:
     """The file record and the rows of one file, by the full parser; an unreadable file has ``error`` and no rows."""
-    head = {"kind": "file", **source, "rows_skipped": 0}
+    head = {"kind": "file", **source, "rows_skipped": 0, "epochs_out_of_range": 0}
     content = head.pop("content")
     rows: list[dict] = []
     try:
@@ -245,21 +253,24 @@ def _by_message(source: dict, rows_of) -> tuple[dict, list[dict]]:
         feed.ParseFromString(content)
         if feed.HasField("header"):
             head["header_epoch"] = _epoch(feed.header, "timestamp", strict=False)
+            head["epochs_out_of_range"] += _beyond(feed.header, "timestamp")
         common = {**head, "kind": "row", "rows_skipped": None}
         for entity in feed.entity:
             for row in rows_of(entity):
                 if row is None:
                     head["rows_skipped"] += 1
                 else:
-                    rows.append({**common, **row})
+                    head["epochs_out_of_range"] += row.get("epochs_out_of_range", 0)
+                    rows.append({**common, **row, "epochs_out_of_range": None})
     except Exception as exc:  # any unreadable file is reported, never dropped
         head["error"] = f"{type(exc).__name__}: {exc}"
+        head["epochs_out_of_range"] = 0
         rows = []
     return head, rows
 
 
-#: What the rows of a feed are made of: per name an Arrow array, and the message's file; ``kept`` marks rows with identity.
-_Columns = tuple[dict[str, pa.Array], np.ndarray, np.ndarray]
+#: What the rows of a feed are made of: per name an Arrow array; the file of each row, which rows have identity, which have a time out of range.
+_Columns = tuple[dict[str, pa.Array], np.ndarray, np.ndarray, np.ndarray]
 
 
 def _signed(messages: Messages, name: str, doubtful: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
@@ -298,7 +309,7 @@ def _trip_update_columns(entities: Messages, data: np.ndarray, doubtful: np.ndar
         # Times of rows without identity are not looked at; one out of range is then for the full parser, too.
         out[f"{name}_epoch"] = _pick(_number(*_signed(events, "time", doubtful, -MAX_EPOCH, MAX_EPOCH), pa.int64()), at)
         out[f"{name}_delay_sec"] = _pick(_number(*_signed(events, "delay", doubtful, -(2**31), 2**31 - 1), pa.int32()), at)
-    return out, stops.file, kept
+    return out, stops.file, kept, np.zeros(len(stops), bool)
 
 
 def _vehicle_columns(entities: Messages, data: np.ndarray, doubtful: np.ndarray) -> _Columns:
@@ -321,7 +332,7 @@ def _vehicle_columns(entities: Messages, data: np.ndarray, doubtful: np.ndarray)
         four = data[at.astype(np.int64)[:, None] + np.arange(4)]
         value = np.ascontiguousarray(four).view("<f4").ravel().astype(np.float64)
         out[name] = _pick(pa.array(value, pa.float64(), mask=~present), place)
-    return out, vehicles.file, np.ones(len(vehicles), bool)
+    return out, vehicles.file, np.ones(len(vehicles), bool), has & (epoch > MAX_EPOCH)
 
 
 def _by_column(batch: pa.RecordBatch, schema: pa.Schema, columns_of, rows_of) -> Iterator[pa.RecordBatch]:
@@ -334,11 +345,12 @@ def _by_column(batch: pa.RecordBatch, schema: pa.Schema, columns_of, rows_of) ->
     stamp, has = header.value("timestamp")
     epochs = _pick(_number(stamp.view(np.int64), has & (stamp <= MAX_EPOCH), pa.int64()), at)
     try:
-        columns, of, kept = columns_of(feeds.children["entity"], data, doubtful)
+        columns, of, kept, beyond = columns_of(feeds.children["entity"], data, doubtful)
     except pa.ArrowInvalid:  # a text that is no UTF-8, in whichever file
-        columns, of, kept = {}, np.zeros(0, np.int64), np.zeros(0, bool)
+        columns, of, kept, beyond = {}, np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, bool)
         doubtful[:] = True
     skipped = np.bincount(of[~kept], minlength=len(batch))
+    out_of_range = np.bincount(of[beyond], minlength=len(batch)) + np.bincount(header.file[has & (stamp > MAX_EPOCH)], minlength=len(batch))
     sources = {c: batch.column(c) for c in ("agency_id", "source_date", "blob_order", "blob_name")}
 
     def records(kind: str, files: np.ndarray, parts: dict[str, pa.Array]) -> pa.RecordBatch:
@@ -349,7 +361,8 @@ def _by_column(batch: pa.RecordBatch, schema: pa.Schema, columns_of, rows_of) ->
         return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     sound = np.flatnonzero(~doubtful)
-    yield records("file", sound, {"rows_skipped": pa.array(skipped[sound], pa.int64())})
+    counts = {"rows_skipped": skipped, "epochs_out_of_range": out_of_range}
+    yield records("file", sound, {c: pa.array(n[sound], pa.int64()) for c, n in counts.items()})
     rows = np.flatnonzero(kept & ~doubtful[of]) if len(of) else np.zeros(0, np.int64)
     for first in range(0, len(rows), BATCH_ROWS):
         part = rows[first : first + BATCH_ROWS]
@@ -461,7 +474,7 @@ def vehicle_position_observations(records: DataFrame) -> DataFrame:
 
 
 def parse_report(records: DataFrame) -> DataFrame:
-    """Run statistics of a decode, one row per agency and folder date."""
+    """Run statistics of a decode, one row per agency and folder date; times out of range were read as missing."""
     is_file = F.col("kind") == "file"
     ok = is_file & F.col("error").isNull()
     return records.groupBy("agency_id", "source_date").agg(
@@ -470,6 +483,7 @@ def parse_report(records: DataFrame) -> DataFrame:
         F.count_if(is_file & F.col("error").isNotNull()).alias("blobs_failed"),
         F.count_if(~is_file).alias("rows_decoded"),
         F.sum(F.when(ok, F.col("rows_skipped")).otherwise(F.lit(0))).alias("rows_skipped_missing_identity"),
+        F.sum(F.when(ok, F.col("epochs_out_of_range")).otherwise(F.lit(0))).alias("epochs_out_of_range"),
         F.count_if(ok & F.col("header_epoch").isNotNull()).alias("snapshot_header_count"),
         F.count_if(ok & F.col("header_epoch").isNull()).alias("snapshot_filename_fallback_count"),
     )

@@ -154,3 +154,14 @@ def test_numbers_of_all_lengths():
     ends = np.cumsum([len(p) for p in parts])
     fields, bad = wire.scan(data, ends - [len(p) for p in parts], ends)
     assert not bad.any() and fields.value.tolist() == values and set(fields.number.tolist()) == {1}
+
+
+def test_times_out_of_range_are_counted():
+    feed = gtfs.feed_message_class()()
+    feed.header.gtfs_realtime_version, feed.header.timestamp = "2.0", gtfs.MAX_EPOCH + 1
+    for stamp in (5, gtfs.MAX_EPOCH + 1, 2**64 - 1):
+        feed.entity.add(id="1").vehicle.timestamp = stamp
+    batch = files([feed.SerializeToString(), b""])
+    got = by_column(batch, "vehicles")
+    assert [(r["epochs_out_of_range"], r["header_epoch"]) for r in got if r["kind"] == "file"] == [(3, None), (0, None)]
+    assert got == by_message(batch, "vehicles") or sorted(map(str, got)) == sorted(map(str, by_message(batch, "vehicles")))

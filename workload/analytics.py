@@ -332,7 +332,7 @@ def feed_vehicle_positions(t):
     "run_stats",
     """SELECT 'muni' AS agency_id, strftime(l_shipdate, '%Y-%m-%d') AS source_date, count(*) AS blobs_total, count(*) AS blobs_parsed,
               cast(0 AS bigint) AS blobs_failed, count(*) AS rows_decoded, count(*) AS rows_skipped_missing_identity,
-              count(*) FILTER (l_partkey % 3 <> 0) AS snapshot_header_count,
+              cast(0 AS bigint) AS epochs_out_of_range, count(*) FILTER (l_partkey % 3 <> 0) AS snapshot_header_count,
               count(*) FILTER (l_partkey % 3 = 0) AS snapshot_filename_fallback_count
        FROM lineitem GROUP BY 2""",
 )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from fogline.operators import asof, checks, joins, latest, lookup
 from fogline.operators.keys import CANONICAL_KEY
 from fogline.operators.sequences import inferred_arrivals
+from fogline.plans.transit import newest_joined
 from workload.registry import query
 from workload.sqlviews import KEY, same_key, ts_text
 
@@ -61,9 +62,7 @@ def dedupe_keep_last(t):
         FROM joined_day""",
 )
 def nullsafe_left_join(t):
-    day = joins.join_vehicle_positions(
-        latest.latest_trip_updates(t.trip_updates), latest.latest_vehicle_positions(t.vehicle_positions)
-    )
+    day = newest_joined(t.trip_updates, t.vehicle_positions)
     return day.drop(
         "arrival_time_predicted", "departure_time_predicted", "arrival_delay_sec", "departure_delay_sec"
     )

@@ -85,16 +85,16 @@ def close_missing_listings(t):
     return merge.close_missing(table, active, dt.date(2001, 6, 2), dt.date(2001, 6, 1))
 
 
-@query(
-    "day_replace",
-    f"""SELECT police_incident_id, {ts_text('incident_datetime')} AS incident_datetime, incident_category FROM (
+DAY_REPLACE_SQL = f"""SELECT police_incident_id, {ts_text('incident_datetime')} AS incident_datetime, incident_category FROM (
           SELECT police_incident_id, incident_datetime, incident_category FROM police_incidents
           WHERE NOT cast({pacific('incident_datetime')} AS date) BETWEEN date '2024-01-11' AND date '2024-01-20'
           UNION ALL
           SELECT police_incident_id, incident_datetime, 'Redelivered' FROM police_incidents
           WHERE cast({pacific('incident_datetime')} AS date) BETWEEN date '2024-01-11' AND date '2024-01-20'
-            AND cast({pacific('incident_datetime')} AS date) <> date '2024-01-15') u""",
-)
+            AND cast({pacific('incident_datetime')} AS date) <> date '2024-01-15') u"""
+
+
+@query("day_replace", DAY_REPLACE_SQL)
 def day_replace(t):
     days = [dt.date(2024, 1, 11) + dt.timedelta(days=i) for i in range(10)]
     table = t.police_incidents.select("police_incident_id", "incident_datetime", "incident_category")

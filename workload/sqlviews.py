@@ -106,6 +106,11 @@ VIEWS: dict[str, str] = {
     WHERE neighborhood_id IS NOT NULL
     UNION ALL
     SELECT 'police_districts', police_district_id, * FROM chosen_events WHERE police_district_id IS NOT NULL""",
+    "gold_by_boundary": """
+    SELECT 'neighborhoods' AS boundary_type, neighborhood_id AS boundary_id, * FROM gold_events
+    WHERE neighborhood_id IS NOT NULL
+    UNION ALL
+    SELECT 'police_districts', police_district_id, * FROM gold_events WHERE police_district_id IS NOT NULL""",
     "nb_edges": _edges("neighborhoods"),
     "pd_edges": _edges("police_districts"),
     "in_nb": _inside("points", "nb_edges", "nb"),
