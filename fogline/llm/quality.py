@@ -146,3 +146,18 @@ def ablations(ledger: DataFrame, policy: Policy) -> DataFrame:
             hit(F.col("r.bit")).alias("n_failed_alone"),
         )
     )
+
+
+def with_ablations(ledger: DataFrame, policy: Policy) -> DataFrame:
+    """``ledger`` with ``only_rule`` and ``freed_without``: the rule without which the document would pass, and how many would with it.
+
+    Both NULL for documents that pass, or that several rules of the policy reject. The report is one row per rule.
+    """
+    rules = [r for r in RULES if r.name in policy.rules]
+    hit = F.col("failed").bitwiseAND(F.lit(policy.mask).cast("long"))
+    only = F.coalesce(*(F.when(hit == (1 << r.bit), r.name) for r in rules))
+    report = ablations(ledger, policy).select(
+        F.col("rule").alias("__rule"), (F.col("n_failed") - F.col("n_failed_without")).alias("freed_without")
+    )
+    named = ledger.withColumn("only_rule", only)
+    return named.join(F.broadcast(report), F.col("only_rule") == F.col("__rule"), "left").drop("__rule")

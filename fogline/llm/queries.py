@@ -213,14 +213,42 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted")
 
 
-@query()
+@query(
+    r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, i, w[i:i + 2] AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM docs)),
+twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, win) AS c FROM windows) WHERE c > 1),
+repeats AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY doc_id),
+lined AS (SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM docs),
+measured AS (
+  SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+         coalesce(r.n, 0)::BIGINT AS n_repeat_words
+  FROM lined d LEFT JOIN repeats r ON r.doc_id = d.doc_id),
+ruled AS (
+  SELECT *, n_words < 50 AS few, 100 * n_repeat_words > 50 * n_words AS repeated, 5 * n_symbols > n_words AS symbols,
+         word_chars < 2 * n_words OR word_chars > 15 * n_words AS lengths FROM measured),
+named AS (
+  SELECT *, few::INT + repeated::INT + symbols::INT + lengths::INT AS n_hits,
+         CASE WHEN few THEN 'too_few_words' WHEN repeated THEN 'repeated_windows' WHEN symbols THEN 'too_many_symbols'
+              WHEN lengths THEN 'word_length' END AS rule FROM ruled),
+marked AS (SELECT *, CASE WHEN n_hits = 1 THEN rule END AS only_rule FROM named)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, few OR repeated AS base_failed, n_hits = 0 AS kept, only_rule,
+       CASE WHEN only_rule IS NOT NULL THEN count(*) OVER (PARTITION BY only_rule) END::BIGINT AS freed_without
+FROM marked
+"""
+)
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ledger = quality.rule_ledger(_table(spark, sf_dir, "documents"))
-    return ledger.select(
+    # The ledger is written once; verdicts and ablations are read from its bits.
+    ledger = cut_lineage(quality.rule_ledger(_table(spark, sf_dir, "documents")))
+    return quality.with_ablations(ledger, quality.POLICY_1).select(
         "doc_id",
         *quality.MEASURES,
         quality.fails(quality.BASE).alias("base_failed"),
         (~quality.fails(quality.POLICY_1)).alias("kept"),
+        "only_rule",
+        "freed_without",
     )
 
 

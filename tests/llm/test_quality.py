@@ -46,3 +46,16 @@ def test_odd_rows_policies_and_ablations(spark, odd, empty):
 def test_bits_are_distinct_and_policies_name_known_rules():
     assert len({r.bit for r in quality.RULES}) == len(quality.RULES)
     assert quality.BASE.mask == 0b11 and quality.POLICY_2.mask > quality.POLICY_1.mask
+
+
+def test_each_rejection_by_one_rule_names_it(odd, empty):
+    ledger = quality.rule_ledger(odd).cache()
+    policy = quality.POLICY_2
+    bits = {1 << r.bit: r.name for r in quality.RULES}
+    report = {a["rule"]: a["n_failed"] - a["n_failed_without"] for a in quality.ablations(ledger, policy).collect()}
+    rows = quality.with_ablations(ledger, policy).collect()
+    assert len(rows) == len(odd_rows()) and any(r["only_rule"] for r in rows)
+    for r in rows:
+        name = bits.get(r["failed"] & policy.mask)
+        assert (r["only_rule"], r["freed_without"]) == ((name, report[name]) if name else (None, None))
+    assert quality.with_ablations(quality.rule_ledger(empty), policy).count() == 0
