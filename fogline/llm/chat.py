@@ -76,6 +76,30 @@ def encode(tokenizer, formatted: str) -> Encoded:
     return Encoded(np.array(got.ids, np.int32), offsets[:, 0], offsets[:, 1])
 
 
+def token_lengths(tokenizer) -> np.ndarray:
+    """Bytes of each token: a byte-level vocabulary writes one character per byte, and the markers are plain ASCII."""
+    return np.array([len(tokenizer.id_to_token(i) or "") for i in range(tokenizer.get_vocab_size(with_added_tokens=True))], np.int64)
+
+
+def encode_batch(tokenizer, lengths: np.ndarray, texts: list[str]) -> list[Encoded]:
+    """As ``encode`` for many texts, with offsets from the tokens' bytes; a text whose bytes do not add up is encoded by itself."""
+    found = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    out = []
+    for text, listed in zip(texts, found):
+        ids = np.fromiter(listed, np.int32, len(listed))
+        ends = np.cumsum(lengths[ids])
+        data = np.frombuffer(text.encode(), np.uint8)
+        if len(data) != (ends[-1] if len(ends) else 0):
+            out.append(encode(tokenizer, text))
+        elif len(data) == len(text):
+            out.append(Encoded(ids, ends - lengths[ids], ends))
+        else:
+            # The character of each byte; a token that holds part of one covers all of it.
+            character = np.cumsum((data & 0xC0) != 0x80) - 1
+            out.append(Encoded(ids, character[ends - lengths[ids]], character[ends - 1] + 1))
+    return out
+
+
 def loss_mask(tokens: Encoded, spans: list[tuple[str, int, int]], trained: frozenset[str]) -> np.ndarray:
     """True for tokens inside the text of a trained role."""
     starts = np.array([s for _, s, _ in spans], np.int64)
@@ -93,17 +117,36 @@ def masked_text(formatted: str, starts: np.ndarray, ends: np.ndarray, mask: np.n
 
     Tokens that are parts of one character share it; runs of touching tokens are unescaped as one.
     """
-    parts, at, run = [], None, 0
-    for s, e in zip(starts[mask].tolist(), ends[mask].tolist()):
-        if at is not None and s <= run:
-            run = max(run, e)
-            continue
-        if at is not None:
-            parts.append(unescape(formatted[at:run]))
-        at, run = s, e
-    if at is not None:
-        parts.append(unescape(formatted[at:run]))
-    return "".join(parts)
+    s, e = starts[mask], ends[mask]
+    if not len(s):
+        return ""
+    # A run ends where the next token begins beyond all that came before.
+    reach = np.maximum.accumulate(e)
+    first = np.flatnonzero(np.concatenate([[True], s[1:] > reach[:-1]]))
+    last = np.concatenate([first[1:] - 1, [len(s) - 1]])
+    return "".join(unescape(formatted[a:b]) for a, b in zip(s[first].tolist(), reach[last].tolist()))
+
+
+def _turns_of(column: pa.ListArray) -> Iterator[list[tuple[str | None, str | None]]]:
+    """(role, text) of the turns of each row."""
+    flat = column.flatten()
+    pairs = list(zip(flat.field("role").to_pylist(), flat.field("text").to_pylist()))
+    ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False)).tolist()
+    for start, end in zip([0, *ends], ends):
+        yield pairs[start:end]
+
+
+def _lists(parts: list[np.ndarray], kind) -> pa.ListArray:
+    """Arrays as one list column, without a Python object per entry."""
+    offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts).astype(kind)))
+
+
+def _arrays_of(column: pa.ListArray) -> list[np.ndarray]:
+    """The lists of a column as numpy arrays."""
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False)).tolist()
+    return [flat[start:end] for start, end in zip([0, *ends], ends)]
 
 
 def format_conversations(
@@ -121,24 +164,20 @@ def format_conversations(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load_tokenizer(vocabulary.value)
+        lengths = token_lengths(tokenizer)
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.slice(at, 256)
-                texts, ids, starts, ends, masks = [], [], [], [], []
-                for listed in part.column("turns").to_pylist():
-                    formatted, spans = render((t["role"], t["text"]) for t in listed)
-                    tokens = encode(tokenizer, formatted)
-                    texts.append(formatted)
-                    ids.append(tokens.ids)
-                    starts.append(tokens.starts.astype(np.int32))
-                    ends.append(tokens.ends.astype(np.int32))
-                    masks.append(loss_mask(tokens, spans, roles))
+                rendered = [render(t) for t in _turns_of(part.column("turns"))]
+                texts = [formatted for formatted, _ in rendered]
+                tokens = encode_batch(tokenizer, lengths, texts)
+                masks = [loss_mask(t, spans, roles) for t, (_, spans) in zip(tokens, rendered)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("conv_id"),
                         pa.array(texts, pa.string()),
-                        *(pa.array(x, pa.list_(pa.int32())) for x in (ids, starts, ends)),
-                        pa.array(masks, pa.list_(pa.bool_())),
+                        *(_lists([getattr(t, c) for t in tokens], np.int32) for c in ("ids", "starts", "ends")),
+                        _lists(masks, bool),
                     ],
                     ["conv_id", "formatted", "token_ids", "token_starts", "token_ends", "loss_mask"],
                 )
@@ -160,21 +199,17 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.to_pylist()
-            turns = [parse(r["formatted"]) for r in rows]
-            loss = [
-                masked_text(
-                    r["formatted"], np.array(r["token_starts"], np.int64), np.array(r["token_ends"], np.int64), np.array(r["loss_mask"], bool)
-                )
-                for r in rows
-            ]
+            texts = batch.column("formatted").to_pylist()
+            turns = [parse(t) for t in texts]
+            columns = (_arrays_of(batch.column(c)) for c in ("token_starts", "token_ends", "loss_mask"))
+            loss = [masked_text(text, starts, ends, mask) for text, starts, ends, mask in zip(texts, *columns)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("conv_id"),
                     pa.array([len(t) for t in turns], pa.int64()),
                     pa.array(["".join(f"{r}\n{x}\n" for r, x in t) for t in turns], pa.string()),
                     pa.array(loss, pa.string()),
-                    pa.array([len(r["formatted"]) for r in rows], pa.int64()),
+                    pa.array([len(t) for t in texts], pa.int64()),
                 ],
                 ["conv_id", "n_turns", "turns_text", "loss_text", "formatted_chars"],
             )

@@ -28,6 +28,19 @@ def test_round_trip_and_mask(turns):
             assert "<|" not in formatted[start:end]
 
 
+LENGTHS = chat.token_lengths(TOKENIZER)
+
+
+@given(st.lists(st.one_of(TEXT, st.text(max_size=40)), max_size=6))
+@settings(max_examples=300, deadline=None)
+def test_offsets_from_bytes_are_the_tokenizers(texts):
+    rendered = [chat.render([("user", t)])[0] for t in texts] + texts
+    for text, got in zip(rendered, chat.encode_batch(TOKENIZER, LENGTHS, rendered)):
+        want = chat.encode(TOKENIZER, text)
+        assert got.ids.tolist() == want.ids.tolist()
+        assert got.starts.tolist() == want.starts.tolist() and got.ends.tolist() == want.ends.tolist()
+
+
 def test_odd_conversations(spark):
     schema = "conv_id long, turn long, role string, text string, formatted string, turns string, loss_mask string"
     rows = [
