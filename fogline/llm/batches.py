@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,3 +35,21 @@ def longs(batch: pa.RecordBatch, column: str, null: int) -> np.ndarray:
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """A text column as Python strings, NULL as the empty one."""
     return pc.fill_null(batch.column(column), "").to_pylist()
+
+
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` that gives what it no longer uses back to the machine when its task ends.
+
+    Spark's workers live on from task to task, and what one kind of task has freed counts as theirs until it is given back.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return whole

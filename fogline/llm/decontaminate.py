@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fogline.llm.batches import slices
+from fogline.llm.batches import slices, tidied
 from fogline.llm.words import mix, shingles, utf8, word_bounds, word_hashes
 
 WIDTH = 5
@@ -183,7 +183,7 @@ def _totals(benchmark: DataFrame) -> Totals:
 
     sums = (
         benchmark.select("text")
-        .mapInArrow(run, "kind int, value long, items long")
+        .mapInArrow(tidied(run), "kind int, value long, items long")
         .groupBy("kind", "value")
         .agg(F.sum("items").alias("items"))
         .where((F.col("items") >= 2) | (F.col("kind") == size))
@@ -366,7 +366,7 @@ def _search_block(spark: SparkSession, docs: DataFrame, block: ItemBlock, totals
                 )
 
     schema = "doc_id long, item_id long, start_word long, n_words long, similarity double"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidied(run), schema)
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.75) -> DataFrame:
@@ -410,5 +410,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float =
                     clean[[f[0] for f in search(known, part.column("text"), threshold)]] = False
                     yield part.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(tidied(run), docs.schema)
     return docs

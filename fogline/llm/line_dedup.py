@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fogline.llm import mphf
-from fogline.llm.batches import longs, slices, texts
+from fogline.llm.batches import longs, slices, texts, tidied
 from fogline.session import cut_lineage
 
 #: No more than this many lines can each hold a HEAVY-th of all occurrences.
@@ -62,7 +62,7 @@ def _long_lines(docs: DataFrame, min_chars: int) -> DataFrame:
                     ["hi", "lo", "doc_id"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "hi long, lo long, doc_id long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidied(run), "hi long, lo long, doc_id long")
 
 
 def _shard_of(hi: np.ndarray, n_shards: int) -> np.ndarray:
@@ -121,7 +121,7 @@ def _build_shards(counts: DataFrame, n_shards: int, min_docs: int, heavy_share:
         .sortWithinPartitions("shard")
         .select("shard", "hi", "lo", "n", "keeper")
         .mapInArrow(
-            run,
+            tidied(run),
             "shard int, levels binary, prints binary, seen binary, keepers binary, total long, "
             "heavy array<struct<hi:long,lo:long,n:long,keeper:long>>",
         )
@@ -169,7 +169,7 @@ def _probe(lines: DataFrame, shards: DataFrame, n_shards: int, min_docs: int) ->
         asked.unionByName(arrays)
         .repartition("shard")
         .sortWithinPartitions("shard", "kind")
-        .mapInArrow(run, "doc_id long, hi long, lo long")
+        .mapInArrow(tidied(run), "doc_id long, hi long, lo long")
     )
 
 
@@ -209,7 +209,7 @@ def _apply(docs: DataFrame, lost: DataFrame, heavy: dict[bytes, int], min_chars:
                     [*columns, "n_lines", "n_dropped"],
                 )
 
-    return both.mapInArrow(run, f"{out}, n_lines long, n_dropped long")
+    return both.mapInArrow(tidied(run), f"{out}, n_lines long, n_dropped long")
 
 
 def dedup_lines(
@@ -246,5 +246,5 @@ def dedup_lines(
             mask[near] = [struct.pack("<qq", a, b) in known.value for a, b in zip(hi[near].tolist(), lo[near].tolist())]
             yield batch.filter(pa.array(~mask)) if mask.any() else batch
 
-    rest = lines.mapInArrow(routed, "hi long, lo long, doc_id long") if heavy else lines
+    rest = lines.mapInArrow(tidied(routed), "hi long, lo long, doc_id long") if heavy else lines
     return _apply(docs, _probe(rest, shards, n_shards, min_docs), heavy, min_chars, list(carry))

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fogline.llm.batches import slices
+from fogline.llm.batches import slices, tidied
 from fogline.session import cut_lineage
 
 #: Texts are encoded in slices of about this many bytes, new words so many at a time or as one text; a worker remembers so many words.
@@ -204,10 +204,9 @@ def pack_documents(docs: DataFrame, vocabulary_file: str, capacity: int = 4096,
         for batch in batches:
             for rows in slices(batch, limit=TEXT_BYTES):
                 yield _pieces(rows, encoder, ranks, part, capacity, end_id)
-        pa.default_memory_pool().release_unused()
 
     schema = "doc_id long, piece int, start long, length int, tokens binary, part int, nth long"
-    pieces = cut_lineage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, schema))
+    pieces = cut_lineage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidied(cut), schema))
     counted = cut_lineage(pieces.groupBy("part", "length").agg((F.max("nth") + 1).alias("n")))
     # At most one count per length.
     counts = {r["length"]: r["n"] for r in counted.groupBy("length").agg(F.sum("n").alias("n")).collect()}
@@ -232,7 +231,7 @@ def pack_documents(docs: DataFrame, vocabulary_file: str, capacity: int = 4096,
             )
 
     return pieces.join(before, ["part", "length"]).mapInArrow(
-        place, "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long"
+        tidied(place), "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long"
     )
 
 

@@ -24,9 +24,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fogline.llm.batches import slices, texts
+from fogline.llm.batches import slices, texts, tidied
 
 SAMPLE = 10_000
+#: Different terms that a task counts before it hands them on.
+COUNTED = 1 << 17
 SUPPORT, LEAST_DOCS = 0.005, 3
 #: A term's weight is the log ratio of the two rates; smaller ones are left out.
 LEAST_WEIGHT = 2.5
@@ -143,18 +145,24 @@ def _count_terms(read: DataFrame, wanted: set[str] | None) -> DataFrame:
     """(term, n): documents per term; only ``wanted`` terms if given."""
     known = None if wanted is None else read.sparkSession.sparkContext.broadcast(wanted)
 
+    def as_batch(count: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], ["term", "n"]
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, limit=16 << 20):
+            for part in slices(batch):
                 count: Counter = Counter()
                 for text in texts(part):
                     found = terms_of(text)
                     count.update(found if known is None else found & known.value)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], ["term", "n"]
-                )
+                    if len(count) >= COUNTED:
+                        yield as_batch(count)
+                        count.clear()
+                yield as_batch(count)
 
-    return read.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    return read.select("text").mapInArrow(tidied(run), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
 def learn(docs: DataFrame, labels: DataFrame, may_learn: Column, sample: int = SAMPLE) -> Lexicon:
@@ -204,7 +212,7 @@ def _features(read: DataFrame, lexicon: Lexicon) -> DataFrame:
                 [pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy()), batch.column("toxic")], ["x", "y", "toxic"]
             )
 
-    return read.select("text", "toxic").mapInArrow(run, "x double, y double, toxic int")
+    return read.select("text", "toxic").mapInArrow(tidied(run), "x double, y double, toxic int")
 
 
 def score_toxicity(docs: DataFrame, lexicon: Lexicon, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -228,4 +236,4 @@ def score_toxicity(docs: DataFrame, lexicon: Lexicon, carry: tuple[str, ...] = (
                     [*names, "score", "predicted"],
                 )
 
-    return read.mapInArrow(run, schema)
+    return read.mapInArrow(tidied(run), schema)
