@@ -6,6 +6,7 @@ Each stage is one operator of ``fogline.llm`` on all that the stage before kept,
 from __future__ import annotations
 
 import uuid
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,35 +18,63 @@ from fogline.llm.line_dedup import dedup_lines
 from fogline.llm.mixing import mix_sources
 from fogline.session import ensure_checkpoint_dir
 
+#: Rows that Spark hands to Python at a time: texts are long, and a batch is held on both sides.
+BATCH_ROWS = "1000"
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _stage(function):
+    """A stage whose texts travel in batches of BATCH_ROWS."""
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        return function(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@_stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below the threshold of a lexicon learned from the labels outside the held-out third."""
+    """Documents that score below the threshold of a lexicon learned from the labels outside the held-out third.
+
+    NULL and empty texts have no hits and stay; rows without doc_id are scored but never learned from. All stages treat repeated rows as rows
+    of their own, return the columns of documents (the last one those of ``mix_sources``) and leave other columns out; an empty table stays empty.
+    """
     learn_from = F.crc32(F.col("doc_id").cast("string")) % 3 != 1
     lexicon = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), learn_from)
     scored = toxicity.score_toxicity(docs, lexicon, carry=COLUMNS[1:])
     return scored.where("predicted = 0").select(*COLUMNS)
 
 
+@_stage
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without long lines that at least 5 of them share, but for the one that keeps them."""
+    """Documents without long lines that at least 5 of them share, but for the one that keeps them.
+
+    A NULL text comes back empty; a NULL doc_id counts as the smallest, so it keeps no line that another document holds.
+    """
     kept = dedup_lines(docs, min_chars=40, min_docs=5, carry=("lang", "source"))
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+@_stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies: the one with the smallest doc_id, NULL last.
+
+    Texts without words (NULL, empty, blank) are linked with nothing and stay.
+    """
     return keep_one_of_each(docs.select(*COLUMNS))
 
 
+@_stage
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark passages."""
+    """Documents without benchmark passages, as whole documents; NULL and empty texts hold none and stay."""
     return drop_contaminated(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), threshold=0.75)
 
 
+@_stage
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words of each document the mix takes."""
+    """How many words of each document the mix takes; a NULL source is a source like any other, a NULL text has no words."""
     return mix_sources(docs, weights=(5, 2, 1), share=1.5, max_repeats=2, seed=0)
 
 
