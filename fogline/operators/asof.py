@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fogline.operators.scan import time_segment
+from fogline.session import cut_lineage
 
 _ALL = Window.unboundedPreceding
 _FAR = Window.unboundedFollowing
 
 
 #: Bits of the number of segments under one wider segment; seconds that times may span, ten thousand years.
-_SIBLINGS, _SPAN = 10, 320_000_000_000
+_SIBLINGS, _SPAN = 18, 320_000_000_000
 
 
 def _wider_levels(keys: Sequence[str], segment_seconds: int) -> int:
@@ -168,9 +169,9 @@ def asof_nearest(
 
 
 
-# Interval cover: base-8 blocks of microseconds; seventeen levels span more than 70 years.
-_BASE = 8
-_LEVELS = 17
+# Interval cover: base-32 blocks of microseconds; eleven levels span more than 1,000 years.
+_BASE = 32
+_LEVELS = 11
 
 
 def _floor_div(c: Column, n: int) -> Column:
@@ -184,7 +185,7 @@ def _ceil_div(c: Column, n: int) -> Column:
 def _covering_blocks(start_us: Column, end_us: Column, levels: int) -> Column:
     """Blocks (level, number) that tile the closed range [start, end] exactly.
 
-    A level contributes what the next coarser level cannot cover: at most seven blocks on
+    A level contributes what the next coarser level cannot cover: at most 31 blocks on
     either side.
     """
     none = F.array().cast("array<struct<level:int,block:bigint>>")
@@ -255,7 +256,8 @@ def interval_nearest(
 ) -> DataFrame:
     """Match every point to one interval.
 
-    No job runs here. Segments are short, so points of one hour are spread over a few hundred windows.
+    One job runs here, which pins every point's neighbours. Segments are short, so points of one hour are spread over a few
+    hundred windows, and no window holds all rows.
 
     Candidates satisfy ``start - before <= ts <= end + after``; the one whose start is nearest
     wins, the first listed on ties (confidence 'high'). With no candidate the nearest start
@@ -276,8 +278,9 @@ def interval_nearest(
         F.unix_micros("__start").alias("__from_us"),
         (F.unix_micros("__end") + F.lit(after_seconds * 1_000_000)).alias("__to_us"),
     )
-    around = asof_candidates(
-        points, packed, [], ts, "__start", ["__listed"], segment_seconds, same_ts="first"
+    # Used twice below: pinned once instead of computed again within each use.
+    around = cut_lineage(
+        asof_candidates(points, packed, [], ts, "__start", ["__listed"], segment_seconds, same_ts="first")
     )
     us = F.unix_micros(ts)
     # Usually the newest start is still open; only the other points need the search.
