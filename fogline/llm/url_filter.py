@@ -2,9 +2,10 @@
 
 Method: trees are trained on labelled URLs, on lexical features only: lengths, path depth, digit ratio, character entropy,
 number of parameters, hyphens, host parts, and statistics of the host's suffix (how common it is and its share of blocked URLs
-among the labelled ones, drawn to the overall share). Labels are the rules' own verdicts unless others are given. Everything is in
-DataFrame operations and Spark's tree learner, so training is spread like any other job. Suffixes are pre-aggregated; the
-statistics come back by a join whose sides Spark sizes at run time.
+among the other labelled ones, drawn to the overall share: a URL's own label is never part of its features). Labels are the rules' own
+verdicts unless others are given. Everything is in DataFrame operations and Spark's tree learner, so training is spread like any other
+job. Suffixes are pre-aggregated; the statistics come back by a join whose sides Spark sizes at run time. The features are written
+once, so URLs are read twice (suffixes, features) and every round of the trees reads numbers.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fogline.session import cut_lineage
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TREES, DEPTH, SEED = 10, 4, 7
 #: Weight of the overall share in a suffix's share of blocked URLs.
@@ -101,16 +104,24 @@ def lexical_features(pages: DataFrame) -> DataFrame:
     )
 
 
-def suffix_statistics(featured: DataFrame) -> DataFrame:
-    """(suffix, suffix_common, suffix_blocked) from all URLs and the labelled ones (``blocked`` 0, 1 or NULL)."""
+def suffix_statistics(featured: DataFrame) -> tuple[DataFrame, float]:
+    """(suffix, urls, labelled, bad) over all URLs and the labelled ones (``blocked`` 0, 1 or NULL), and the share of blocked ones overall."""
     per = featured.groupBy("suffix").agg(
         F.count("*").alias("urls"), F.count("blocked").alias("labelled"), F.coalesce(F.sum("blocked"), F.lit(0)).alias("bad")
     )
     overall = per.agg((F.sum("bad") / F.greatest(F.sum("labelled"), F.lit(1))).alias("share")).first()["share"] or 0.0
-    return per.select(
-        F.col("suffix").alias("__suffix"),
-        F.log1p("urls").alias("suffix_common"),
-        ((F.col("bad") + PRIOR * overall) / (F.col("labelled") + PRIOR)).alias("suffix_blocked"),
+    return per.withColumnRenamed("suffix", "__suffix"), overall
+
+
+def with_suffixes(featured: DataFrame) -> DataFrame:
+    """``featured`` with suffix_common and suffix_blocked; a labelled URL does not count itself."""
+    per, overall = suffix_statistics(featured)
+    own, one = F.coalesce("blocked", F.lit(0)), F.col("blocked").isNotNull().cast("int")
+    return featured.join(per, F.col("suffix") == F.col("__suffix")).withColumns(
+        {
+            "suffix_common": F.log1p("urls"),
+            "suffix_blocked": (F.col("bad") - own + PRIOR * overall) / (F.col("labelled") - one + PRIOR),
+        }
     )
 
 
@@ -128,9 +139,10 @@ def judge_urls(pages: DataFrame, rules: list[UrlRule], labels: Column | None = N
     ruled = apply_rules(read, rules)
     learned = F.when(F.col("rule_verdict") == BLOCK, 1).when(F.col("rule_verdict") == ALLOW, 0)
     featured = lexical_features(ruled.withColumn("blocked", learned if labels is None else F.col("given")))
-    suffixes = suffix_statistics(featured)
-    known = featured.join(suffixes, F.col("suffix") == F.col("__suffix"))
-    found = {r["blocked"] for r in featured.where("blocked IS NOT NULL").select("blocked").distinct().collect()}
+    known = cut_lineage(
+        with_suffixes(featured).select("page_id", "host", "path", "rule", "rule_verdict", "blocked", *(F.col(n).cast("double").alias(n) for n in NUMBERS))
+    )
+    found = {r["blocked"] for r in known.where("blocked IS NOT NULL").select("blocked").distinct().collect()}
     if found == {0, 1}:
         ready = VectorAssembler(inputCols=list(NUMBERS), outputCol="features").transform(known)
         trees = GBTClassifier(labelCol="blocked", featuresCol="features", maxIter=TREES, maxDepth=DEPTH, seed=SEED)
