@@ -212,3 +212,78 @@ def test_building_an_assignment_starts_no_job(spark, dim):
         assert len(tracker.getJobIdsForGroup("building")) == 0
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_edges_are_parsed_as_in_spark(spark):
+    import numpy as np
+
+    texts = [t for _, _, t in DIM] + [
+        " polygon((0 0,1 0 ,1 1, 0 0)) ", "POLYGON ((0 0, 1 0, 1 1, 0 0), (x 1, 2 2, 3 3, x 1))", "POLYGON ((0 0 9, 1e1 0 9, 1 -1.5 9, 0 0 9))",
+        "POLYGON EMPTY", "", "POINT (1 2)", "POLYGON ((0 0, 1 0, 1 1, 0 1))", "MULTIPOLYGON (((0 0, 1 0, 1 1, 0 0)),((5 5, 6 5, 6 6, 5 5)))",
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id bigint, geometry string")
+    known = {r["id"]: [tuple(e) for e in r["edges"]] for r in spatial.polygon_edges(df).collect()}
+    for i, text in enumerate(texts):
+        edges = spatial.edges_of(text)
+        assert (None if edges is None else [tuple(e) for e in edges.tolist()]) == known.get(i), text
+    assert spatial.edges_of(None) is None and np.asarray(spatial.edges_of(SQUARE)).shape == (4, 4)
+
+
+def test_cells_are_cut_only_where_edges_are():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    angle = np.sort(rng.uniform(0, 2 * np.pi, 4000))
+    ring = np.column_stack([np.cos(angle) * (1 + 0.2 * np.sin(9 * angle)), np.sin(angle)])
+    edges = np.hstack([ring, np.roll(ring, -1, axis=0)])
+    count, kept = {}, {}
+    for cell in (0.02, 0.005, 0.001):
+        cells = list(spatial.cut_polygon(edges, cell))
+        count[cell] = len(cells)
+        kept[cell] = sum(len(c.near) + len(c.turns) for c in cells)
+        places = {(c.level, c.cx, c.cy) for c in cells}
+        assert len(places) == len(cells)
+        # No cell lies inside another one.
+        assert not any((up, x // 8 ** (up - level), y // 8 ** (up - level)) in places for level, x, y in places for up in range(level + 1, spatial.LEVELS))
+        assert all(c.level == 0 or len(c.near) <= spatial.FEW_EDGES for c in cells)
+    assert 64 * max(count.values()) + 48 * max(kept.values()) < 4_000_000
+    # A resolution twenty times finer does not give four hundred times the cells.
+    assert count[0.001] < 8 * count[0.02]
+
+
+def test_points_in_a_star_of_many_edges(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    angle = np.linspace(0, 2 * np.pi, 401)[:-1]
+    radius = 1 + 0.5 * np.sin(23 * angle)
+    ring = [(float(r * np.cos(a)), float(r * np.sin(a))) for r, a in zip(radius, angle)]
+    text = "POLYGON ((" + ", ".join(f"{x} {y}" for x, y in [*ring, ring[0]]) + "))"
+    dim = spark.createDataFrame([(3, "star", text), (7, "box", "POLYGON ((-2 -2, 2 -2, 2 2, -2 2, -2 -2))")], "id bigint, name string, geometry string")
+    points = [(i, *map(float, rng.uniform(-2.2, 2.2, 2))) for i in range(500)] + [(1000 + i, x, y) for i, (x, y) in enumerate(ring[:40])]
+
+    def inside(x, y):
+        odd = False
+        for (x1, y1), (x2, y2) in zip(ring, [*ring[1:], ring[0]]):
+            if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+                odd = not odd
+        return odd
+
+    want = {i: 3 if inside(x, y) else 7 if -2 <= x < 2 and -2 <= y < 2 else None for i, x, y in points}
+    df = spark.createDataFrame(points, "i int, x double, y double")
+    for cell in (0.003, 0.05, 1.0):
+        got = spatial.assign_polygon(df, spatial.build_cover(dim, cell=cell), "x", "y", "pid")
+        assert {r["i"]: r["pid"] for r in got.collect()} == want
+
+
+def test_covers_are_kept_with_their_dimensions(spark, dim, tmp_path):
+    points = spark.createDataFrame([(1, 5.0, 2.0), (2, 99.0, 99.0), (3, 7.0, 7.0), (4, None, 1.0)], "i int, long double, lat double")
+    spatial.write_cover(dim, str(tmp_path / "cover"), cell=0.5)
+    cover = spatial.read_cover(spark, str(tmp_path / "cover"))
+    assert cover.cell == 0.5 and cover.bytes == spatial.build_cover(dim, cell=0.5).bytes
+    kept = spatial.assign_boundaries(points, dim, dim, covers=(cover, cover))
+    made = spatial.assign_boundaries(points, dim, dim, cell=0.5)
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, made.collect()))
+    spatial.write_cover(dim.limit(0), str(tmp_path / "none"))
+    none = spatial.assign_polygon(points, spatial.read_cover(spark, str(tmp_path / "none")), "long", "lat", "pid")
+    assert none.where("pid IS NOT NULL").count() == 0
