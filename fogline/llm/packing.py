@@ -32,6 +32,8 @@ from fogline.session import cut_lineage
 #: Texts are encoded in slices of about this many bytes, new words so many at a time or as one text; a worker remembers so many words.
 TEXT_BYTES, WORDS, TOGETHER, REMEMBERED = 8 << 20, 1 << 12, 1 << 8, 1 << 19
 ID_BYTES = array("I").itemsize
+#: Pieces of one task and length that are dealt to one place.
+TOGETHER_PIECES = 128
 
 #: Words whose letters all lie below U+0100 have one normal form, and are the same in lower case.
 _PLAIN = r"^[\x{00}-\x{ff}]*$"
@@ -213,7 +215,14 @@ def pack_documents(docs: DataFrame, vocabulary_file: str, capacity: int = 4096,
     places = context.broadcast(Places(plan_sequences(counts, capacity)))
     # One row per task and length: the window of a length grows with the number of tasks only.
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = counted.select("part", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    before = counted.select(
+        "part",
+        "length",
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
+        # A task may have very many pieces of one length, as whole ones of long documents: they meet in TOGETHER_PIECES at most.
+        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / TOGETHER_PIECES))).alias("bucket"),
+    )
+    spread = pieces.withColumn("bucket", F.floor(F.col("nth") / TOGETHER_PIECES))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -230,7 +239,7 @@ def pack_documents(docs: DataFrame, vocabulary_file: str, capacity: int = 4096,
                 ["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"],
             )
 
-    return pieces.join(before, ["part", "length"]).mapInArrow(
+    return spread.join(before, ["part", "length", "bucket"]).mapInArrow(
         tidied(place), "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long"
     )
 
