@@ -45,11 +45,12 @@ class CommitConflict(RuntimeError):
 
 @dataclass(frozen=True)
 class State:
-    """One state of a table: its number, the manifest that lists its files, its columns."""
+    """One state of a table: its number, the manifest that lists its files, its columns, and the layout its files were written in."""
 
     number: int
     manifest: str
     schema: T.StructType
+    layout: tuple[tuple[str, ...], str | None]
 
 
 class FileTable:
@@ -85,17 +86,18 @@ class FileTable:
         # One small document.
         text = self.spark.read.text(f"{self.path}/versions/{number:012d}.json", wholetext=True).first()[0]
         said = json.loads(text)
-        return State(number, said["manifest"], T.StructType.fromJson(said["schema"]))
+        return State(number, said["manifest"], T.StructType.fromJson(said["schema"]), (tuple(said["keys"]), said["partition"]))
 
     def exists(self) -> bool:
         return bool(self.versions())
 
     def files(self, state: State) -> DataFrame:
         """(file, part, n_rows, least, greatest) of a state's files; the key range as structs."""
-        return self.spark.read.schema(self._manifest_type(state.schema)).parquet(f"{self.path}/manifests/{state.manifest}")
+        return self.spark.read.schema(self._manifest_type(state)).parquet(f"{self.path}/manifests/{state.manifest}")
 
-    def _manifest_type(self, schema: T.StructType) -> T.StructType:
-        span = T.StructType([T.StructField(k, schema[k].dataType) for k in self.keys] or [T.StructField("none", T.StringType())])
+    @staticmethod
+    def _manifest_type(state: State) -> T.StructType:
+        span = T.StructType([T.StructField(k, state.schema[k].dataType) for k in state.layout[0]] or [T.StructField("none", T.StringType())])
         fields = [("file", T.StringType()), ("part", T.StringType()), ("n_rows", T.LongType()), ("least", span), ("greatest", span)]
         return T.StructType([T.StructField(n, t) for n, t in fields])
 
@@ -174,8 +176,7 @@ class FileTable:
         if state is None:
             raise FileNotFoundError(f"no state at {self.path}")
         files = self.files(state)
-        near = files if not self.keys else files.where(F.col("file").isin(self._near(files, staged)))
-        held = self._rows(state, near)
+        held = self._rows(state, self._near(files, staged) if self.keys else files)
         hits = held.select(*self.keys, FILE).join(staged.select(*self.keys).dropDuplicates(), list(self.keys), "left_semi").select(FILE)
         if also is not None:
             hits = hits.unionByName(also(self._rows(state, files)).select(FILE))
@@ -183,8 +184,8 @@ class FileTable:
         old = self._rows(state, hits).drop(FILE)
         return self._commit(state, merge(old, staged), files.join(hits, "file", "left_anti"))
 
-    def _near(self, files: DataFrame, staged: DataFrame) -> list[str]:
-        """Names of the files whose key range meets a range of staged keys; the ranges are KEY_RANGES at most."""
+    def _near(self, files: DataFrame, staged: DataFrame) -> DataFrame:
+        """The files whose key range meets a range of staged keys; the ranges are KEY_RANGES at most."""
         whole = staged.select(*self.keys).dropna()
         spans = (
             whole.repartitionByRange(KEY_RANGES, *self.keys)
@@ -193,7 +194,7 @@ class FileTable:
             .agg(F.min("k").alias("lo"), F.max("k").alias("hi"))
         )
         meets = (F.col("least") <= F.col("hi")) & (F.col("greatest") >= F.col("lo"))
-        return [r[0] for r in files.join(F.broadcast(spans), meets, "left_semi").select("file").collect()]
+        return files.join(F.broadcast(spans), meets, "left_semi")
 
     def _of_partitions(self, values: Sequence) -> Column:
         known = [_folder_name(F.lit(v)) for v in values if v is not None]
@@ -206,11 +207,14 @@ class FileTable:
         schema = df.schema
         if state is not None and kept is not None and df.schema.fieldNames() != state.schema.fieldNames():
             raise ValueError(f"a change must have the table's columns {state.schema.fieldNames()}, not {schema.fieldNames()}")
+        if state is not None and kept is not None and state.layout != (self.keys, self.partition):
+            raise ValueError(f"the table's files are laid out by {state.layout}, not {(self.keys, self.partition)}")
         self._write(df, f"{self.path}/data/commit={commit}")
         entries = self._entries(commit, schema)
         manifest = entries if kept is None else kept.unionByName(entries)
         manifest.repartition(1 + self._count(kept) // 100_000).write.parquet(f"{self.path}/manifests/{commit}")
-        self._publish(0 if state is None else state.number + 1, {"manifest": commit, "schema": schema.jsonValue()})
+        said = {"manifest": commit, "schema": schema.jsonValue(), "keys": self.keys, "partition": self.partition}
+        self._publish(0 if state is None else state.number + 1, said)
         return 0 if state is None else state.number + 1
 
     @staticmethod

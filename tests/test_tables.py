@@ -167,3 +167,7 @@ def test_append_keeps_columns_and_types(spark, tmp_path):
         table.append(spark.range(1).withColumnRenamed("id", "k"))
     with pytest.raises(ValueError, match="columns"):
         FileTable(spark, table.path, partition="k").replace_partitions(spark.range(1).withColumnRenamed("id", "k"), [1])
+    with pytest.raises(ValueError, match="laid out"):
+        FileTable(spark, table.path, keys=["k"]).append(table.read())
+    FileTable(spark, table.path, keys=["k"]).replace(table.read())
+    assert FileTable(spark, table.path).read().count() == 2
