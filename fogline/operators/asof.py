@@ -65,6 +65,7 @@ def asof_candidates(
     tie_order: Sequence[str],
     segment_seconds: int = 3600,
     same_ts: str = "last",
+    reach_seconds: float | None = None,
 ) -> DataFrame:
     """Left rows plus ``__bwd`` (newest right row not after) and ``__fwd`` (oldest one after).
 
@@ -73,17 +74,26 @@ def asof_candidates(
     duplicate in ``tie_order``, with ``'first'`` both take the first. Times are cut into
     segments; what lies outside a segment reaches it as at most two carry rows, so neither a
     busy key nor a busy period ends up in a single task, and no key is matched pair by pair. Making the frame runs no job.
+
+    ``reach_seconds``: matches farther away do not count and may be missing. If no segment is shorter, every right row goes to
+    the at most three segments in its reach instead, and nothing has to be carried.
     """
     keys = list(keys)
     usable = right.dropna(subset=[*keys, right_ts]) if keys else right.dropna(subset=[right_ts])
-    payload = F.struct(*[F.col(c) for c in usable.columns])
-    tie = F.struct(*tie_order)
-    last_pick = F.max_by if same_ts == "last" else F.min_by
+    # Keys stand beside the payload all the way, so they are no part of it. Where it has an order it is its own rank.
+    held = list(dict.fromkeys([*[c for c in tie_order if c not in keys], *[c for c in usable.columns if c not in keys]]))
+    payload = F.struct(*held)
+    ordered = "map<" not in usable.schema.simpleString()
+    least = F.min(payload) if ordered else F.min_by(payload, F.struct(*tie_order))
+    last = least if same_ts != "last" else F.max(payload) if ordered else F.max_by(payload, F.struct(*tie_order))
     rights = (
         usable.groupBy(*keys, F.col(right_ts).alias("__ts"))
-        .agg(last_pick(payload, tie).alias("__b"), F.min_by(payload, tie).alias("__f"))
+        .agg(last.alias("__b"), least.alias("__f"))
         .withColumn("__seg", time_segment(F.col("__ts"), segment_seconds))
     )
+    if ordered:  # written once where both are the same row
+        rights = rights.withColumn("__f", F.when(~F.col("__f").eqNullSafe(F.col("__b")), F.col("__f")))
+    ahead = F.coalesce("__f", "__b")
     # Only distinct probe times are scanned, so copies of a left row add nothing here.
     lefts = (
         left.dropna(subset=[*keys, left_ts])
@@ -92,26 +102,41 @@ def asof_candidates(
         .withColumn("__seg", time_segment(F.col("__ts"), segment_seconds))
     )
 
-    # Summary per (keys, segment) over both sides: a segment may hold left rows only.
-    ends = (
-        rights.select(*keys, "__seg", "__ts", "__b", "__f")
-        .unionByName(lefts.select(*keys, "__seg"), allowMissingColumns=True)
-        .groupBy(*keys, "__seg")
-        .agg(
-            F.max_by(F.struct("__ts", "__b", "__f"), "__ts").alias("__last"),
-            F.min_by(F.struct("__ts", "__b", "__f"), "__ts").alias("__first"),
+    if reach_seconds is not None and reach_seconds <= segment_seconds:
+        micros, reach = F.unix_micros("__ts"), int(reach_seconds * 1_000_000)
+        at = lambda t: F.floor(t / F.lit(segment_seconds * 1_000_000)).cast("bigint")
+        known = rights.withColumn("__seg", F.explode(F.sequence(at(micros - reach), at(micros + reach))))
+    else:
+        # Summary per (keys, segment) over both sides: a segment may hold left rows only.
+        ends = (
+            rights.select(*keys, "__seg", "__ts", "__b", "__f")
+            .unionByName(lefts.select(*keys, "__seg"), allowMissingColumns=True)
+            .groupBy(*keys, "__seg")
+            .agg(
+                # What comes before a segment is only looked back at, what comes after only ahead.
+                F.max_by(F.struct("__ts", "__b"), "__ts").alias("__last"),
+                F.min_by(F.struct("__ts", ahead.alias("__f")), "__ts").alias("__first"),
+            )
         )
-    )
-    carried = _carried(ends, keys, _wider_levels(keys, segment_seconds))
-    carries = (
-        carried.withColumn("__row", F.explode(F.array("__in", "__out")))
-        .where(F.col("__row").isNotNull())
-        .select(*keys, "__seg", F.col("__row.__ts").alias("__ts"), F.col("__row.__b").alias("__b"), F.col("__row.__f").alias("__f"))
-    )
+        carried = _carried(ends, keys, _wider_levels(keys, segment_seconds))
+        none = F.lit(None).cast(rights.schema["__b"].dataType)
+        carries = (
+            carried.select(
+                *keys,
+                "__seg",
+                F.inline(
+                    F.array(
+                        F.struct(F.col("__in.__ts").alias("__ts"), F.col("__in.__b").alias("__b"), none.alias("__f")),
+                        F.struct(F.col("__out.__ts").alias("__ts"), none.alias("__b"), F.col("__out.__f").alias("__f")),
+                    )
+                ),
+            )
+            .where(F.col("__ts").isNotNull())
+        )
+        known = rights.unionByName(carries)
 
     stream = (
-        rights.unionByName(carries)
-        .withColumn("__kind", F.lit(0))
+        known.withColumn("__kind", F.lit(0))
         .unionByName(lefts.withColumn("__kind", F.lit(1)), allowMissingColumns=True)
     )
     up = Window.partitionBy(*keys, "__seg").orderBy("__ts", "__kind").rowsBetween(_ALL, 0)
@@ -122,12 +147,17 @@ def asof_candidates(
     )
     found = (
         stream.withColumn("__bwd", F.last("__b", ignorenulls=True).over(up))
-        .withColumn("__fwd", F.last("__f", ignorenulls=True).over(down))
+        .withColumn("__fwd", F.last(ahead, ignorenulls=True).over(down))
         .where(F.col("__kind") == 1)
         .select(*keys, F.col("__ts").alias(left_ts), "__bwd", "__fwd")
     )
+
+    def whole(c: str) -> Column:
+        parts = [F.col(k) if k in keys else F.col(f"{c}.`{k}`").alias(k) for k in usable.columns]
+        return F.when(F.col(c).isNotNull(), F.struct(*parts))
+
     # One match row per (keys, time): a many-to-one join that adaptive execution can split.
-    return left.join(found, [*keys, left_ts], "left")
+    return left.join(found, [*keys, left_ts], "left").withColumns({c: whole(c) for c in ("__bwd", "__fwd")})
 
 
 def asof_nearest(
@@ -147,7 +177,9 @@ def asof_nearest(
     """
     keys = list(keys)
     usable = left.dropna(subset=[*keys, left_ts])
-    found = asof_candidates(usable, right, keys, left_ts, right_ts, tie_order, segment_seconds)
+    found = asof_candidates(
+        usable, right, keys, left_ts, right_ts, tie_order, segment_seconds, reach_seconds=tolerance_seconds
+    )
     micros = F.unix_micros(left_ts)
     back = micros - F.unix_micros(f"__bwd.{right_ts}")
     ahead = F.unix_micros(f"__fwd.{right_ts}") - micros

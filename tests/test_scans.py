@@ -61,6 +61,21 @@ def test_sampling_on_an_empty_table(spark):
     assert scan.sample_every_k(spark.createDataFrame([], "o int"), ["o"], 3).count() == 0
 
 
+def test_asof_within_reach_carries_nothing(spark):
+    left = spark.createDataFrame([("k", at(i), i) for i in (0, 59, 60, 61, 200)], "k string, lt timestamp, i int")
+    right = spark.createDataFrame([("k", at(i), i, j) for i, j in ((30, 1), (90, 2), (90, 1), (300, 1))], "k string, rt timestamp, n int, m int")
+
+    def found(tolerance):
+        got = asof.asof_nearest(left, right, ["k"], "lt", "rt", tolerance, ["m"], 60)
+        return {r["i"]: (r["n"], r["m"]) for r in got.collect()}, got._jdf.queryExecution().executedPlan().toString()
+
+    near, plan = found(40)
+    assert near == {0: (30, 1), 59: (30, 1), 60: (30, 1), 61: (90, 1), 200: (None, None)}
+    far, carrying = found(100)  # farther than a segment: carried through the summaries
+    assert far == near | {200: (300, 1)}
+    assert plan.count("Exchange hashpartitioning") < carrying.count("Exchange hashpartitioning")
+
+
 @pytest.mark.parametrize("segment_seconds", [30, 3600, 10**7])
 def test_asof_nearest_equals_pandas(spark, segment_seconds):
     rng = random.Random(4)
