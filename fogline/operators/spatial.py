@@ -107,18 +107,22 @@ def _cells_at(level: int, cell: float, cx: np.ndarray, cy: np.ndarray, above: _C
 
 
 def cut_polygon(edges: np.ndarray, cell: float) -> Iterator[_Cell]:
-    """The cells of a polygon, of different sizes, none inside another."""
+    """The cells of a polygon, of different sizes, none inside another.
+
+    No cell is larger than the polygon if a smaller size is at hand, so a point meets the polygons around it and not all of a city.
+    """
     widest = cell * FACTOR ** (LEVELS - 1)
     index = lambda v: int(np.floor(v / widest))
     xs, ys = edges[:, [0, 2]], edges[:, [1, 3]]
     cx, cy = np.meshgrid(np.arange(index(xs.min()), index(xs.max()) + 1), np.arange(index(ys.min()), index(ys.max()) + 1))
+    extent = max(np.ptp(xs), np.ptp(ys))
     whole = _Cell(LEVELS, 0, 0, edges, False, np.zeros(0))
     todo = list(_cells_at(LEVELS - 1, cell, cx.ravel(), cy.ravel(), whole))
     child = np.arange(FACTOR)
     dx, dy = (d.ravel() for d in np.meshgrid(child, child))
     while todo:
         now = todo.pop()
-        if now.level == 0 or len(now.near) <= FEW_EDGES:
+        if now.level == 0 or (len(now.near) <= FEW_EDGES and cell * FACTOR**now.level <= extent):
             yield now
         else:
             todo += _cells_at(now.level - 1, cell, now.cx * FACTOR + dx, now.cy * FACTOR + dy, now)

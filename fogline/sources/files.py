@@ -70,12 +70,14 @@ def parse_json_array(df: DataFrame, text: str, schema: str, ordinal: str = "ordi
     is counted in a column of that name.
     """
     kept = [c for c in df.columns if c != text]
-    document = F.trim(strip_bom(F.col(text)))
+    # Computed once below: the text is looked at three times.
+    document = F.col("__document")
     shape = T.StructType.fromDDL(schema)
     unreadable = F.raise_error(F.concat(F.lit("unreadable JSON document: "), F.substring(document, 1, 60)))
     listed = F.when(document.rlike(r"^\s*\["), F.from_json(document, T.ArrayType(_as_text(shape))))
-    parsed = F.coalesce(listed, F.when(F.col(text).isNotNull(), unreadable))
-    records = df.select(*kept, F.posexplode(parsed).alias(ordinal, "__record"))
+    parsed = F.coalesce(listed, F.when(document.isNotNull(), unreadable))
+    trimmed = df.select(*kept, F.trim(strip_bom(F.col(text))).alias("__document"))
+    records = trimmed.select(*kept, F.posexplode(parsed).alias(ordinal, "__record"))
     return _checked(records, shape, kept, ordinal, rejects)
 
 

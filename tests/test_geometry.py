@@ -287,3 +287,14 @@ def test_covers_are_kept_with_their_dimensions(spark, dim, tmp_path):
     spatial.write_cover(dim.limit(0), str(tmp_path / "none"))
     none = spatial.assign_polygon(points, spatial.read_cover(spark, str(tmp_path / "none")), "long", "lat", "pid")
     assert none.where("pid IS NOT NULL").count() == 0
+
+
+def test_a_small_polygon_shares_its_cells_with_its_neighbours_only(spark):
+    squares = [(i, -122.5 + 0.0115 * (i % 12), 37.70 + 0.0115 * (i // 12)) for i in range(144)]
+    wkt = lambda x, y: f"POLYGON (({x} {y}, {x + 0.0115} {y}, {x + 0.0115} {y + 0.0115}, {x} {y + 0.0115}, {x} {y}))"
+    frame = spark.createDataFrame([(i, wkt(x, y)) for i, x, y in squares], "id bigint, geometry string")
+    cells = spatial.build_cells(frame).selectExpr("size(__candidates) AS n").collect()
+    assert max(r["n"] for r in cells) <= 9 and len(cells) < 144 * 16  # 144 in one cell before
+    points = spark.createDataFrame([(i, x + 0.004, y + 0.007) for i, x, y in squares], "i bigint, long double, lat double")
+    found = spatial.assign_polygon(points, spatial.plain_cover(frame), "long", "lat", "at").collect()
+    assert all(r["at"] == r["i"] for r in found)

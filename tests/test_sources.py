@@ -363,3 +363,38 @@ def test_boundary_dimension_as_csv(spark, tmp_path):
     writers.write_boundary_dimension(dim, str(tmp_path))
     back = spark.read.option("header", True).schema("id bigint, name string, geometry string").csv(str(tmp_path / "csv"))
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, dim.collect()))
+
+
+def test_a_document_is_cleaned_once(spark):
+    from fogline.sources.files import parse_json_array
+
+    df = spark.createDataFrame([(1, '\ufeff [{"a": 1}, {"a": "2"}]')], "f int, d string")
+    parsed = parse_json_array(df, "d", "a bigint")
+    assert [(r["f"], r["ordinal"], r["a"]) for r in parsed.collect()] == [(1, 0, 1), (1, 1, 2)]
+    generated = next(x for x in parsed._jdf.queryExecution().executedPlan().toString().splitlines() if "Generate" in x)
+    assert "from_json" in generated and "trim(" not in generated
+
+
+def test_rental_documents_are_parsed_in_one_snapshot_only(spark):
+    from tests.conftest import SF
+    import workload.catalog  # noqa: F401
+    from workload.registry import callable_for
+
+    plan = callable_for("rental_rebuild")(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    scans = [x for x in plan.splitlines() if "Filter" in x and "o_orderpriority" in x]
+    assert len(scans) == 2
+
+
+def test_feed_files_hold_null_fields(spark):
+    from workload import feeds
+
+    ddl = "l_shipdate timestamp, l_suppkey bigint, l_orderkey bigint, l_partkey bigint, l_linenumber int, l_returnflag string"
+
+    class T:
+        lineitem = spark.createDataFrame([(dt.datetime(2024, 1, 3), None, 7, 4, 2, None)], ddl)
+
+    row = feeds.trip_update_files(T).first()
+    assert (row["agency_id"], str(row["source_date"]), row["blob_order"]) == ("muni", "2024-01-03", None)
+    message = gtfs.feed_message_class()()
+    message.ParseFromString(bytes(row["content"]))
+    assert message.entity[0].trip_update.trip.trip_id == "T7" and message.entity[0].trip_update.stop_time_update[0].stop_sequence == 2

@@ -137,8 +137,8 @@ def _iso(c):
     return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 
 
-def rental_documents(t):
-    """(ordinal base, JSON text). The second listing of a file has no usable history."""
+def rental_documents(t, orders=None):
+    """(ordinal base, JSON text) of all or these orders. The second listing of a file has no usable history."""
     first = F.col("o_orderdate").cast("timestamp")
     key = F.col("o_orderkey")
     after = lambda days: first + F.make_dt_interval(days=F.lit(days))
@@ -192,11 +192,12 @@ def rental_documents(t):
         .when(key % 3 == 1, F.regexp_replace(document, r'"(price|latitude)":([\d.]+)', '"$1":"$2"'))
         .otherwise(document)
     )
-    return t.orders.select((key * 10).alias("file_number"), spelled.alias("document"))
+    orders = t.orders if orders is None else orders
+    return orders.select((key * 10).alias("file_number"), spelled.alias("document"))
 
 
-def raw_rentals(t):
-    parsed = parse_json_array(rental_documents(t), "document", RAW_RENTAL, "position")
+def raw_rentals(t, orders=None):
+    parsed = parse_json_array(rental_documents(t, orders), "document", RAW_RENTAL, "position")
     return parsed.withColumn("ordinal", F.col("file_number") + F.col("position")).drop("file_number", "position")
 
 
@@ -243,8 +244,9 @@ def _brute(points, edges, out):
         FROM e JOIN b USING (point_id) LEFT JOIN n USING (point_id) LEFT JOIN d USING (point_id)""",
 )
 def rental_rebuild(t):
-    raw = raw_rentals(t)
-    inactive, active = raw.where(F.col("propertyType") < "3"), raw.where(F.col("propertyType") >= "3")
+    # Two snapshots, as the source lands them: each document is written into one of them and parsed once.
+    inactive = raw_rentals(t, t.orders.where(F.col("o_orderpriority") < "3"))
+    active = raw_rentals(t, t.orders.where(F.col("o_orderpriority") >= "3"))
     rebuilt = clean.clean_rentals(inactive.unionByName(active), t.neighborhoods, t.police_districts)
     return rebuilt.select(
         "rentcast_id", "listed_date", "removed_date", "price", "neighborhood_id", "police_district_id"
