@@ -21,6 +21,9 @@ _FILE_ARROW = pa.schema(
 )
 
 
+_FILLED = ["blob_order", "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "ship"]
+
+
 def _facts(t):
     """One feed file per lineitem row; the file name carries the ship date."""
     day = F.date_format("l_shipdate", "yyyy-MM-dd")
@@ -42,19 +45,19 @@ def _encode(facts, fill):
         message_class = feed_message_class()
         for batch in batches:
             out = []
-            for row in batch.to_pylist():
+            # Only what a message is made of becomes Python values; the rest of a file stays in its columns.
+            columns = [batch.column(c) for c in _FILLED]
+            values = [c.to_pylist() if c.null_count or pa.types.is_string(c.type) else c.to_numpy().tolist() for c in columns]
+            for row in (dict(zip(_FILLED, v)) for v in zip(*values, strict=True)):
                 feed = message_class()
-                feed.header.gtfs_realtime_version = "2.0"
+                header = feed.header
+                header.gtfs_realtime_version = "2.0"
                 if row["l_partkey"] % 3:
-                    feed.header.timestamp = row["ship"] + row["l_partkey"]
+                    header.timestamp = row["ship"] + row["l_partkey"]
                 fill(feed, row)
-                out.append(
-                    {
-                        **{k: row[k] for k in ("agency_id", "source_date", "blob_order", "blob_name")},
-                        "content": feed.SerializeToString(),
-                    }
-                )
-            yield pa.RecordBatch.from_pylist(out, schema=_FILE_ARROW)
+                out.append(feed.SerializeToString())
+            known = [batch.column(f.name).cast(f.type) for f in _FILE_ARROW if f.name != "content"]
+            yield pa.RecordBatch.from_arrays([*known, pa.array(out, pa.binary())], schema=_FILE_ARROW)
 
     return facts.mapInArrow(run, _FILE)
 
