@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from fogline.functions.temporal import seconds_between
 from fogline.operators.checks import require_columns, require_no_decode_errors, require_rows, require_unique
 from fogline.operators.joins import VEHICLE_COLUMNS, normalise_key_types
 from fogline.operators.keys import CANONICAL_KEY, selective_first
-from fogline.operators.latest import TRIP_UPDATE_COLUMNS
+from fogline.operators.latest import TRIP_UPDATE_COLUMNS, until_last
 from fogline.operators.merge import surrogate_key, upsert_latest
 from fogline.schemas import TRIP_STOP_CONTRACT, TRIP_STOP_PK, project_contract
 from fogline.session import cut_lineage
@@ -27,20 +29,25 @@ def trip_stop_rows(joined: DataFrame) -> DataFrame:
     return typed.select(surrogate_key(CANONICAL_KEY).alias(TRIP_STOP_PK), *TRIP_STOP_CONTRACT)
 
 
-def newest_joined(trip_updates: DataFrame, positions: DataFrame) -> DataFrame:
+def newest_joined(trip_updates: DataFrame, positions: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Newest prediction per key with the newest position of the same key, NULL keys equal.
 
     Both feeds are reduced by the same key, so one grouped pass over their union does what
     two reductions and a left join would: every observation is shuffled at most once, and
-    only after its task has kept one candidate per key and feed.
+    only after its task has kept one candidate per key and feed. ``columns``: which of the feeds' columns are read beside
+    the key, all by default; the others travel only as far as they decide which row is the newest.
     """
     order = {"tu": ["snapshot_ts", "blob_order", "blob_name"], "vp": ["vp_snapshot_ts", "blob_order", "blob_name"]}
     require_columns(trip_updates, [*CANONICAL_KEY, *order["tu"]], "TripUpdates observations")
     require_columns(positions, [*CANONICAL_KEY, *order["vp"]], "VehiclePositions observations")
-    extra = [c for c in VEHICLE_COLUMNS if c in positions.columns]
+    # Both snapshot times are always read: the time between them is part of the result.
+    read = None if columns is None else {*columns, "snapshot_ts", "vp_snapshot_ts"}
+    extra = [c for c in VEHICLE_COLUMNS if c in positions.columns and (read is None or c in read)]
+    predicted = [c for c in TRIP_UPDATE_COLUMNS if read is None or c in read]
 
     def candidate(df: DataFrame, feed: str, columns: list[str]) -> DataFrame:
         rank = list(dict.fromkeys([*order[feed], *columns]))
+        rank = rank if read is None else until_last(rank, read)
         return normalise_key_types(df).select(*CANONICAL_KEY, F.struct(*rank).alias(feed))
 
     known = positions.dropna(subset=["trip_id", "stop_sequence", "vp_snapshot_ts"])
@@ -55,7 +62,7 @@ def newest_joined(trip_updates: DataFrame, positions: DataFrame) -> DataFrame:
     )
     joined = newest.select(
         *CANONICAL_KEY,
-        *[F.col(f"tu.{c}").alias("latest_snapshot_ts" if c == "snapshot_ts" else c) for c in TRIP_UPDATE_COLUMNS],
+        *[F.col(f"tu.{c}").alias("latest_snapshot_ts" if c == "snapshot_ts" else c) for c in predicted],
         *[F.col(f"vp.{c}").alias(c) for c in extra],
     )
     return joined.withColumn(
@@ -63,9 +70,13 @@ def newest_joined(trip_updates: DataFrame, positions: DataFrame) -> DataFrame:
     )
 
 
-def transit_day(trip_updates: DataFrame, positions: DataFrame) -> DataFrame:
-    """Observations of a day -> rows to merge."""
-    return trip_stop_rows(newest_joined(trip_updates, positions))
+def transit_day(trip_updates: DataFrame, positions: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Observations of a day -> rows to merge, or only these ``columns`` of them."""
+    if columns is None:
+        return trip_stop_rows(newest_joined(trip_updates, positions))
+    sources = [TRIP_STOP_CONTRACT[c][1] for c in columns if c in TRIP_STOP_CONTRACT]
+    joined = newest_joined(trip_updates, positions, ["snapshot_ts" if c == "latest_snapshot_ts" else c for c in sources])
+    return trip_stop_rows(joined).select(*columns)
 
 
 def stage_transit_day(trip_update_files: DataFrame, position_files: DataFrame) -> DataFrame:

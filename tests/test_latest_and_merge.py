@@ -93,6 +93,41 @@ def test_latest_vehicle_positions_need_identity_and_time(spark):
     assert {r["vehicle_id"] for r in latest.latest_vehicle_positions(df).collect()} == {"v1", "v2"}
 
 
+def test_narrow_newest_row_is_the_same_row(spark):
+    # Equal up to the last column: which one wins is decided behind the order columns.
+    data = [(1, 5, "a", "x", 1.0), (1, 5, "a", "y", 0.0), (1, 5, "a", "y", 2.0), (1, 4, "z", "z", 9.0), (None, None, "q", None, 3.0), (None, None, "q", "m", None)]
+    df = spark.createDataFrame(data, "k int, o int, p string, v string, w double")
+    whole = latest.latest_per_key(df, ["k"], ["o", "p"])
+    for columns in ([], ["o"], ["p"], ["v"], ["v", "o"], ["w"]):
+        narrow = latest.latest_per_key(df, ["k"], ["o", "p"], columns)
+        assert narrow.columns == ["k", *columns]
+        assert rows(narrow) == rows(whole.select("k", *columns))
+    shuffled = lambda found: found._jdf.queryExecution().optimizedPlan().toString()
+    assert "w#" in shuffled(whole.select("k", "v")) and "w#" not in shuffled(latest.latest_per_key(df, ["k"], ["o", "p"], ["v"])).split("Project")[-2]
+    assert "HashAggregate" in latest.latest_per_key(df, ["k"], ["o", "p"], ["o"])._jdf.queryExecution().executedPlan().toString()
+
+
+def test_narrow_transit_day_equals_the_whole(spark):
+    from fogline.plans import transit
+    from tests.conftest import SF
+    from workload.standins import Tables
+
+    t = Tables(spark, SF)
+    columns = ["trip_stop_id", "stop_id", "latest_snapshot_ts", "vehicle_id", "tu_vp_snapshot_delta_sec"]
+    whole, narrow = transit.transit_day(t.trip_updates, t.vehicle_positions), transit.transit_day(t.trip_updates, t.vehicle_positions, columns)
+    assert rows(narrow) == rows(whole.select(columns))
+    assert "longitude" in str(whole._jdf.queryExecution().optimizedPlan()) and "longitude" not in str(narrow._jdf.queryExecution().optimizedPlan())
+
+
+def test_registered_queries_split_wide_views_finely(spark):
+    from tests.conftest import SF
+    import workload.catalog  # noqa: F401
+    from workload.registry import callable_for
+
+    callable_for("latest_vehicle_positions")(spark, SF)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "16m"
+
+
 def test_keep_last_and_first_per_key(spark):
     df = spark.createDataFrame([(1, 0, "a"), (1, 2, "c"), (1, 1, "b"), (None, 5, "x"), (None, 6, "y")], "k int, o int, v string")
     assert rows(latest.keep_last(df, ["k"], "o").select("k", "v")) == rows(

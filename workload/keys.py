@@ -62,10 +62,7 @@ def dedupe_keep_last(t):
         FROM joined_day""",
 )
 def nullsafe_left_join(t):
-    day = newest_joined(t.trip_updates, t.vehicle_positions)
-    return day.drop(
-        "arrival_time_predicted", "departure_time_predicted", "arrival_delay_sec", "departure_delay_sec"
-    )
+    return newest_joined(t.trip_updates, t.vehicle_positions, ["route_id", "stop_id", "snapshot_ts", *joins.VEHICLE_COLUMNS])
 
 
 @query(
@@ -77,8 +74,8 @@ def nullsafe_left_join(t):
        FROM joined_day""",
 )
 def nullsafe_join_stats(t):
-    updates = latest.latest_trip_updates(t.trip_updates)
-    positions = latest.latest_vehicle_positions(t.vehicle_positions)
+    updates = latest.latest_trip_updates(t.trip_updates, [])
+    positions = latest.latest_vehicle_positions(t.vehicle_positions, ["vehicle_id"])
     return joins.join_stats(updates, positions, joins.join_vehicle_positions(updates, positions))
 
 
@@ -114,8 +111,10 @@ OUTER_ROWS = f"""
 
 def _outer_rows(t):
     return joins.outer_join_rows(
-        latest.latest_trip_updates(t.trip_updates).select(*BASIC, "route_id", "latest_snapshot_ts"),
-        latest.latest_vehicle_positions(t.vehicle_positions).select(*BASIC, "route_id", "vp_snapshot_ts", "vehicle_id"),
+        latest.latest_trip_updates(t.trip_updates, ["route_id", "latest_snapshot_ts"]).select(*BASIC, "route_id", "latest_snapshot_ts"),
+        latest.latest_vehicle_positions(t.vehicle_positions, ["route_id", "vp_snapshot_ts", "vehicle_id"]).select(
+            *BASIC, "route_id", "vp_snapshot_ts", "vehicle_id"
+        ),
         BASIC,
     )
 
@@ -161,8 +160,8 @@ def _hourly_sql(ts, only):
 @query("hourly_outcome_pivot", _hourly_sql("latest_snapshot_ts", "left_only"))
 def hourly_outcome_pivot(t):
     return joins.hourly_outcomes(
-        latest.latest_trip_updates(t.trip_updates),
-        latest.latest_vehicle_positions(t.vehicle_positions),
+        latest.latest_trip_updates(t.trip_updates, ["latest_snapshot_ts"]),
+        latest.latest_vehicle_positions(t.vehicle_positions, []),
         BASIC,
         "latest_snapshot_ts",
     )
@@ -171,8 +170,8 @@ def hourly_outcome_pivot(t):
 @query("hourly_outcome_pivot_vehicles", _hourly_sql("vp_snapshot_ts", "right_only"))
 def hourly_outcome_pivot_vehicles(t):
     return joins.hourly_outcomes(
-        latest.latest_trip_updates(t.trip_updates),
-        latest.latest_vehicle_positions(t.vehicle_positions),
+        latest.latest_trip_updates(t.trip_updates, []),
+        latest.latest_vehicle_positions(t.vehicle_positions, ["vp_snapshot_ts"]),
         BASIC,
         "vp_snapshot_ts",
         side="right",
@@ -202,8 +201,8 @@ def key_coverage(t):
 )
 def key_match_rate(t):
     return joins.key_match_rate(
-        latest.latest_trip_updates(t.trip_updates),
-        latest.latest_vehicle_positions(t.vehicle_positions),
+        latest.latest_trip_updates(t.trip_updates, []),
+        latest.latest_vehicle_positions(t.vehicle_positions, ["vehicle_id"]),
         BASIC,
         "vehicle_id",
         "stop_sequence",
@@ -271,7 +270,7 @@ ASOF_SQL = f"""
 @query("asof_nearest", ASOF_SQL)
 def asof_nearest(t):
     left = t.vehicle_positions.select("trip_id", "stop_sequence", "vp_snapshot_ts", "blob_name", "vehicle_id")
-    right = latest.latest_trip_updates(t.trip_updates).select(
+    right = latest.latest_trip_updates(t.trip_updates, ["stop_id", "latest_snapshot_ts"]).select(
         "trip_id",
         "stop_sequence",
         F.col("stop_id").alias("tu_stop_id"),

@@ -54,13 +54,13 @@ GUARD_SQL = f"""
 
 @query("upsert_freshness_guard", GUARD_SQL)
 def upsert_freshness_guard(t):
-    target = latest_trip_updates(t.trip_updates).select(
+    target = latest_trip_updates(t.trip_updates, ["route_id", "latest_snapshot_ts", "stop_id"]).select(
         *CANONICAL_KEY,
         F.when(F.col("route_id") != "R7", F.col("latest_snapshot_ts")).alias("latest_snapshot_ts"),
         "stop_id",
         F.lit("target").alias("origin"),
     )
-    staging = latest_vehicle_positions(t.vehicle_positions).select(
+    staging = latest_vehicle_positions(t.vehicle_positions, ["route_id", "vp_snapshot_ts", "vp_stop_id"]).select(
         *CANONICAL_KEY,
         F.when(~F.col("route_id").isin("R7", "R9"), F.col("vp_snapshot_ts")).alias("latest_snapshot_ts"),
         F.col("vp_stop_id").alias("stop_id"),
@@ -287,10 +287,11 @@ _TAGGED = ", ".join(
         FROM joined_day""",
 )
 def transit_day(t):
-    return transit.transit_day(t.trip_updates, t.vehicle_positions).select(
+    kept = (
         "trip_stop_id", *CANONICAL_KEY, "stop_id", "latest_snapshot_ts", "vp_timestamp", "vehicle_current_status",
         "vehicle_id", "vehicle_latitude", "tu_vp_snapshot_delta_sec",
     )
+    return transit.transit_day(t.trip_updates, t.vehicle_positions, kept)
 
 
 @query(
