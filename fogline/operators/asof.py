@@ -16,6 +16,8 @@ _FAR = Window.unboundedFollowing
 
 #: Bits of the number of segments under one wider segment; seconds that times may span, ten thousand years.
 _SIBLINGS, _SPAN = 18, 320_000_000_000
+#: Segments that are put into one where right rows are copied to all in their reach: with reach as wide as a segment, 1.5 copies.
+_TOGETHER = 4
 
 
 def _wider_levels(keys: Sequence[str], segment_seconds: int) -> int:
@@ -65,7 +67,6 @@ def asof_candidates(
     tie_order: Sequence[str],
     segment_seconds: int = 3600,
     same_ts: str = "last",
-    reach_seconds: float | None = None,
 ) -> DataFrame:
     """Left rows plus ``__bwd`` (newest right row not after) and ``__fwd`` (oldest one after).
 
@@ -74,9 +75,6 @@ def asof_candidates(
     duplicate in ``tie_order``, with ``'first'`` both take the first. Times are cut into
     segments; what lies outside a segment reaches it as at most two carry rows, so neither a
     busy key nor a busy period ends up in a single task, and no key is matched pair by pair. Making the frame runs no job.
-
-    ``reach_seconds``: matches farther away do not count and may be missing. If no segment is shorter, every right row goes to
-    the at most three segments in its reach instead, and nothing has to be carried.
     """
     keys = list(keys)
     usable = right.dropna(subset=[*keys, right_ts]) if keys else right.dropna(subset=[right_ts])
@@ -102,38 +100,33 @@ def asof_candidates(
         .withColumn("__seg", time_segment(F.col("__ts"), segment_seconds))
     )
 
-    if reach_seconds is not None and reach_seconds <= segment_seconds:
-        micros, reach = F.unix_micros("__ts"), int(reach_seconds * 1_000_000)
-        at = lambda t: F.floor(t / F.lit(segment_seconds * 1_000_000)).cast("bigint")
-        known = rights.withColumn("__seg", F.explode(F.sequence(at(micros - reach), at(micros + reach))))
-    else:
-        # Summary per (keys, segment) over both sides: a segment may hold left rows only.
-        ends = (
-            rights.select(*keys, "__seg", "__ts", "__b", "__f")
-            .unionByName(lefts.select(*keys, "__seg"), allowMissingColumns=True)
-            .groupBy(*keys, "__seg")
-            .agg(
-                # What comes before a segment is only looked back at, what comes after only ahead.
-                F.max_by(F.struct("__ts", "__b"), "__ts").alias("__last"),
-                F.min_by(F.struct("__ts", ahead.alias("__f")), "__ts").alias("__first"),
-            )
+    # Summary per (keys, segment) over both sides: a segment may hold left rows only.
+    ends = (
+        rights.select(*keys, "__seg", "__ts", "__b", "__f")
+        .unionByName(lefts.select(*keys, "__seg"), allowMissingColumns=True)
+        .groupBy(*keys, "__seg")
+        .agg(
+            # What comes before a segment is only looked back at, what comes after only ahead.
+            F.max_by(F.struct("__ts", "__b"), "__ts").alias("__last"),
+            F.min_by(F.struct("__ts", ahead.alias("__f")), "__ts").alias("__first"),
         )
-        carried = _carried(ends, keys, _wider_levels(keys, segment_seconds))
-        none = F.lit(None).cast(rights.schema["__b"].dataType)
-        carries = (
-            carried.select(
-                *keys,
-                "__seg",
-                F.inline(
-                    F.array(
-                        F.struct(F.col("__in.__ts").alias("__ts"), F.col("__in.__b").alias("__b"), none.alias("__f")),
-                        F.struct(F.col("__out.__ts").alias("__ts"), none.alias("__b"), F.col("__out.__f").alias("__f")),
-                    )
-                ),
-            )
-            .where(F.col("__ts").isNotNull())
+    )
+    carried = _carried(ends, keys, _wider_levels(keys, segment_seconds))
+    none = F.lit(None).cast(rights.schema["__b"].dataType)
+    carries = (
+        carried.select(
+            *keys,
+            "__seg",
+            F.inline(
+                F.array(
+                    F.struct(F.col("__in.__ts").alias("__ts"), F.col("__in.__b").alias("__b"), none.alias("__f")),
+                    F.struct(F.col("__out.__ts").alias("__ts"), none.alias("__b"), F.col("__out.__f").alias("__f")),
+                )
+            ),
         )
-        known = rights.unionByName(carries)
+        .where(F.col("__ts").isNotNull())
+    )
+    known = rights.unionByName(carries)
 
     stream = (
         known.withColumn("__kind", F.lit(0))
@@ -160,6 +153,67 @@ def asof_candidates(
     return left.join(found, [*keys, left_ts], "left").withColumns({c: whole(c) for c in ("__bwd", "__fwd")})
 
 
+def _within_reach(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    left_ts: str,
+    right_ts: str,
+    tie_order: Sequence[str],
+    segment_seconds: int,
+    reach_seconds: float,
+) -> DataFrame:
+    """As ``asof_candidates``, but right rows farther than ``reach_seconds``, at most a segment, may be missing.
+
+    Both sides are shuffled once. A left row travels whole, so nothing has to be joined back; a right row goes to the segments in
+    its reach, so nothing has to be carried. Segments are ``_TOGETHER`` times as wide as asked for, as narrow ones would send nearly
+    every right row three times; a busy key is still spread by time. Rows of equal time stand in ``tie_order`` inside the window
+    and are not reduced before. Left rows without key or time are left out.
+    """
+    keys = list(keys)
+    ties = [c for c in tie_order if c not in keys]
+    # The payload is what a window hands on as it is: a struct made there would travel beside the columns it is made of.
+    payload = F.struct(*dict.fromkeys([*ties, *[c for c in right.columns if c not in keys]]))
+    rest = [c for c in left.columns if c not in keys and c != left_ts]
+    micros, reach = F.unix_micros("__ts"), int(reach_seconds * 1_000_000)
+    at = lambda t: F.floor(t / F.lit(_TOGETHER * segment_seconds * 1_000_000)).cast("bigint")
+    rights = (
+        right.dropna(subset=[*keys, right_ts])
+        .select(*keys, F.col(right_ts).alias("__ts"), payload.alias("__right"))
+        .withColumn("__seg", F.explode(F.sequence(at(micros - reach), at(micros + reach))))
+        .withColumn("__kind", F.lit(0))
+    )
+    lefts = (
+        left.dropna(subset=[*keys, left_ts])
+        .select(*keys, F.col(left_ts).alias("__ts"), F.struct(*rest).alias("__left") if rest else F.lit(None).alias("__left"))
+        .withColumn("__seg", at(micros))
+        .withColumn("__kind", F.lit(1))
+    )
+    # At equal times right rows come first; a payload that has an order is its own rank, and the greatest comes last.
+    ordered = "map<" not in right.schema.simpleString()
+    order = ["__ts", "__kind", *(["__right"] if ordered else [f"__right.`{c}`" for c in ties])]
+    among = Window.partitionBy(*keys, "__seg")
+    up, down = (among.orderBy(*[F.asc(c) for c in order]), among.orderBy(*[F.desc(c) for c in order]))
+    newest = lambda w: F.last("__right", ignorenulls=True).over(w.rowsBetween(_ALL, 0))
+    found = (
+        rights.unionByName(lefts, allowMissingColumns=True)
+        .withColumn("__b", newest(up))
+        .withColumn("__f", newest(down))
+        .where(F.col("__kind") == 1)
+    )
+
+    def mine(c: str) -> Column:
+        if c in keys:
+            return F.col(c).cast(left.schema[c].dataType).alias(c)
+        return (F.col(f"__left.`{c}`") if c in rest else F.col("__ts")).alias(c)
+
+    def whole(side: str) -> Column:
+        parts = [F.col(c) if c in keys else F.col(f"{side}.`{c}`").alias(c) for c in right.columns]
+        return F.when(F.col(side).isNotNull(), F.struct(*parts))
+
+    return found.select(*[mine(c) for c in left.columns], whole("__b").alias("__bwd"), whole("__f").alias("__fwd"))
+
+
 def asof_nearest(
     left: DataFrame,
     right: DataFrame,
@@ -177,9 +231,10 @@ def asof_nearest(
     """
     keys = list(keys)
     usable = left.dropna(subset=[*keys, left_ts])
-    found = asof_candidates(
-        usable, right, keys, left_ts, right_ts, tie_order, segment_seconds, reach_seconds=tolerance_seconds
-    )
+    if tolerance_seconds <= segment_seconds:
+        found = _within_reach(usable, right, keys, left_ts, right_ts, tie_order, segment_seconds, tolerance_seconds)
+    else:
+        found = asof_candidates(usable, right, keys, left_ts, right_ts, tie_order, segment_seconds)
     micros = F.unix_micros(left_ts)
     back = micros - F.unix_micros(f"__bwd.{right_ts}")
     ahead = F.unix_micros(f"__fwd.{right_ts}") - micros

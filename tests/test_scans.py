@@ -76,6 +76,35 @@ def test_asof_within_reach_carries_nothing(spark):
     assert plan.count("Exchange hashpartitioning") < carrying.count("Exchange hashpartitioning")
 
 
+def test_asof_within_reach_shuffles_both_sides_once(spark):
+    rng = random.Random(9)
+    # Times before 1970, on borders of segments and far from all others; copies on both sides, NULL keys, times and payloads.
+    times = [None, at(0), at(240), at(239), at(241), at(-1), *(at(rng.randrange(-900, 900, 15)) for _ in range(40)), at(90_000)]
+    times += [dt.datetime(1969, 12, 31, 23, 59, s) for s in (0, 30, 59)]
+    left = [(rng.choice(["a", "b", None]), rng.choice(times), rng.randrange(3)) for _ in range(300)]
+    right = [(rng.choice(["a", "b", None]), rng.choice(times), rng.choice([None, 1, 2]), rng.randrange(2)) for _ in range(60)]
+    left, right = left + left[:40], right + right[:9]
+    frames = spark.createDataFrame(left, "k string, lt timestamp, i int"), spark.createDataFrame(right, "k string, rt timestamp, n int, m int")
+    got = asof.asof_nearest(*frames, ["k"], "lt", "rt", 60, ["n"], 60)
+
+    def nearest(k, t):
+        rank = lambda r: (r[2] is not None, r[2] or 0, r[3])
+        near = [r for r in right if r[0] == k and r[1] is not None and abs((t - r[1]).total_seconds()) <= 60]
+        back = max((r for r in near if r[1] <= t), key=lambda r: (r[1], rank(r)), default=None)
+        ahead = min((r for r in near if r[1] > t), key=lambda r: (r[1], rank(r)), default=None)
+        if back is None or ahead is not None and ahead[1] - t < t - back[1]:
+            back = ahead
+        return (None, None, None, False) if back is None else (back[2], back[3], (t - back[1]).total_seconds(), True)
+
+    want = [(k, t, i, *nearest(k, t)) for k, t, i in left if k is not None and t is not None]
+    found = [(r["k"], r["lt"], r["i"], r["n"], r["m"], r["join_time_delta_sec"], r["matched"]) for r in got.collect()]
+    assert sorted(found, key=str) == sorted(want, key=str)
+    assert got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0].count("Exchange ") == 1
+    # A left side of nothing but key and time.
+    bare = asof.asof_nearest(frames[0].select("k", "lt"), frames[1], ["k"], "lt", "rt", 60, ["n"], 60)
+    assert bare.where("matched").count() == sum(w[-1] for w in want)
+
+
 @pytest.mark.parametrize("segment_seconds", [30, 3600, 10**7])
 def test_asof_nearest_equals_pandas(spark, segment_seconds):
     rng = random.Random(4)
