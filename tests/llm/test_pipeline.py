@@ -3,6 +3,7 @@ from fogline.llm import toxicity
 from pyspark.sql import functions as F
 from tests.conftest import SF
 from tests.llm import test_decontaminate, test_jaccard_join, test_line_dedup
+from tests.test_session import gone, shuffle_files
 
 
 def test_stages_equal_brute_force_on_the_rows_before_them(spark):
@@ -46,3 +47,11 @@ def test_odd_and_empty_tables(spark, odd, empty, tmp_path):
         spark.createDataFrame([(1, "no such words here at all")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
         got = cp.run(spark, folder)
         assert got.count() == (0 if name == "empty" else len({c for d, n, c in test_jaccard_join.brute([(r["doc_id"], r["text"]) for r in docs.collect()]) if n}) + 4)
+
+
+def test_a_written_stage_leaves_no_shuffle_files(spark, tmp_path):
+    docs, before = spark.read.parquet(f"{SF}/documents.parquet"), shuffle_files(spark)
+    frame = cp.drop_near_copies(spark, docs, SF)
+    frame.write.parquet(f"file://{tmp_path}/out")
+    assert gone(spark, shuffle_files(spark) - before)
+    assert frame.count() == len(frame.collect()) == len(frame.collect()) == spark.read.parquet(f"file://{tmp_path}/out").count()
